@@ -31,7 +31,8 @@ from corate.plans.skew import (
     HotSplit,
     broadcast_if_bounded,
     chunk_of,
-    default_partitions,
+    equi_join_rows,
+    partitions_for,
     split_hot_keys,
 )
 from corate.functions.scalars import pack_entries
@@ -68,11 +69,12 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     nonzero = F.col("w") != 0
     v_b, small = broadcast_if_bounded(v, max_bytes=max_broadcast_bytes)
     if small:
-        parts = partitions or default_partitions(spark)
+        # Sized by the exact number of partial products, not by the weight rows shuffled.
+        parts = partitions or partitions_for(spark, equi_join_rows(weights.filter(nonzero), "item_id", v, "item_1"))
         split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys)
                  if hot_user_degree is not None else HotSplit(weights, None, 0))
-        # Explicit partition count: the exchange carries only weight rows, but the work after it
-        # is the product, so AQE must not coalesce this stage by its small shuffle size.
+        # Explicit partition count: the exchange carries only weight rows but the work after it is
+        # the product, so AQE must not coalesce this stage by its small shuffle size.
         wn = split.normal.repartition(parts, "user_id")
         out = [_Branch(wn, _product_sum(wn.filter(nonzero), v_b))]
         if split.hot is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corate.functions.scalars import cosine
 from corate.operators.catalog import ratings_in_catalog
-from corate.plans.skew import DEFAULT_MAX_HOT_KEYS, chunk_of, split_hot_keys
+from corate.plans.skew import DEFAULT_MAX_HOT_KEYS, chunk_of, partitions_for, split_hot_keys
 
 # A user with more ratings than this is cut into chunks of about this many items before the
 # self-join, so one task holds at most ~threshold^2 / 2 item pairs of a single user.
@@ -16,8 +16,15 @@ DEFAULT_HOT_USER_DEGREE = 2000
 CO_RATING_COLUMNS = ["user_id", "item_1", "item_2", "rating_1", "rating_2"]
 
 
-def _pairs_by_user(r: DataFrame) -> DataFrame:
-    """Equi-join on ``user_id`` with ``item_1 < item_2`` as the join residual (upper triangle)."""
+def _pairs_by_user(r: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Equi-join on ``user_id`` with ``item_1 < item_2`` as the join residual (upper triangle).
+
+    With ``partitions``, the ratings are hash partitioned on the user once, explicitly, and both
+    join sides reuse that exchange; the count is sized by the pair volume, which AQE cannot see
+    from the shuffled rating rows.
+    """
+    if partitions:
+        r = r.repartition(partitions, "user_id")
     a = r.select("user_id", F.col("item_id").alias("item_1"), F.col("rating").alias("rating_1"))
     b = r.select("user_id", F.col("item_id").alias("item_2"), F.col("rating").alias("rating_2"))
     return a.join(b, "user_id").where(F.col("item_1") < F.col("item_2")).select(*CO_RATING_COLUMNS)
@@ -69,9 +76,10 @@ def co_ratings(ratings: DataFrame, items: DataFrame | None = None, *,
     if hot_user_degree is None:
         return _pairs_by_user(r)
     split = split_hot_keys(r, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_users)
+    parts = partitions_for(r.sparkSession, split.square_sum // 2)
     if split.hot is None:
-        return _pairs_by_user(r)
-    return _pairs_by_user(split.normal).unionByName(_pairs_by_user_chunk(split.hot))
+        return _pairs_by_user(r, parts)
+    return _pairs_by_user(split.normal, parts).unionByName(_pairs_by_user_chunk(split.hot))
 
 
 def pair_stats(co: DataFrame, truncate: bool = True) -> DataFrame:

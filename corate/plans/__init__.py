@@ -5,7 +5,10 @@ from corate.plans.skew import (
     broadcast_if_bounded,
     chunk_of,
     default_partitions,
+    equi_join_rows,
+    partitions_for,
     split_hot_keys,
 )
 
-__all__ = ["HotSplit", "broadcast_if_bounded", "chunk_of", "default_partitions", "split_hot_keys"]
+__all__ = ["HotSplit", "broadcast_if_bounded", "chunk_of", "default_partitions", "equi_join_rows",
+           "partitions_for", "split_hot_keys"]

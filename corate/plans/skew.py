@@ -20,13 +20,21 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_BROADCAST_ROW_BYTES = 48
 
 
+# Rows produced per task after a multiplying join (self join, row expansion): keeps the hash
+# aggregate behind the join small enough to stay cache-resident.
+DEFAULT_ROWS_PER_TASK = 1_000_000
+MAX_PARTITIONS = 100_000
+
+
 @dataclass
 class HotSplit:
-    """Rows of ordinary keys, rows of hot keys (with ``n_chunks``), and the degree threshold."""
+    """Rows of ordinary keys, rows of hot keys (with ``n_chunks``), the degree threshold, and
+    ``sum(degree^2)`` over all keys (the row count of a self join on the key)."""
 
     normal: DataFrame
     hot: DataFrame | None
     threshold: int
+    square_sum: int = 0
 
 
 def split_hot_keys(df: DataFrame, key: str, *, min_degree: int,
@@ -41,18 +49,19 @@ def split_hot_keys(df: DataFrame, key: str, *, min_degree: int,
     returned unchanged and no join is added.
     """
     deg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
-    stats = deg.agg(F.sum("_deg").alias("n"), F.max("_deg").alias("max_deg")).first()
-    n, max_deg = (stats["n"] or 0), (stats["max_deg"] or 0)
+    stats = deg.agg(F.sum("_deg").alias("n"), F.max("_deg").alias("max_deg"),
+                    F.sum(F.col("_deg") * F.col("_deg")).alias("sq")).first()
+    n, max_deg, sq = (stats["n"] or 0), (stats["max_deg"] or 0), (stats["sq"] or 0)
     threshold = max(int(min_degree), math.ceil(n / max_hot_keys) if n else 1)
     if max_deg <= threshold:
-        return HotSplit(df, None, threshold)
+        return HotSplit(df, None, threshold, sq)
     hot = deg.filter(F.col("_deg") > threshold).select(
         key, F.ceil(F.col("_deg") / F.lit(threshold)).cast("int").alias(chunk_col))
     # Bounded: at most n / threshold <= max_hot_keys rows of (key, int).
     hot_b = F.broadcast(hot)
     normal = df.join(hot_b, key, "left_anti")
     heavy = df.join(hot_b, key, "inner")
-    return HotSplit(normal, heavy, threshold)
+    return HotSplit(normal, heavy, threshold, sq)
 
 
 def chunk_of(col: str, n_chunks: str = "n_chunks") -> "F.Column":
@@ -75,6 +84,23 @@ def broadcast_if_bounded(df: DataFrame, *, max_bytes: int = DEFAULT_MAX_BROADCAS
 
 
 def default_partitions(spark) -> int:
-    """Partition count for the user-partitioned scoring stage."""
+    """The session's shuffle partition count (at least the default parallelism)."""
     conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(conf, spark.sparkContext.defaultParallelism)
+
+
+def partitions_for(spark, rows: int, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> int:
+    """Partitions for a stage that produces ``rows`` rows: ``rows / rows_per_task``, at least the
+    session default, at most ``MAX_PARTITIONS``."""
+    want = math.ceil(max(rows, 0) / rows_per_task)
+    return int(min(MAX_PARTITIONS, max(default_partitions(spark), want)))
+
+
+def equi_join_rows(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> int:
+    """Exact output row count of ``left JOIN right ON left_key = right_key``: the sum over keys of
+    the product of per-key counts. Two partially aggregated counts and a join of one row per key;
+    a hot key costs nothing extra."""
+    lc = left.groupBy(F.col(left_key).alias("_k")).agg(F.count(F.lit(1)).alias("_l"))
+    rc = right.groupBy(F.col(right_key).alias("_k")).agg(F.count(F.lit(1)).alias("_r"))
+    total = lc.join(rc, "_k").agg(F.sum(F.col("_l") * F.col("_r")).alias("rows")).first()["rows"]
+    return int(total or 0)
