@@ -37,20 +37,23 @@ def _rating_fields(spark: SparkSession, path: str) -> DataFrame:
         parts.getItem(0).try_cast("bigint").alias("user_id"),
         parts.getItem(1).try_cast("bigint").alias("item_id"),
         parts.getItem(2).try_cast("double").alias("rating"),
+        F.get(parts, 3).try_cast("bigint").alias("ts"),
     )
 
 
-def read_ratings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_ratings(spark: SparkSession, path: str, *, with_timestamp: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rating log ``userId,itemId,rating[,timestamp]`` lines -> ``(good, rejects)``.
 
-    ``good``: ``(user_id bigint, item_id bigint, rating double)``; the timestamp is dropped.
+    ``good``: ``(user_id bigint, item_id bigint, rating double)``; the timestamp is dropped unless
+    ``with_timestamp`` adds it as ``ts bigint`` (NULL when absent or not a number).
     ``rejects``: ``(line, reason)`` with reason ``short`` (fewer than three fields) or
     ``non_numeric`` (a header line included). Both come from one lazy scan.
     """
     f = _rating_fields(spark, path)
     short = F.col("_n") < 3
     bad = F.col("user_id").isNull() | F.col("item_id").isNull() | F.col("rating").isNull()
-    good = f.filter(~short & ~bad).select("user_id", "item_id", "rating")
+    cols = ["user_id", "item_id", "rating"] + (["ts"] if with_timestamp else [])
+    good = f.filter(~short & ~bad).select(*cols)
     rejects = f.filter(short | bad).select(
         "line", F.when(short, F.lit("short")).otherwise(F.lit("non_numeric")).alias("reason"))
     return good, rejects
