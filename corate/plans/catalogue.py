@@ -30,6 +30,7 @@ from corate.operators.vectors import (
     user_vectors,
 )
 from corate.session import materialize, scratch_path, table
+from corate.streaming.ingest import current_ratings, start_rating_ingest
 from corate.sinks.writers import export_items, write_packed, write_recommendations, write_similarity, write_table
 from corate.sources.readers import (
     dump_table,
@@ -201,6 +202,23 @@ def q_reject_bad_ratings(spark, sf_dir):
     return rejects
 
 
+def q_stream_ingest_ratings(spark, sf_dir):
+    """Rating events of two periods, deduplicated per period, written as log files and ingested by
+    a streaming query; the merged current ratings equal the rating table."""
+    ev = bridge.rating_events(spark, sf_dir)
+    old = F.year("l_shipdate") < UPSERT_OLD_BEFORE_YEAR
+    src = scratch_path(spark, "rating_logs")
+    for name, part in (("old", ev.filter(old)), ("new", ev.filter(~old))):
+        latest = latest_by_key(part, ["user_id", "item_id"], bridge.EVENT_ORDER)
+        line = F.concat_ws(",", F.col("user_id").cast("string"), F.col("item_id").cast("string"),
+                           F.col("rating").cast("string"), F.unix_timestamp("l_shipdate").cast("string"))
+        latest.select(line.alias("value")).write.text(f"{src}/{name}")
+    table_path = scratch_path(spark, "rating_events")
+    q = start_rating_ingest(spark, f"{src}/*", table_path, scratch_path(spark, "ingest_ckpt"))
+    q.awaitTermination()
+    return current_ratings(spark, table_path)
+
+
 def q_similarity_text_roundtrip(spark, sf_dir):
     _, s = _written_similarity(spark, sf_dir)
     path = write_similarity(s, scratch_path(spark, "similarity_txt"))
@@ -314,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "export_items": q_export_items,
     "read_ratings": q_read_ratings,
     "reject_bad_ratings": q_reject_bad_ratings,
+    "stream_ingest_ratings": q_stream_ingest_ratings,
     "similarity_text_roundtrip": q_similarity_text_roundtrip,
     "packed_text_roundtrip": q_packed_text_roundtrip,
     "unpack_rows": q_unpack_rows,

@@ -147,6 +147,7 @@ FROM PX WHERE SQRT(d1) * SQRT(d2) <> 0""")
         f"""SELECT user_id, item_id, rating FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, item_id ORDER BY batch DESC, {_RECENCY}) AS rn FROM UPS)
 WHERE rn = 1""")
+    q["stream_ingest_ratings"] = q["upsert_ratings"]
     q["upsert_items"] = f"""SELECT item_id, title FROM (
   SELECT item_id, title, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY batch DESC) AS rn FROM (
     SELECT s_suppkey AS item_id, s_name AS title, 0 AS batch FROM supplier WHERE s_acctbal >= 0

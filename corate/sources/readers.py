@@ -28,15 +28,16 @@ def read_items(spark: SparkSession, path: str, *, header: bool = True) -> DataFr
             .filter(F.col("item_id").isNotNull() & F.col("title").isNotNull()))
 
 
-def _rating_fields(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path)
+def rating_fields(lines: DataFrame) -> DataFrame:
+    """Split rating log lines (column ``value``) into typed fields; works on batch and streaming
+    frames alike."""
     parts = F.split(F.col("value"), ",")
     return lines.select(
         F.col("value").alias("line"),
         F.size(parts).alias("_n"),
-        parts.getItem(0).try_cast("bigint").alias("user_id"),
-        parts.getItem(1).try_cast("bigint").alias("item_id"),
-        parts.getItem(2).try_cast("double").alias("rating"),
+        F.get(parts, 0).try_cast("bigint").alias("user_id"),
+        F.get(parts, 1).try_cast("bigint").alias("item_id"),
+        F.get(parts, 2).try_cast("double").alias("rating"),
         F.get(parts, 3).try_cast("bigint").alias("ts"),
     )
 
@@ -49,7 +50,11 @@ def read_ratings(spark: SparkSession, path: str, *, with_timestamp: bool = False
     ``rejects``: ``(line, reason)`` with reason ``short`` (fewer than three fields) or
     ``non_numeric`` (a header line included). Both come from one lazy scan.
     """
-    f = _rating_fields(spark, path)
+    return split_rating_fields(rating_fields(spark.read.text(path)), with_timestamp=with_timestamp)
+
+
+def split_rating_fields(f: DataFrame, *, with_timestamp: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Typed fields -> ``(good, rejects)``, see ``read_ratings``."""
     short = F.col("_n") < 3
     bad = F.col("user_id").isNull() | F.col("item_id").isNull() | F.col("rating").isNull()
     cols = ["user_id", "item_id", "rating"] + (["ts"] if with_timestamp else [])
@@ -64,9 +69,9 @@ def read_similarity(spark: SparkSession, path: str) -> DataFrame:
     ``(item_1, item_2, similarity, n_ratings)``; NaN and Infinity parse back."""
     parts = F.split(F.trim(F.col("value")), r"\s+")
     return spark.read.text(path).select(
-        parts.getItem(0).try_cast("bigint").alias("item_1"),
-        parts.getItem(1).try_cast("bigint").alias("item_2"),
-        parts.getItem(2).try_cast("double").alias("similarity"),
+        F.get(parts, 0).try_cast("bigint").alias("item_1"),
+        F.get(parts, 1).try_cast("bigint").alias("item_2"),
+        F.get(parts, 2).try_cast("double").alias("similarity"),
         F.get(parts, 3).try_cast("bigint").alias("n_ratings"),
     ).filter(F.col("item_1").isNotNull() & F.col("item_2").isNotNull())
 
