@@ -103,19 +103,29 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
 
 
 def _pad(top: DataFrame, users: DataFrame, k: int) -> DataFrame:
-    """Fill each user's list up to ``k`` with zero-score items, lowest ids first, skipping the
-    ids already listed. ``m < k`` listed ids leave at least ``k - m`` free ids in ``0..k-1``,
-    so the candidates are a per-user array of ``k`` ids: no cross join."""
-    got = top.groupBy("user_id").agg(F.collect_list("item_id").alias("_ids"))
+    """Every user's list filled up to ``k`` with zero-score items, lowest ids first, skipping the
+    ids already listed.
+
+    One pass over ``top``: each user's listed entries (at most ``k``) are collected, joined onto
+    the users, and exploded together with the fillers. ``m < k`` listed ids leave at least
+    ``k - m`` free ids in ``0..k-1``, so the fillers come from a per-user array of ``k`` ids
+    rather than a cross join with an id range.
+    """
+    entry = "struct<item_id:bigint,score:bigint>"
+    got = top.groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "item_id", "score"))).alias("_top"))
     base = users.join(got, "user_id", "left")
-    ids = F.coalesce(F.col("_ids"), F.array().cast("array<bigint>"))
-    m = F.size(ids)
-    free = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")), ids)
-    fill = F.slice(free, 1, F.greatest(F.lit(k) - m, F.lit(0)))
-    pad = base.select("user_id", m.alias("_m"), F.posexplode(fill).alias("_pos", "item_id")).select(
-        "user_id", "item_id", F.lit(0).cast("long").alias("score"),
-        (F.col("_m") + F.col("_pos") + 1).cast("int").alias("rank"))
-    return top.select("user_id", "item_id", "score", "rank").unionByName(pad)
+    listed = F.transform(F.coalesce(F.col("_top"), F.array()),
+                         lambda e: F.struct(e["item_id"].alias("item_id"), e["score"].alias("score")))
+    listed = listed.cast(f"array<{entry}>")
+    m = F.size(listed)
+    free = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")),
+                          F.transform(listed, lambda e: e["item_id"]))
+    fill = F.transform(F.slice(free, 1, F.greatest(F.lit(k) - m, F.lit(0))),
+                       lambda x: F.struct(x.alias("item_id"), F.lit(0).cast("bigint").alias("score")))
+    out = base.select("user_id", F.posexplode(F.concat(listed, fill.cast(f"array<{entry}>"))).alias("_pos", "_e"))
+    return out.select("user_id", F.col("_e.item_id").alias("item_id"), F.col("_e.score").alias("score"),
+                      (F.col("_pos") + 1).cast("int").alias("rank"))
 
 
 def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool = False,

@@ -31,7 +31,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file system; it is only
-    read here. Where it is unset (local tests) a private folder is created and registered
+    read here, and a cluster session without it is an error (a machine-local folder would be
+    lost with its executor). In local mode (tests) a private folder is created and registered
     as the checkpoint directory.
     """
     sc = spark.sparkContext
@@ -41,6 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder for intermediate tables")
     local = tempfile.mkdtemp(prefix="corate-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

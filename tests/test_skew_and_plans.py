@@ -103,13 +103,22 @@ def test_recommend_has_one_exchange(spark, data):
     assert "BroadcastHashJoin" in tree and "WindowGroupLimit" in tree
 
 
-def test_similarity_self_join_reuses_one_user_exchange(spark, data):
+def test_similarity_self_join_reuses_one_user_exchange(spark, data, capsys):
     r, _ = data
-    plan = _plan(spark, item_similarity(r, hot_user_degree=None))
-    tree = plan.split("\n\n")[0]
-    # one user exchange shared by both join sides + one pair exchange for the final aggregate
-    assert "SortMergeJoin" in tree or "ShuffledHashJoin" in tree or "BroadcastHashJoin" in tree
-    assert "partial_sum" in plan or "partial_count" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # the plan a large table gets
+    try:
+        df = item_similarity(r, hot_user_degree=None)
+        df.collect()
+        capsys.readouterr()
+        df.explain()
+        final = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin" in final and "ReusedExchange" in final
+    # one user exchange (the other side reuses it) + one pair exchange after the partial aggregate
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") == 2
+    assert "partial_sum" in final
 
 
 def test_scan_prunes_columns(spark):
