@@ -31,6 +31,7 @@ from corate.plans.skew import (
     HotSplit,
     broadcast_if_bounded,
     chunk_of,
+    SCORING_ROWS_PER_TASK,
     equi_join_rows,
     partitions_for,
     split_hot_keys,
@@ -70,7 +71,8 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     v_b, small = broadcast_if_bounded(v, max_bytes=max_broadcast_bytes)
     if small:
         # Sized by the exact number of partial products, not by the weight rows shuffled.
-        parts = partitions or partitions_for(spark, equi_join_rows(weights.filter(nonzero), "item_id", v, "item_1"))
+        parts = partitions or partitions_for(
+            spark, equi_join_rows(weights.filter(nonzero), "item_id", v, "item_1"), SCORING_ROWS_PER_TASK)
         split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys)
                  if hot_user_degree is not None else HotSplit(weights, None, 0))
         # Explicit partition count: the exchange carries only weight rows but the work after it is

@@ -23,6 +23,9 @@ DEFAULT_BROADCAST_ROW_BYTES = 48
 # Rows produced per task after a multiplying join (self join, row expansion): keeps the hash
 # aggregate behind the join small enough to stay cache-resident.
 DEFAULT_ROWS_PER_TASK = 1_000_000
+# Partial products per scoring task: their distinct (user, item) keys (at most this many) then
+# mostly fit Spark's first-level aggregate hash map.
+SCORING_ROWS_PER_TASK = 512 * 1024
 MAX_PARTITIONS = 100_000
 
 
