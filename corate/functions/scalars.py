@@ -80,6 +80,7 @@ def pack_entries(entries: Column | str, key_field: str, value_field: str) -> Col
     )
 
 
+# Fixed value: the packed sparse-row text format is a sequence of "<TAB>(<col><TAB><val>)" entries.
 _ENTRY_PATTERN = r"\((-?\d+)\t(-?\d+)\)"
 
 
