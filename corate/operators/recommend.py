@@ -84,21 +84,25 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
                   .repartition(parts, "user_id", "_chunk").drop("n_chunks"))
             out.append(_Branch(wh.drop("_chunk"), _product_sum(wh.filter(nonzero), v_b)))
         return out
-    # Shuffle join on the item. Hot items: ratings salted by user, their similarity rows replicated.
+    # Shuffle join on the item, both sides partitioned explicitly (sized by the partial products:
+    # AQE would size this stage by the few bytes of its inputs). Hot items: ratings salted by user,
+    # their similarity rows replicated once per salt.
     wz = weights.filter(nonzero)
-    if hot_item_degree is None:
-        return [_Branch(weights, _product_sum(wz, v))]
-    split = split_hot_keys(wz, "item_id", min_degree=hot_item_degree, max_hot_keys=max_hot_keys)
-    if split.hot is None:
-        return [_Branch(weights, _product_sum(wz, v))]
-    hot_items = (split.hot.select(F.col("item_id").alias("item_1"), "n_chunks").distinct())
-    wh = split.hot.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.col("n_chunks").cast("long")).cast("int"))
-    vh = (v.join(F.broadcast(hot_items), "item_1")  # at most max_hot_keys rows, see split_hot_keys
-          .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1))))
-    hot_products = wh.join(vh, (F.col("item_id") == F.col("item_1")) & (wh["_salt"] == vh["_salt"]))
-    normal_products = split.normal.join(v, F.col("item_id") == F.col("item_1"))
+    parts = partitions or partitions_for(spark, equi_join_rows(wz, "item_id", v, "item_1"), SCORING_ROWS_PER_TASK)
+    split = (split_hot_keys(wz, "item_id", min_degree=hot_item_degree, max_hot_keys=max_hot_keys)
+             if hot_item_degree is not None else HotSplit(wz, None, 0))
     cols = ["user_id", "item_2", "w", "val"]
-    products = normal_products.select(*cols).unionByName(hot_products.select(*cols))
+    products = (split.normal.repartition(parts, "item_id")
+                .join(v.repartition(parts, "item_1"), F.col("item_id") == F.col("item_1")).select(*cols))
+    if split.hot is not None:
+        hot_items = split.hot.select(F.col("item_id").alias("item_1"), "n_chunks").distinct()
+        wh = (split.hot.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.col("n_chunks").cast("long")).cast("int"))
+              .drop("n_chunks").repartition(parts, "item_id", "_salt"))
+        vh = (v.join(F.broadcast(hot_items), "item_1")  # at most max_hot_keys rows, see split_hot_keys
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
+              .drop("n_chunks").withColumnRenamed("item_1", "_item").repartition(parts, "_item", "_salt"))
+        hot_products = wh.join(vh, (F.col("item_id") == F.col("_item")) & (wh["_salt"] == vh["_salt"]))
+        products = products.unionByName(hot_products.select(*cols))
     scores = products.groupBy("user_id", F.col("item_2").alias("item_id")).agg(
         F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score"))
     return [_Branch(weights, scores)]

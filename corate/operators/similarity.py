@@ -30,14 +30,16 @@ def _pairs_by_user(r: DataFrame, partitions: int | None = None) -> DataFrame:
     return a.join(b, "user_id").where(F.col("item_1") < F.col("item_2")).select(*CO_RATING_COLUMNS)
 
 
-def _pairs_by_user_chunk(heavy: DataFrame) -> DataFrame:
+def _pairs_by_user_chunk(heavy: DataFrame, partitions: int) -> DataFrame:
     """Co-ratings of hot users, spread over ``(user, chunk_a, chunk_b)`` cells.
 
     Each rating goes to chunk ``c = hash(item) mod n_chunks``. The left copy of a rating in chunk
     ``c`` is sent to the cells ``(c, b)`` for ``b >= c``, the right copy to ``(a, c)`` for
     ``a <= c``; so cell ``(a, b)`` pairs chunk ``a`` with chunk ``b`` and every unordered item pair
     meets in exactly one cell. Diagonal cells keep ``left < right``; off-diagonal pairs are put in
-    ascending item order.
+    ascending item order. Both sides are partitioned on the cell explicitly, with a count sized
+    by the pair volume: the replicated rating rows are few bytes, and AQE would otherwise
+    coalesce the cells of a hot user back into a few tasks.
     """
     c = chunk_of("item_id")
     last = F.col("n_chunks") - 1
@@ -47,7 +49,9 @@ def _pairs_by_user_chunk(heavy: DataFrame) -> DataFrame:
     right = heavy.select(
         "user_id", F.col("item_id").alias("i_r"), F.col("rating").alias("r_r"),
         c.alias("b"), F.explode(F.sequence(F.lit(0), c)).alias("a"))
-    j = left.join(right, ["user_id", "a", "b"]).where(
+    cell = ["user_id", "a", "b"]
+    left, right = left.repartition(partitions, *cell), right.repartition(partitions, *cell)
+    j = left.join(right, cell).where(
         (F.col("a") < F.col("b")) | (F.col("i_l") < F.col("i_r")))
     swap = F.col("i_l") > F.col("i_r")
     return j.select(
@@ -79,7 +83,7 @@ def co_ratings(ratings: DataFrame, items: DataFrame | None = None, *,
     parts = partitions_for(r.sparkSession, split.square_sum // 2)
     if split.hot is None:
         return _pairs_by_user(r, parts)
-    return _pairs_by_user(split.normal, parts).unionByName(_pairs_by_user_chunk(split.hot))
+    return _pairs_by_user(split.normal, parts).unionByName(_pairs_by_user_chunk(split.hot, parts))
 
 
 def pair_stats(co: DataFrame, truncate: bool = True) -> DataFrame:
