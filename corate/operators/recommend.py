@@ -95,10 +95,10 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     products = (split.normal.repartition(parts, "item_id")
                 .join(v.repartition(parts, "item_1"), F.col("item_id") == F.col("item_1")).select(*cols))
     if split.hot is not None:
-        hot_items = split.hot.select(F.col("item_id").alias("item_1"), "n_chunks").distinct()
+        hot_items = split.keys.withColumnRenamed("item_id", "item_1")
         wh = (split.hot.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.col("n_chunks").cast("long")).cast("int"))
               .drop("n_chunks").repartition(parts, "item_id", "_salt"))
-        vh = (v.join(F.broadcast(hot_items), "item_1")  # at most max_hot_keys rows, see split_hot_keys
+        vh = (v.join(hot_items, "item_1")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
               .drop("n_chunks").withColumnRenamed("item_1", "_item").repartition(parts, "_item", "_salt"))
         hot_products = wh.join(vh, (F.col("item_id") == F.col("_item")) & (wh["_salt"] == vh["_salt"]))

@@ -70,9 +70,8 @@ def co_ratings(ratings: DataFrame, items: DataFrame | None = None, *,
     rating_1, rating_2)`` with ``item_1 < item_2``.
 
     ``items`` restricts both sides to a catalog first (semi join). Users with more than
-    ``hot_user_degree`` ratings (or the data-derived threshold, see ``split_hot_keys``) are
-    joined on ``(user, chunk pair)`` cells instead of on the user alone; ``None`` turns the
-    split off and leaves skew to AQE.
+    ``hot_user_degree`` ratings are joined on ``(user, chunk pair)`` cells instead of on the user
+    alone (see ``split_hot_keys``); ``None`` turns the split off and leaves skew to AQE.
     """
     r = ratings.select("user_id", "item_id", "rating")
     if items is not None:

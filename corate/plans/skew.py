@@ -1,9 +1,10 @@
 """Skew handling and size-checked broadcasts.
 
-A single user or item may own a large share of all rows. Such *hot* keys are found with one
-partially aggregated degree count and split into chunks, so no task receives a whole hot group.
-The hot-key table is broadcast only because its size is bounded: every hot key has a degree above
-``threshold >= n / max_hot_keys``, and degrees sum to ``n``, so there are at most ``max_hot_keys``.
+A single user or item may own a large share of all rows. Keys with more rows than a fixed degree
+threshold are *hot*: their groups are cut into chunks of about ``threshold`` rows, so no task
+receives a whole hot group. One partially aggregated degree count finds them and also counts them;
+the hot-key table is broadcast only when that count is within ``max_hot_keys`` (a proven size), and
+is otherwise joined by a shuffle, where AQE's skew-join split keeps the hot rows apart.
 """
 
 from __future__ import annotations
@@ -31,40 +32,42 @@ MAX_PARTITIONS = 100_000
 
 @dataclass
 class HotSplit:
-    """Rows of ordinary keys, rows of hot keys (with ``n_chunks``), the degree threshold, and
-    ``sum(degree^2)`` over all keys (the row count of a self join on the key)."""
+    """Rows of ordinary keys, rows of hot keys (with ``n_chunks``), the degree threshold,
+    ``sum(degree^2)`` over all keys (the row count of a self join on the key), and the hot-key
+    table ``(key, n_chunks)`` itself (broadcast-hinted when small)."""
 
     normal: DataFrame
     hot: DataFrame | None
     threshold: int
     square_sum: int = 0
+    keys: DataFrame | None = None
 
 
 def split_hot_keys(df: DataFrame, key: str, *, min_degree: int,
                    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                    chunk_col: str = "n_chunks") -> HotSplit:
-    """Split ``df`` into rows of ordinary keys and rows of keys with more than
-    ``threshold = max(min_degree, ceil(n / max_hot_keys))`` rows.
+    """Split ``df`` into rows of ordinary keys and rows of keys with more than ``min_degree`` rows.
 
-    Hot rows carry ``chunk_col = ceil(degree / threshold)``: the number of pieces the group is
-    cut into, so each piece holds about ``threshold`` rows. Runs one aggregation job (degrees,
-    combined map-side) to learn ``n`` and the largest degree; when nothing is hot the input is
-    returned unchanged and no join is added.
+    Hot rows carry ``chunk_col = ceil(degree / min_degree)``: the number of pieces the group is
+    cut into, each about ``min_degree`` rows. One aggregation job (degrees, combined map-side)
+    returns the row count, the largest degree, ``sum(degree^2)`` and the number of hot keys; when
+    nothing is hot the input is returned unchanged and no join is added.
     """
+    threshold = int(min_degree)
     deg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
     stats = deg.agg(F.sum("_deg").alias("n"), F.max("_deg").alias("max_deg"),
-                    F.sum(F.col("_deg") * F.col("_deg")).alias("sq")).first()
-    n, max_deg, sq = (stats["n"] or 0), (stats["max_deg"] or 0), (stats["sq"] or 0)
-    threshold = max(int(min_degree), math.ceil(n / max_hot_keys) if n else 1)
-    if max_deg <= threshold:
+                    F.sum(F.col("_deg") * F.col("_deg")).alias("sq"),
+                    F.count(F.when(F.col("_deg") > threshold, True)).alias("n_hot")).first()
+    sq, n_hot = (stats["sq"] or 0), (stats["n_hot"] or 0)
+    if n_hot == 0:
         return HotSplit(df, None, threshold, sq)
     hot = deg.filter(F.col("_deg") > threshold).select(
         key, F.ceil(F.col("_deg") / F.lit(threshold)).cast("int").alias(chunk_col))
-    # Bounded: at most n / threshold <= max_hot_keys rows of (key, int).
-    hot_b = F.broadcast(hot)
-    normal = df.join(hot_b, key, "left_anti")
-    heavy = df.join(hot_b, key, "inner")
-    return HotSplit(normal, heavy, threshold, sq)
+    if n_hot <= max_hot_keys:
+        hot = F.broadcast(hot)  # n_hot rows of (key, int), counted above
+    normal = df.join(hot, key, "left_anti")
+    heavy = df.join(hot, key, "inner")
+    return HotSplit(normal, heavy, threshold, sq, hot)
 
 
 def chunk_of(col: str, n_chunks: str = "n_chunks") -> "F.Column":

@@ -36,15 +36,16 @@ def _skewed(spark, n=3000):
         ((F.col("id") % 10 + 1) / 2).alias("rating")).dropDuplicates(["user_id", "item_id"])
 
 
-def test_hot_split_bounds_hot_table(spark):
+def test_hot_split_fixed_threshold(spark):
     r = _skewed(spark)
     n = r.count()
-    s = split_hot_keys(r, "user_id", min_degree=1, max_hot_keys=50)
-    assert s.threshold >= n / 50
-    hot = s.hot.select("user_id", "n_chunks").distinct().collect()
-    assert len(hot) <= 50 and [h.user_id for h in hot] == [0]
-    assert hot[0].n_chunks >= 2
-    assert s.normal.count() + s.hot.count() == n
+    for max_hot in (50, 0):          # broadcast hot table / shuffle-joined hot table
+        s = split_hot_keys(r, "user_id", min_degree=100, max_hot_keys=max_hot)
+        assert s.threshold == 100
+        hot = s.hot.select("user_id", "n_chunks").distinct().collect()
+        assert [(h.user_id, h.n_chunks) for h in hot] == [(0, 5)]       # 429 rows -> 5 chunks
+        assert s.normal.count() + s.hot.count() == n
+        assert s.normal.filter("user_id = 0").count() == 0
 
 
 def test_hot_user_pairs_on_skewed_data(spark):
