@@ -65,7 +65,7 @@ def _product_sum(w: DataFrame, v: DataFrame) -> DataFrame:
 
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
               hot_user_degree: int | None, hot_item_degree: int | None,
-              max_hot_keys: int, partitions: int | None) -> list[_Branch]:
+              max_hot_keys: int, partitions: int | None, user_partitioned: bool = False) -> list[_Branch]:
     spark = weights.sparkSession
     nonzero = F.col("w") != 0
     v_b, small = broadcast_if_bounded(v, max_bytes=max_broadcast_bytes)
@@ -76,8 +76,9 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
         split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys)
                  if hot_user_degree is not None else HotSplit(weights, None, 0))
         # Explicit partition count: the exchange carries only weight rows but the work after it is
-        # the product, so AQE must not coalesce this stage by its small shuffle size.
-        wn = split.normal.repartition(parts, "user_id")
+        # the product, so AQE must not coalesce this stage by its small shuffle size. Input that is
+        # already bucketed by user keeps its partitioning and needs no exchange at all.
+        wn = split.normal if user_partitioned else split.normal.repartition(parts, "user_id")
         out = [_Branch(wn, _product_sum(wn.filter(nonzero), v_b))]
         if split.hot is not None:
             wh = (split.hot.withColumn("_chunk", chunk_of("item_id"))
@@ -138,7 +139,8 @@ def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool =
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                 hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
                 hot_item_degree: int | None = DEFAULT_HOT_ITEM_DEGREE,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None) -> DataFrame:
+                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
+                user_partitioned: bool = False) -> DataFrame:
     """``(user_id, item_id, score)`` for every item reached through at least one similarity row
     (zero scores included). ``weights``: ``(user_id, item_id, w)``; ``sim_scaled``:
     ``(item_1, item_2, val)``, upper triangle unless ``symmetric`` mirrors it."""
@@ -146,7 +148,7 @@ def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool =
     branches = _branches(weights.select("user_id", "item_id", "w"), v,
                          max_broadcast_bytes=max_broadcast_bytes, hot_user_degree=hot_user_degree,
                          hot_item_degree=hot_item_degree, max_hot_keys=max_hot_keys,
-                         partitions=partitions)
+                         partitions=partitions, user_partitioned=user_partitioned)
     out = branches[0].scores
     for b in branches[1:]:
         out = out.unionByName(b.scores)
@@ -158,7 +160,8 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
               hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
               hot_item_degree: int | None = DEFAULT_HOT_ITEM_DEGREE,
-              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None) -> DataFrame:
+              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
+              user_partitioned: bool = False) -> DataFrame:
     """Top-``k`` items per user: ``(user_id, item_id, score, rank)``.
 
     ``ratings``: ``(user_id, item_id, rating)``; ``sim``: ``(item_1, item_2, similarity)``, best
@@ -168,6 +171,8 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     positive scores are listed unless ``pad_zeros`` fills every user's list to ``k`` with
     zero-score ids in ascending order, as the original fixed-length output does.
     ``symmetric`` mirrors the matrix first; ``exclude_seen`` drops items the user rated.
+    ``user_partitioned=True`` declares ``ratings`` hash partitioned by user (a table bucketed by
+    ``user_id``), which removes the exchange of the scoring stage.
     """
     if pad_zeros and exclude_seen:
         raise ValueError("pad_zeros pads with the lowest ids and does not combine with exclude_seen")
@@ -175,7 +180,8 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     v = _matrix(scaled_similarity(sim), symmetric)
     branches = _branches(weights, v, max_broadcast_bytes=max_broadcast_bytes,
                          hot_user_degree=hot_user_degree, hot_item_degree=hot_item_degree,
-                         max_hot_keys=max_hot_keys, partitions=partitions)
+                         max_hot_keys=max_hot_keys, partitions=partitions,
+                         user_partitioned=user_partitioned)
     result = None
     for b in branches:
         s = b.scores.filter(F.col("score") > 0)

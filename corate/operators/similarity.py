@@ -65,13 +65,15 @@ def _pairs_by_user_chunk(heavy: DataFrame, partitions: int) -> DataFrame:
 
 def co_ratings(ratings: DataFrame, items: DataFrame | None = None, *,
                hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
-               max_hot_users: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+               max_hot_users: int = DEFAULT_MAX_HOT_KEYS, user_partitioned: bool = False) -> DataFrame:
     """For every user and every pair of items they both rated: ``(user_id, item_1, item_2,
     rating_1, rating_2)`` with ``item_1 < item_2``.
 
     ``items`` restricts both sides to a catalog first (semi join). Users with more than
     ``hot_user_degree`` ratings are joined on ``(user, chunk pair)`` cells instead of on the user
     alone (see ``split_hot_keys``); ``None`` turns the split off and leaves skew to AQE.
+    ``user_partitioned=True`` declares that ``ratings`` is already hash partitioned by user (a
+    table bucketed by ``user_id``): it is not repartitioned, and the self join reads the buckets.
     """
     r = ratings.select("user_id", "item_id", "rating")
     if items is not None:
@@ -80,9 +82,11 @@ def co_ratings(ratings: DataFrame, items: DataFrame | None = None, *,
         return _pairs_by_user(r)
     split = split_hot_keys(r, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_users)
     parts = partitions_for(r.sparkSession, split.square_sum // 2)
+    # Bucketed input keeps its own partitioning; otherwise partition once, sized by the pair volume.
+    by_user = None if user_partitioned else parts
     if split.hot is None:
-        return _pairs_by_user(r, parts)
-    return _pairs_by_user(split.normal, parts).unionByName(_pairs_by_user_chunk(split.hot, parts))
+        return _pairs_by_user(r, by_user)
+    return _pairs_by_user(split.normal, by_user).unionByName(_pairs_by_user_chunk(split.hot, parts))
 
 
 def pair_stats(co: DataFrame, truncate: bool = True) -> DataFrame:
@@ -128,14 +132,15 @@ def similarity_from_stats(stats: DataFrame, truncate: bool = True) -> DataFrame:
 
 def item_similarity(ratings: DataFrame, items: DataFrame | None = None, *, min_support: int = 20,
                     truncate: bool = True, hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
-                    max_hot_users: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                    max_hot_users: int = DEFAULT_MAX_HOT_KEYS, user_partitioned: bool = False) -> DataFrame:
     """Cosine similarity of every item pair with at least ``min_support`` common raters.
 
     Plan: (catalog semi join) -> self join on user (hot users chunked) -> partial aggregate ->
     shuffle on the pair -> final aggregate -> support filter -> cosine. The exploded pairs are
     combined in the join's own stage; only per-pair partial sums cross the network.
     """
-    co = co_ratings(ratings, items, hot_user_degree=hot_user_degree, max_hot_users=max_hot_users)
+    co = co_ratings(ratings, items, hot_user_degree=hot_user_degree, max_hot_users=max_hot_users,
+                    user_partitioned=user_partitioned)
     stats = pair_stats(co, truncate=truncate).filter(F.col("n") >= min_support)
     return similarity_from_stats(stats, truncate=truncate)
 

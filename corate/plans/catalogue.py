@@ -31,7 +31,15 @@ from corate.operators.vectors import (
 )
 from corate.session import materialize, scratch_path, table
 from corate.streaming.ingest import current_ratings, start_rating_ingest
-from corate.sinks.writers import export_items, write_packed, write_recommendations, write_similarity, write_table
+from corate.plans.skew import default_partitions
+from corate.sinks.writers import (
+    export_items,
+    write_bucketed,
+    write_packed,
+    write_recommendations,
+    write_similarity,
+    write_table,
+)
 from corate.sources.readers import (
     dump_table,
     read_items,
@@ -65,6 +73,14 @@ def _written_similarity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     return r, s
 
 
+def _bucketed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings written as a table bucketed by user, read back through the catalog."""
+    path = scratch_path(spark, "ratings_bucketed")
+    name = "ratings_by_user_" + path.rsplit("-", 1)[-1]
+    write_bucketed(bridge.ratings(spark, sf_dir), name, path, default_partitions(spark), by="user_id")
+    return spark.table(name)
+
+
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_title(bridge.items(spark, sf_dir), CATALOG_MARKER)
 
@@ -79,6 +95,11 @@ def q_item_similarity_exact(spark, sf_dir):
     return _similarity(spark, sf_dir, truncate=False)
 
 
+def q_item_similarity_bucketed(spark, sf_dir):
+    """Similarity over ratings bucketed by user: the self join reads the buckets, no exchange."""
+    return item_similarity(_bucketed_ratings(spark, sf_dir), min_support=MIN_SUPPORT, user_partitioned=True)
+
+
 def q_pair_stats(spark, sf_dir):
     return pair_stats(co_ratings(bridge.ratings(spark, sf_dir, written=True)), truncate=True)
 
@@ -288,6 +309,13 @@ def q_recommend(spark, sf_dir):
     return recommend(r, s, RECOMMEND_K)
 
 
+def q_recommend_bucketed(spark, sf_dir):
+    """Recommendations from ratings bucketed by user: scoring runs without any exchange."""
+    r = _bucketed_ratings(spark, sf_dir)
+    s = materialize(item_similarity(r, min_support=MIN_SUPPORT, user_partitioned=True), "similarity")
+    return recommend(r, s, RECOMMEND_K, user_partitioned=True)
+
+
 def q_recommend_symmetric(spark, sf_dir):
     r, s = _written_similarity(spark, sf_dir)
     return recommend(r, s, RECOMMEND_K, symmetric=True)
@@ -316,6 +344,7 @@ def q_recommendation_text(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "item_similarity": q_item_similarity,
     "item_similarity_exact": q_item_similarity_exact,
+    "item_similarity_bucketed": q_item_similarity_bucketed,
     "pair_stats": q_pair_stats,
     "frequent_pairs": q_frequent_pairs,
     "co_ratings": q_co_ratings,
@@ -345,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "user_scores": q_user_scores,
     "top_k_per_user": q_top_k_per_user,
     "recommend": q_recommend,
+    "recommend_bucketed": q_recommend_bucketed,
     "recommend_symmetric": q_recommend_symmetric,
     "recommend_unseen": q_recommend_unseen,
     "recommend_padded": q_recommend_padded,

@@ -19,6 +19,7 @@ from corate.operators.vectors import scaled_ratings, scaled_similarity, similari
 from corate.sinks.writers import (
     export_items,
     run_path,
+    write_bucketed,
     write_packed,
     write_recommendations,
     write_similarity,
@@ -32,14 +33,20 @@ class LoadResult:
     items: str
     ratings: str
     rejects: str
+    ratings_table: str | None = None  # catalog name when the ratings are bucketed by user
 
 
 def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str, *,
              existing_items: str | None = None, existing_ratings: str | None = None,
-             marker: str | None = DEFAULT_TITLE_MARKER, run_id: str | int | None = None) -> LoadResult:
+             marker: str | None = DEFAULT_TITLE_MARKER, run_id: str | int | None = None,
+             user_buckets: int | None = None) -> LoadResult:
     """Read an item CSV and a rating log, keep items whose title carries ``marker``, and upsert both
     into the tables at ``existing_*`` (if given), writing new tables under ``out_dir/run=<id>``.
-    Ratings: incoming replaces stored, newest timestamp wins within the log."""
+    Ratings: incoming replaces stored, newest timestamp wins within the log.
+
+    ``user_buckets`` writes the ratings bucketed by user and registers them in the catalog
+    (``LoadResult.ratings_table``); similarity and scoring read them with
+    ``user_partitioned=True`` and skip their user exchanges."""
     base = run_path(out_dir, run_id)
     items = read_items(spark, items_csv).select("item_id", "title")
     if marker is not None:
@@ -51,19 +58,27 @@ def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str
         good = upsert_ratings(spark.read.parquet(existing_ratings), good, ["ts"])
     else:
         good = latest_by_key(good, ["user_id", "item_id"], ["ts"])
+    ratings_table = None
+    if user_buckets:
+        ratings_table = f"ratings_run_{base.rsplit('=', 1)[-1]}"
+        write_bucketed(good, ratings_table, f"{base}/ratings", user_buckets, by="user_id")
+    else:
+        write_table(good, f"{base}/ratings")
     return LoadResult(
         items=write_table(items, f"{base}/items"),
-        ratings=write_table(good, f"{base}/ratings"),
+        ratings=f"{base}/ratings",
         rejects=write_table(rejects, f"{base}/rejects"),
+        ratings_table=ratings_table,
     )
 
 
 def similarity_job(ratings: DataFrame, out_dir: str, *, items: DataFrame | None = None,
                    min_support: int = 20, truncate: bool = True, run_id: str | int | None = None,
-                   text: bool = True) -> str:
+                   text: bool = True, user_partitioned: bool = False) -> str:
     """Item similarity written as a table (and as ``m1 m2<TAB>sim n`` text); returns the run path."""
     base = run_path(out_dir, run_id)
-    sim = item_similarity(ratings, items, min_support=min_support, truncate=truncate)
+    sim = item_similarity(ratings, items, min_support=min_support, truncate=truncate,
+                          user_partitioned=user_partitioned)
     write_table(sim, f"{base}/similarity")
     if text:
         spark = ratings.sparkSession
@@ -73,14 +88,16 @@ def similarity_job(ratings: DataFrame, out_dir: str, *, items: DataFrame | None
 
 def recommend_job(ratings: DataFrame, similarity: DataFrame, out_dir: str, *, k: int = 100,
                   symmetric: bool = False, exclude_seen: bool = False, pad_zeros: bool = False,
-                  packed_text: bool = True, run_id: str | int | None = None) -> str:
+                  packed_text: bool = True, run_id: str | int | None = None,
+                  user_partitioned: bool = False) -> str:
     """Scaled similarity rows, user vectors and top-``k`` recommendations (table and text)."""
     spark = ratings.sparkSession
     base = run_path(out_dir, run_id)
     if packed_text:
         write_packed(similarity_rows(scaled_similarity(similarity)), "item_1", f"{base}/similarity_rows")
         write_packed(user_vectors(scaled_ratings(ratings)), "user_id", f"{base}/user_vectors")
-    recs = recommend(ratings, similarity, k, symmetric=symmetric, exclude_seen=exclude_seen, pad_zeros=pad_zeros)
+    recs = recommend(ratings, similarity, k, symmetric=symmetric, exclude_seen=exclude_seen,
+                     pad_zeros=pad_zeros, user_partitioned=user_partitioned)
     write_table(recs, f"{base}/recommendations")
     write_recommendations(spark.read.parquet(f"{base}/recommendations"), f"{base}/recommendations_text")
     return base

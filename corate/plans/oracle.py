@@ -128,6 +128,7 @@ def oracle_sql() -> dict[str, str]:
   FROM CO GROUP BY item_1, item_2 HAVING COUNT(*) >= {C.MIN_SUPPORT})"""],
         """SELECT item_1, item_2, num / (SQRT(d1) * SQRT(d2)) AS similarity, n AS n_ratings
 FROM PX WHERE SQRT(d1) * SQRT(d2) <> 0""")
+    q["item_similarity_bucketed"] = q["item_similarity"]
     q["pair_stats"] = _with([_EV, _R, _co(), _PS], "SELECT item_1, item_2, n, num, d1, d2 FROM PS")
     q["frequent_pairs"] = _with([_EV, _R, _co(), _PS],
                                 f"SELECT item_1, item_2, n FROM PS WHERE n >= {C.FREQUENT_SUPPORT}")
@@ -188,6 +189,7 @@ SELECT CAST(user_id AS VARCHAR) || ',' || CAST(item_id AS VARCHAR) || ',x', 'non
          CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id ASC) AS INTEGER) AS rank
   FROM events) WHERE rank <= {C.EVENTS_K}"""
     q["recommend"] = _recommend_sql(C.RECOMMEND_K)
+    q["recommend_bucketed"] = q["recommend"]
     q["recommend_symmetric"] = _recommend_sql(C.RECOMMEND_K, symmetric=True)
     q["recommend_unseen"] = _recommend_sql(C.RECOMMEND_K, unseen=True)
     q["recommend_padded"] = _padded_sql(C.PADDED_K)

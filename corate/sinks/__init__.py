@@ -4,6 +4,7 @@ from corate.sinks.writers import (
     export_items,
     packed_lines,
     run_path,
+    write_bucketed,
     similarity_lines,
     write_packed,
     write_recommendations,
@@ -11,5 +12,5 @@ from corate.sinks.writers import (
     write_table,
 )
 
-__all__ = ["export_items", "packed_lines", "run_path", "similarity_lines", "write_packed",
+__all__ = ["export_items", "packed_lines", "run_path", "similarity_lines", "write_bucketed", "write_packed",
            "write_recommendations", "write_similarity", "write_table"]

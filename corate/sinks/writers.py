@@ -36,6 +36,20 @@ def write_table(df: DataFrame, path: str, if_exists: str = "overwrite", *,
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, n_buckets: int, by: str = "user_id",
+                   if_exists: str = "overwrite") -> str:
+    """Write ``df`` as a table bucketed (hash partitioned) and sorted by ``by``, stored at ``path``
+    and registered in the session catalog as ``table``; returns the table name.
+
+    Jobs that read it with ``spark.table(table)`` get the ``by`` partitioning from the scan: a join
+    or aggregate on ``by`` needs no exchange (pass ``user_partitioned=True`` to the similarity and
+    scoring operators so they keep it).
+    """
+    (df.write.mode(_MODES[if_exists]).bucketBy(n_buckets, by).sortBy(by)
+     .option("path", path).saveAsTable(table))
+    return table
+
+
 def similarity_lines(sim: DataFrame) -> DataFrame:
     """``'item_1 item_2<TAB>similarity n_ratings'`` lines; doubles print in shortest round-trip form."""
     return sim.select(F.concat_ws(

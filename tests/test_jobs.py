@@ -33,6 +33,13 @@ def test_load_similarity_recommend(spark, tmp_path):
                      existing_items=loaded.items, existing_ratings=loaded.ratings)
     assert spark.read.parquet(again.ratings).count() == 10
 
+    bucketed = load_job(spark, f"{d}/movies.csv", f"{d}/ratings.csv", f"{d}/tables", run_id=3, user_buckets=4)
+    rb = spark.table(bucketed.ratings_table)
+    b_sim = similarity_job(rb, f"{d}/sim", min_support=2, run_id=3, user_partitioned=True)
+    b_rec = recommend_job(rb, spark.read.parquet(f"{b_sim}/similarity"), f"{d}/rec", run_id=3,
+                          user_partitioned=True, packed_text=False)
+    assert rows(spark.read.parquet(f"{b_rec}/recommendations")) == rows(recs)
+
     out = export_job(spark, f"{d}/movies.csv", f"{d}/export", run_id=1)
     assert sorted(r.title for r in spark.read.option("header", True).option("escape", '"').csv(out).collect()) == [
         "A, The (2001)", "B (2002)", "D (2004)"]

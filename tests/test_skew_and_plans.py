@@ -125,3 +125,26 @@ def test_similarity_self_join_reuses_one_user_exchange(spark, data, capsys):
 def test_scan_prunes_columns(spark):
     plan = _plan(spark, bridge.ratings(spark, SF_MID))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_bucketed_ratings_remove_user_exchanges(spark, data, capsys, tmp_path):
+    from corate.sinks import write_bucketed
+    r, s = data
+    write_bucketed(r, "ratings_by_user_test", str(tmp_path / "rb"), 8)
+    rb = spark.table("ratings_by_user_test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sim = item_similarity(rb, hot_user_degree=None, user_partitioned=True)
+        sim.collect()
+        capsys.readouterr()
+        sim.explain()
+        final = capsys.readouterr().out.split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in final
+        assert final.count("Exchange hashpartitioning") == 1      # only the pair exchange
+        assert "hashpartitioning(item_1" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rec = recommend(rb, s, 10, user_partitioned=True)
+    tree = _plan(spark, rec).split("\n\n")[0]
+    assert tree.count("Exchange") == tree.count("BroadcastExchange")   # no shuffle at all
+    assert rows(rec) == rows(recommend(r, s, 10))
