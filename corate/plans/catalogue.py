@@ -31,7 +31,6 @@ from corate.operators.vectors import (
 )
 from corate.session import materialize, scratch_path, table
 from corate.streaming.ingest import current_ratings, start_rating_ingest
-from corate.plans.skew import default_partitions
 from corate.sinks.writers import (
     export_items,
     write_bucketed,
@@ -77,7 +76,7 @@ def _bucketed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ratings written as a table bucketed by user, read back through the catalog."""
     path = scratch_path(spark, "ratings_bucketed")
     name = "ratings_by_user_" + path.rsplit("-", 1)[-1]
-    write_bucketed(bridge.ratings(spark, sf_dir), name, path, default_partitions(spark), by="user_id")
+    write_bucketed(bridge.ratings(spark, sf_dir, written=True), name, path, by="user_id")
     return spark.table(name)
 
 

@@ -36,16 +36,26 @@ def write_table(df: DataFrame, path: str, if_exists: str = "overwrite", *,
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, n_buckets: int, by: str = "user_id",
-                   if_exists: str = "overwrite") -> str:
+# Ratings per bucket when the bucket count is derived from the data: the scoring stage that reads
+# one bucket per task then expands ~1k ratings by the similarity row length.
+DEFAULT_ROWS_PER_BUCKET = 1024
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, n_buckets: int | None = None, by: str = "user_id",
+                   if_exists: str = "overwrite", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> str:
     """Write ``df`` as a table bucketed (hash partitioned) and sorted by ``by``, stored at ``path``
     and registered in the session catalog as ``table``; returns the table name.
 
     Jobs that read it with ``spark.table(table)`` get the ``by`` partitioning from the scan: a join
     or aggregate on ``by`` needs no exchange (pass ``user_partitioned=True`` to the similarity and
-    scoring operators so they keep it).
+    scoring operators so they keep it). Without ``n_buckets`` the count is ``rows / rows_per_bucket``
+    (one count of ``df``; cheap on a written table), at least the session's shuffle partitions.
+    The rows are hash partitioned into the buckets first, so every bucket is one file.
     """
-    (df.write.mode(_MODES[if_exists]).bucketBy(n_buckets, by).sortBy(by)
+    if n_buckets is None:
+        from corate.plans.skew import partitions_for
+        n_buckets = partitions_for(df.sparkSession, df.count(), rows_per_bucket)
+    (df.repartition(n_buckets, by).write.mode(_MODES[if_exists]).bucketBy(n_buckets, by).sortBy(by)
      .option("path", path).saveAsTable(table))
     return table
 
