@@ -90,3 +90,13 @@ def test_symmetric_uses_mirrored_rows(ratings):
     sym = {(r.user_id, r.item_id): r.score for r in recommend(ratings, sim, 100, symmetric=True).collect()}
     # user 1 rated item 2 (w=6): with the mirrored row 2 -> 1 (75) item 1 now scores 6*75 + 1*inf_scaled
     assert sym[(1, 1)] == 6 * 75 + 1 * 2147483647
+
+
+def test_padded_list_for_user_without_scores(spark, ratings):
+    # user 4 rated only item 4, whose upper-triangle row is empty: the whole list is padding
+    extra = spark.createDataFrame([(4, 4, 3.0)], "user_id bigint, item_id bigint, rating double")
+    r = ratings.unionByName(extra)
+    sim = item_similarity(ratings, min_support=2)
+    out = recommend(r, sim, 4, pad_zeros=True).filter("user_id = 4").orderBy("rank").collect()
+    assert [(x.item_id, x.score, x.rank) for x in out] == [(0, 0, 1), (1, 0, 2), (2, 0, 3), (3, 0, 4)]
+    assert recommend(r, sim, 4).filter("user_id = 4").count() == 0
