@@ -99,6 +99,12 @@ def q_item_similarity_bucketed(spark, sf_dir):
     return item_similarity(_bucketed_ratings(spark, sf_dir), min_support=MIN_SUPPORT, user_partitioned=True)
 
 
+def q_catalog_similarity(spark, sf_dir):
+    """The similarity job as originally run: only items of the marker-filtered catalog take part."""
+    r = bridge.ratings(spark, sf_dir, written=True)
+    return item_similarity(r, _catalog(spark, sf_dir), min_support=MIN_SUPPORT)
+
+
 def q_pair_stats(spark, sf_dir):
     return pair_stats(co_ratings(bridge.ratings(spark, sf_dir, written=True)), truncate=True)
 
@@ -344,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "item_similarity": q_item_similarity,
     "item_similarity_exact": q_item_similarity_exact,
     "item_similarity_bucketed": q_item_similarity_bucketed,
+    "catalog_similarity": q_catalog_similarity,
     "pair_stats": q_pair_stats,
     "frequent_pairs": q_frequent_pairs,
     "co_ratings": q_co_ratings,

@@ -129,6 +129,8 @@ def oracle_sql() -> dict[str, str]:
         """SELECT item_1, item_2, num / (SQRT(d1) * SQRT(d2)) AS similarity, n AS n_ratings
 FROM PX WHERE SQRT(d1) * SQRT(d2) <> 0""")
     q["item_similarity_bucketed"] = q["item_similarity"]
+    q["catalog_similarity"] = _with(
+        [_EV, _R, _CATALOG, _RC, _co("RC"), _PS, _S], "SELECT item_1, item_2, similarity, n_ratings FROM S")
     q["pair_stats"] = _with([_EV, _R, _co(), _PS], "SELECT item_1, item_2, n, num, d1, d2 FROM PS")
     q["frequent_pairs"] = _with([_EV, _R, _co(), _PS],
                                 f"SELECT item_1, item_2, n FROM PS WHERE n >= {C.FREQUENT_SUPPORT}")
