@@ -7,19 +7,19 @@ Plan when the similarity table passes the broadcast size check (the usual case:
 per frequent item pair, not per rating):
 
     weights --repartition(user)--> broadcast join sim --> aggregate (user, item)
-            --> [anti join seen] --> top-k window per user
+            --> top-k window per user [--> pad]
 
 Everything after the one exchange of the small weight rows stays in the same partitions: the
 per-user partial products, which outnumber the ratings by the similarity row length, are never
-shuffled. Hot users are cut into item chunks and scored in a second branch with its own
+shuffled. The options keep that shape: excluding seen items joins diagonal marker rows along
+with the matrix (no anti join, which would re-shuffle the scores on (user, item)), and padding
+uses a left outer join so users without any score still reach the per-user window. Hot users are cut into item chunks and scored in a second branch with its own
 exchanges, so no task receives a whole hot user. When the similarity table is too large to
 broadcast, the join shuffles on the item, with hot items salted by user.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,30 +44,46 @@ DEFAULT_HOT_USER_DEGREE = 2000
 DEFAULT_HOT_ITEM_DEGREE = 100_000
 
 
-@dataclass
-class _Branch:
-    weights: DataFrame  # (user_id, item_id, w) of the branch's users, all weights
-    scores: DataFrame   # (user_id, item_id, score)
-
+def _matrix(sim_scaled: DataFrame, symmetric: bool, markers: bool = False) -> DataFrame:
+    """``(item_1, item_2, val[, _seen])``, mirrored when ``symmetric``.
 
-def _matrix(sim_scaled: DataFrame, symmetric: bool) -> DataFrame:
+    ``markers`` adds a diagonal row ``(i, i, 0, seen)`` for every item of the matrix: joined to a
+    user's rating of ``i`` it marks ``i`` as seen without adding to any score, so excluding seen
+    items needs no second pass over the ratings and no extra shuffle.
+    """
     v = sim_scaled.select("item_1", "item_2", "val")
     if symmetric:
         v = v.unionByName(v.select(F.col("item_2").alias("item_1"), F.col("item_1").alias("item_2"), "val"))
+    if markers:
+        items = v.select(F.col("item_1").alias("_i")).union(v.select(F.col("item_2").alias("_i"))).distinct()
+        diag = items.select(F.col("_i").alias("item_1"), F.col("_i").alias("item_2"),
+                            F.lit(0).alias("val"), F.lit(True).alias("_seen"))
+        v = v.withColumn("_seen", F.lit(False)).unionByName(diag)
     return v
 
 
-def _product_sum(w: DataFrame, v: DataFrame) -> DataFrame:
-    j = w.join(v, F.col("item_id") == F.col("item_1"))
-    return j.groupBy("user_id", F.col("item_2").alias("item_id")).agg(
-        F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score"))
+def _product_sum(w: DataFrame, v: DataFrame, how: str = "inner") -> DataFrame:
+    """``(user_id, item_id, score[, _seen])``: the partial products summed per (user, item).
+
+    With ``how='left'`` a rating that meets no matrix row still yields one row with a NULL item,
+    so every user of ``w`` appears in the result (needed to pad empty lists).
+    """
+    j = w.join(v, F.col("item_id") == F.col("item_1"), how)
+    aggs = [F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score")]
+    if "_seen" in v.columns:
+        aggs.append(F.max("_seen").alias("_seen"))
+    return j.groupBy("user_id", F.col("item_2").alias("item_id")).agg(*aggs)
 
 
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
               hot_user_degree: int | None, hot_item_degree: int | None,
-              max_hot_keys: int, partitions: int | None, user_partitioned: bool = False) -> list[_Branch]:
+              max_hot_keys: int, partitions: int | None, user_partitioned: bool = False,
+              how: str = "inner", skip_zero_weights: bool = True) -> list[DataFrame]:
+    """Scores ``(user_id, item_id, score[, _seen])`` per branch (ordinary users; hot users). ``skip_zero_weights`` drops ratings of weight 0 before the join (they add
+    nothing, but would create zero-score rows); ranking keeps them so that they still mark their
+    item as seen and keep their user present."""
     spark = weights.sparkSession
-    nonzero = F.col("w") != 0
+    nonzero = F.col("w") != 0 if skip_zero_weights else F.lit(True)
     v_b, small = broadcast_if_bounded(v, max_bytes=max_broadcast_bytes)
     if small:
         # Sized by the exact number of partial products, not by the weight rows shuffled.
@@ -79,11 +95,11 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
         # the product, so AQE must not coalesce this stage by its small shuffle size. Input that is
         # already bucketed by user keeps its partitioning and needs no exchange at all.
         wn = split.normal if user_partitioned else split.normal.repartition(parts, "user_id")
-        out = [_Branch(wn, _product_sum(wn.filter(nonzero), v_b))]
+        out = [_product_sum(wn.filter(nonzero), v_b, how)]
         if split.hot is not None:
             wh = (split.hot.withColumn("_chunk", chunk_of("item_id"))
                   .repartition(parts, "user_id", "_chunk").drop("n_chunks"))
-            out.append(_Branch(wh.drop("_chunk"), _product_sum(wh.filter(nonzero), v_b)))
+            out.append(_product_sum(wh.filter(nonzero), v_b, how))
         return out
     # Shuffle join on the item, both sides partitioned explicitly (sized by the partial products:
     # AQE would size this stage by the few bytes of its inputs). Hot items: ratings salted by user,
@@ -92,9 +108,9 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     parts = partitions or partitions_for(spark, equi_join_rows(wz, "item_id", v, "item_1"), SCORING_ROWS_PER_TASK)
     split = (split_hot_keys(wz, "item_id", min_degree=hot_item_degree, max_hot_keys=max_hot_keys)
              if hot_item_degree is not None else HotSplit(wz, None, 0))
-    cols = ["user_id", "item_2", "w", "val"]
+    cols = ["user_id", "item_2", "w", "val"] + (["_seen"] if "_seen" in v.columns else [])
     products = (split.normal.repartition(parts, "item_id")
-                .join(v.repartition(parts, "item_1"), F.col("item_id") == F.col("item_1")).select(*cols))
+                .join(v.repartition(parts, "item_1"), F.col("item_id") == F.col("item_1"), how).select(*cols))
     if split.hot is not None:
         hot_items = split.keys.withColumnRenamed("item_id", "item_1")
         wh = (split.hot.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.col("n_chunks").cast("long")).cast("int"))
@@ -102,27 +118,29 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
         vh = (v.join(hot_items, "item_1")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
               .drop("n_chunks").withColumnRenamed("item_1", "_item").repartition(parts, "_item", "_salt"))
-        hot_products = wh.join(vh, (F.col("item_id") == F.col("_item")) & (wh["_salt"] == vh["_salt"]))
+        hot_products = wh.join(vh, (F.col("item_id") == F.col("_item")) & (wh["_salt"] == vh["_salt"]), how)
         products = products.unionByName(hot_products.select(*cols))
-    scores = products.groupBy("user_id", F.col("item_2").alias("item_id")).agg(
-        F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score"))
-    return [_Branch(weights, scores)]
-
-
-def _pad(top: DataFrame, users: DataFrame, k: int) -> DataFrame:
-    """Every user's list filled up to ``k`` with zero-score items, lowest ids first, skipping the
-    ids already listed.
-
-    One pass over ``top``: each user's listed entries (at most ``k``) are collected, joined onto
-    the users, and exploded together with the fillers. ``m < k`` listed ids leave at least
-    ``k - m`` free ids in ``0..k-1``, so the fillers come from a per-user array of ``k`` ids
-    rather than a cross join with an id range.
+    aggs = [F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score")]
+    if "_seen" in v.columns:
+        aggs.append(F.max("_seen").alias("_seen"))
+    scores = products.groupBy("user_id", F.col("item_2").alias("item_id")).agg(*aggs)
+    return [scores]
+
+
+def _pad(ranked: DataFrame, k: int) -> DataFrame:
+    """Every user's list: the positive scores among their ``k`` best rows, then zero-score
+    fillers with the lowest ids not listed, up to ``k`` entries.
+
+    ``ranked`` holds each user's first ``k`` rows of all scored rows (seen markers and rows with
+    a NULL item included), so every user is present and no join with a user list is needed. One
+    user's rows (at most ``k``) are collected; ``m < k`` listed ids leave at least ``k - m`` free
+    ids in ``0..k-1``, so the fillers come from a per-user array of ``k`` ids rather than a cross
+    join with an id range.
     """
     entry = "struct<item_id:bigint,score:bigint>"
-    got = top.groupBy("user_id").agg(
+    got = ranked.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "item_id", "score"))).alias("_top"))
-    base = users.join(got, "user_id", "left")
-    listed = F.transform(F.coalesce(F.col("_top"), F.array()),
+    listed = F.transform(F.filter(F.col("_top"), lambda e: e["score"] > 0),
                          lambda e: F.struct(e["item_id"].alias("item_id"), e["score"].alias("score")))
     listed = listed.cast(f"array<{entry}>")
     m = F.size(listed)
@@ -130,7 +148,7 @@ def _pad(top: DataFrame, users: DataFrame, k: int) -> DataFrame:
                           F.transform(listed, lambda e: e["item_id"]))
     fill = F.transform(F.slice(free, 1, F.greatest(F.lit(k) - m, F.lit(0))),
                        lambda x: F.struct(x.alias("item_id"), F.lit(0).cast("bigint").alias("score")))
-    out = base.select("user_id", F.posexplode(F.concat(listed, fill.cast(f"array<{entry}>"))).alias("_pos", "_e"))
+    out = got.select("user_id", F.posexplode(F.concat(listed, fill.cast(f"array<{entry}>"))).alias("_pos", "_e"))
     return out.select("user_id", F.col("_e.item_id").alias("item_id"), F.col("_e.score").alias("score"),
                       (F.col("_pos") + 1).cast("int").alias("rank"))
 
@@ -149,9 +167,9 @@ def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool =
                          max_broadcast_bytes=max_broadcast_bytes, hot_user_degree=hot_user_degree,
                          hot_item_degree=hot_item_degree, max_hot_keys=max_hot_keys,
                          partitions=partitions, user_partitioned=user_partitioned)
-    out = branches[0].scores
+    out = branches[0]
     for b in branches[1:]:
-        out = out.unionByName(b.scores)
+        out = out.unionByName(b)
     return out
 
 
@@ -177,19 +195,22 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     if pad_zeros and exclude_seen:
         raise ValueError("pad_zeros pads with the lowest ids and does not combine with exclude_seen")
     weights = scaled_ratings(ratings)
-    v = _matrix(scaled_similarity(sim), symmetric)
+    v = _matrix(scaled_similarity(sim), symmetric, markers=exclude_seen)
     branches = _branches(weights, v, max_broadcast_bytes=max_broadcast_bytes,
                          hot_user_degree=hot_user_degree, hot_item_degree=hot_item_degree,
                          max_hot_keys=max_hot_keys, partitions=partitions,
-                         user_partitioned=user_partitioned)
+                         user_partitioned=user_partitioned,
+                         how="left" if pad_zeros else "inner",
+                         skip_zero_weights=not (exclude_seen or pad_zeros))
     result = None
-    for b in branches:
-        s = b.scores.filter(F.col("score") > 0)
-        if exclude_seen:
-            s = s.join(b.weights.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-        top = top_k_per_user(s, k).select("user_id", "item_id", "score", "rank")
+    for scores in branches:
         if pad_zeros:
-            top = _pad(top, b.weights.select("user_id").distinct(), k)
+            top = _pad(top_k_per_user(scores, k), k)
+        else:
+            s = scores.filter(F.col("score") > 0)
+            if exclude_seen:
+                s = s.filter(~F.col("_seen"))
+            top = top_k_per_user(s, k).select("user_id", "item_id", "score", "rank")
         result = top if result is None else result.unionByName(top)
     return result
 
