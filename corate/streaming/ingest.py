@@ -20,9 +20,15 @@ from corate.sources.readers import rating_fields, split_rating_fields
 
 def _batch_writer(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, rejects = split_rating_fields(batch, with_timestamp=True)
-        good.write.mode("overwrite").parquet(f"{table_path}/good/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{table_path}/rejects/batch_id={batch_id}")
+        # Two outputs from one micro-batch: keep the parsed batch for the second write (a lost
+        # block is recomputed from the batch's source files).
+        batch.persist()
+        try:
+            good, rejects = split_rating_fields(batch, with_timestamp=True)
+            good.write.mode("overwrite").parquet(f"{table_path}/good/batch_id={batch_id}")
+            rejects.write.mode("overwrite").parquet(f"{table_path}/rejects/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
