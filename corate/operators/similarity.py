@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from corate.functions.scalars import cosine
 from corate.operators.catalog import ratings_in_catalog
-from corate.plans.skew import DEFAULT_MAX_HOT_KEYS, chunk_of, partitions_for, split_hot_keys
+from corate.plans.skew import (
+    DEFAULT_MAX_BROADCAST_BYTES,
+    DEFAULT_MAX_HOT_KEYS,
+    chunk_of,
+    partitions_for,
+    split_hot_keys,
+)
 
 # A user with more ratings than this is cut into chunks of about this many items before the
 # self-join, so one task holds at most ~threshold^2 / 2 item pairs of a single user.
@@ -130,16 +136,54 @@ def similarity_from_stats(stats: DataFrame, truncate: bool = True) -> DataFrame:
     return out
 
 
+# A broadcast item-id set costs ~16 bytes per id.
+ITEM_SET_ROW_BYTES = 16
+
+
+def rated_at_least(ratings: DataFrame, min_raters: int, *,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Ratings of items with at least ``min_raters`` raters.
+
+    A pair can only have ``n`` common raters if both items have ``n`` raters, so this is an exact
+    pre-filter for any support threshold, applied before the quadratic self join. One job counts
+    the frequent and the rare items (item counts combine map-side). The smaller set is then
+    broadcast: a semi join with the frequent items, or an anti join with the rare ones. Both keep
+    the ratings' partitioning. Nothing rare: no join. Both sets too large to broadcast: the
+    ratings are returned unpruned, since a shuffled semi join would move every rating once more
+    to save pair work.
+    """
+    counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("_raters"))
+    stats = counts.agg(F.count(F.when(F.col("_raters") >= min_raters, True)).alias("frequent"),
+                       F.count(F.when(F.col("_raters") < min_raters, True)).alias("rare")).first()
+    frequent, rare = stats["frequent"] or 0, stats["rare"] or 0
+    if rare == 0:
+        return ratings
+    if min(frequent, rare) * ITEM_SET_ROW_BYTES > max_broadcast_bytes:
+        return ratings
+    if frequent <= rare:
+        keep = counts.filter(F.col("_raters") >= min_raters).select("item_id")
+        return ratings.join(F.broadcast(keep), "item_id", "left_semi")   # `frequent` ids, counted
+    drop = counts.filter(F.col("_raters") < min_raters).select("item_id")
+    return ratings.join(F.broadcast(drop), "item_id", "left_anti")       # `rare` ids, counted
+
+
 def item_similarity(ratings: DataFrame, items: DataFrame | None = None, *, min_support: int = 20,
                     truncate: bool = True, hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
-                    max_hot_users: int = DEFAULT_MAX_HOT_KEYS, user_partitioned: bool = False) -> DataFrame:
+                    max_hot_users: int = DEFAULT_MAX_HOT_KEYS, user_partitioned: bool = False,
+                    prune_rare_items: bool = True) -> DataFrame:
     """Cosine similarity of every item pair with at least ``min_support`` common raters.
 
-    Plan: (catalog semi join) -> self join on user (hot users chunked) -> partial aggregate ->
-    shuffle on the pair -> final aggregate -> support filter -> cosine. The exploded pairs are
-    combined in the join's own stage; only per-pair partial sums cross the network.
+    Plan: (catalog semi join) -> (drop items with fewer than ``min_support`` raters) -> self join
+    on user (hot users chunked) -> partial aggregate -> shuffle on the pair -> final aggregate ->
+    support filter -> cosine. The exploded pairs are combined in the join's own stage; only
+    per-pair partial sums cross the network.
     """
-    co = co_ratings(ratings, items, hot_user_degree=hot_user_degree, max_hot_users=max_hot_users,
+    r = ratings.select("user_id", "item_id", "rating")
+    if items is not None:
+        r = ratings_in_catalog(r, items)
+    if prune_rare_items and min_support > 1:
+        r = rated_at_least(r, min_support)
+    co = co_ratings(r, hot_user_degree=hot_user_degree, max_hot_users=max_hot_users,
                     user_partitioned=user_partitioned)
     stats = pair_stats(co, truncate=truncate).filter(F.col("n") >= min_support)
     return similarity_from_stats(stats, truncate=truncate)

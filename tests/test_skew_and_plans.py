@@ -148,3 +148,17 @@ def test_bucketed_ratings_remove_user_exchanges(spark, data, capsys, tmp_path):
     tree = _plan(spark, rec).split("\n\n")[0]
     assert tree.count("Exchange") == tree.count("BroadcastExchange")   # no shuffle at all
     assert rows(rec) == rows(recommend(r, s, 10))
+
+
+def test_rare_item_pruning_is_exact(spark):
+    from corate.operators.similarity import rated_at_least
+    r = spark.createDataFrame(
+        [(u, i, 1.0 + (u + i) % 4) for u in range(30) for i in range(6) if i < 3 or u % (i + 1) == 0],
+        "user_id bigint, item_id bigint, rating double")
+    counts = dict((x.item_id, x.c) for x in r.groupBy("item_id").agg(F.count("*").alias("c")).collect())
+    for k in (1, 6, 8, 12, 31):
+        kept = {x.item_id for x in rated_at_least(r, k).select("item_id").distinct().collect()}
+        assert kept == {i for i, c in counts.items() if c >= k}
+        a = item_similarity(r, min_support=k)
+        b = item_similarity(r, min_support=k, prune_rare_items=False)
+        assert rows(a) == rows(b)
