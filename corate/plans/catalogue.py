@@ -20,6 +20,7 @@ from corate.operators.similarity import (
     frequent_pairs,
     item_similarity,
     pair_stats,
+    rated_at_least,
 )
 from corate.operators.topk import top_k
 from corate.operators.vectors import (
@@ -110,8 +111,8 @@ def q_pair_stats(spark, sf_dir):
 
 
 def q_frequent_pairs(spark, sf_dir):
-    stats = pair_stats(co_ratings(bridge.ratings(spark, sf_dir, written=True)))
-    return frequent_pairs(stats, FREQUENT_SUPPORT)
+    r = rated_at_least(bridge.ratings(spark, sf_dir, written=True), FREQUENT_SUPPORT)  # exact pre-filter
+    return frequent_pairs(pair_stats(co_ratings(r)), FREQUENT_SUPPORT)
 
 
 def q_co_ratings(spark, sf_dir):
