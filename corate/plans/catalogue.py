@@ -13,7 +13,7 @@ from corate import bridge
 from corate.functions.scalars import title_year
 from corate.operators.catalog import filter_title, rating_lookup, ratings_in_catalog, ratings_of_item
 from corate.operators.dedupe import latest_by_key, upsert_items, upsert_ratings
-from corate.operators.recommend import format_recommendations, recommend, user_scores
+from corate.operators.recommend import recommend, user_scores
 from corate.operators.similarity import (
     candidate_pairs,
     co_ratings,
@@ -31,7 +31,6 @@ from corate.operators.vectors import (
     user_vectors,
 )
 from corate.session import materialize, scratch_path, table
-from corate.streaming.ingest import current_ratings, start_rating_ingest
 from corate.sinks.writers import (
     export_items,
     write_bucketed,
@@ -47,6 +46,7 @@ from corate.sources.readers import (
     read_ratings,
     read_similarity,
 )
+from corate.streaming.ingest import current_ratings, start_rating_ingest
 
 # Fixed query parameters (section 7.5 of the survey).
 MIN_SUPPORT = 20

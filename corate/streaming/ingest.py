@@ -11,7 +11,6 @@ writes them out as a plain table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corate.operators.dedupe import latest_by_key
