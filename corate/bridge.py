@@ -37,8 +37,7 @@ def ratings(spark: SparkSession, sf_dir: str, *, written: bool = False) -> DataF
     ``written=True`` stores them under the checkpoint root first, as a job does before
     reading them several times (self join, degree counts, scoring).
     """
-    r = latest_by_key(rating_events(spark, sf_dir), ["user_id", "item_id"], EVENT_ORDER)
-    r = r.select("user_id", "item_id", "rating")
+    r = latest_by_key(rating_events(spark, sf_dir), ["user_id", "item_id"], EVENT_ORDER, values=["rating"])
     return materialize(r, "ratings") if written else r
 
 

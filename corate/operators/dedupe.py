@@ -12,16 +12,18 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
+                  values: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per key: the one with the greatest ``order_by`` tuple (latest write).
 
     Expressed as ``groupBy(keys).agg(max_by(struct(rest), struct(order_by)))`` rather than a
     ``row_number`` window: the aggregate combines map-side before the shuffle, so a key with
     many versions does not send all of them to one task, and no sort is needed.
-    Nulls in the ordering rank lowest (as ``ORDER BY ... DESC NULLS LAST``).
+    Nulls in the ordering rank lowest (as ``ORDER BY ... DESC NULLS LAST``). ``values`` limits the
+    carried columns (default: all non-key columns); the aggregation buffer holds only those.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
+    rest = list(values) if values is not None else [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
     order = F.struct(*_cols(order_by))
