@@ -66,3 +66,15 @@ def test_java_int_rules(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in df.select(java_int("x")).collect()]
     assert got == [0, 2, -2, 99, 0, 2147483647, -2147483648, 2147483647, -2147483648, None]
+
+
+def test_user_renumbering_leaves_similarity_unchanged(spark):
+    from conftest import SF_SMALL
+    from corate import bridge
+    from corate.operators import item_similarity
+    r = bridge.ratings(spark, SF_SMALL)
+    renumbered = r.select((F.lit(10**9) - F.col("user_id") * 7).alias("user_id"), "item_id", "rating")
+    for truncate in (True, False):
+        a = item_similarity(r, min_support=5, truncate=truncate)
+        b = item_similarity(renumbered, min_support=5, truncate=truncate)
+        assert a.count() > 0 and rows(a) == rows(b)
