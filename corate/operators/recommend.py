@@ -192,6 +192,8 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     ``user_partitioned=True`` declares ``ratings`` hash partitioned by user (a table bucketed by
     ``user_id``), which removes the exchange of the scoring stage.
     """
+    if k < 1:
+        raise ValueError("k must be at least 1")
     if pad_zeros and exclude_seen:
         raise ValueError("pad_zeros pads with the lowest ids and does not combine with exclude_seen")
     weights = scaled_ratings(ratings)

@@ -100,3 +100,16 @@ def test_padded_list_for_user_without_scores(spark, ratings):
     out = recommend(r, sim, 4, pad_zeros=True).filter("user_id = 4").orderBy("rank").collect()
     assert [(x.item_id, x.score, x.rank) for x in out] == [(0, 0, 1), (1, 0, 2), (2, 0, 3), (3, 0, 4)]
     assert recommend(r, sim, 4).filter("user_id = 4").count() == 0
+
+
+def test_edge_inputs(spark, ratings):
+    empty_sim = spark.createDataFrame([], "item_1 bigint, item_2 bigint, similarity double, n_ratings bigint")
+    assert recommend(ratings, empty_sim, 5).count() == 0
+    padded = recommend(ratings, empty_sim, 3, pad_zeros=True)
+    assert rows(padded, "user_id", "item_id", "score") == [(u, i, 0) for u in (1, 2, 3) for i in (0, 1, 2)]
+    assert recommend(ratings, empty_sim, 5, exclude_seen=True).count() == 0
+    no_ratings = ratings.limit(0)
+    assert item_similarity(no_ratings, min_support=1).count() == 0
+    assert recommend(no_ratings, item_similarity(ratings, min_support=2), 5).count() == 0
+    with pytest.raises(ValueError):
+        recommend(ratings, empty_sim, 0)
