@@ -337,9 +337,7 @@ def q_recommend_padded(spark, sf_dir):
     return recommend(r, s, PADDED_K, pad_zeros=True)
 
 
-def q_recommendation_text(spark, sf_dir):
-    r, s = _written_similarity(spark, sf_dir)
-    recs = recommend(r, s, RECOMMEND_K)
+def _recommendation_text(spark, recs):
     path = write_recommendations(recs, scratch_path(spark, "recommendations"))
     text = spark.read.text(path)
     return text.select(
@@ -347,6 +345,17 @@ def q_recommendation_text(spark, sf_dir):
         F.expr("substring(value, length(substring_index(value, '\t', 1)) + 2)").alias("recs"))
 
 
+def q_recommendation_text(spark, sf_dir):
+    r, s = _written_similarity(spark, sf_dir)
+    return _recommendation_text(spark, recommend(r, s, RECOMMEND_K))
+
+
+def q_recommendation_text_padded(spark, sf_dir):
+    """The original job's final output: every user's 100 entries, zero scores padding the list."""
+    r, s = _written_similarity(spark, sf_dir)
+    return _recommendation_text(spark, recommend(r, s, PADDED_K, pad_zeros=True))
+
+
 QUERIES: dict[str, Query] = {
     "item_similarity": q_item_similarity,
     "item_similarity_exact": q_item_similarity_exact,
@@ -386,4 +395,5 @@ QUERIES: dict[str, Query] = {
     "recommend_unseen": q_recommend_unseen,
     "recommend_padded": q_recommend_padded,
     "recommendation_text": q_recommendation_text,
+    "recommendation_text_padded": q_recommendation_text_padded,
 }

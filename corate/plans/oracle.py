@@ -97,7 +97,7 @@ def _recommend_sql(k: int, symmetric: bool = False, unseen: bool = False) -> str
     return _with([*ctes, _top(k, where=where)], "SELECT user_id, item_id, score, rank FROM TOP")
 
 
-def _padded_sql(k: int) -> str:
+def _padded_sql(k: int, text: bool = False) -> str:
     ctes = [*_SIM_CTES, _SS, _W, _scores_cte(), _top(k)]
     body = f"""SELECT user_id, item_id, score, rank FROM TOP
 UNION ALL
@@ -111,6 +111,9 @@ FROM (
   WHERE NOT EXISTS (SELECT 1 FROM TOP x WHERE x.user_id = u.user_id AND x.item_id = g.i)
 ) c
 QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY item_id) <= {k} - m"""
+    if text:
+        body = (f"SELECT user_id, string_agg({_PACK.format(c='item_id', v='score')}, '' ORDER BY rank) AS recs "
+                f"FROM ({body}) p GROUP BY user_id")
     return _with(ctes, body)
 
 
@@ -195,6 +198,7 @@ SELECT CAST(user_id AS VARCHAR) || ',' || CAST(item_id AS VARCHAR) || ',x', 'non
     q["recommend_symmetric"] = _recommend_sql(C.RECOMMEND_K, symmetric=True)
     q["recommend_unseen"] = _recommend_sql(C.RECOMMEND_K, unseen=True)
     q["recommend_padded"] = _padded_sql(C.PADDED_K)
+    q["recommendation_text_padded"] = _padded_sql(C.PADDED_K, text=True)
     q["recommendation_text"] = _with(
         [*sim, _SS, _W, _scores_cte(), _top(C.RECOMMEND_K)],
         f"SELECT user_id, string_agg({_PACK.format(c='item_id', v='score')}, '' ORDER BY rank) AS recs "
