@@ -2,6 +2,7 @@
 
 from corate.sinks.writers import (
     export_items,
+    key_ordered,
     packed_lines,
     run_path,
     write_bucketed,
@@ -12,5 +13,5 @@ from corate.sinks.writers import (
     write_table,
 )
 
-__all__ = ["export_items", "packed_lines", "run_path", "similarity_lines", "write_bucketed", "write_packed",
+__all__ = ["export_items", "key_ordered", "packed_lines", "run_path", "similarity_lines", "write_bucketed", "write_packed",
            "write_recommendations", "write_similarity", "write_table"]

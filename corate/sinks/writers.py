@@ -20,15 +20,25 @@ def run_path(base: str, run_id: str | int | None = None) -> str:
     return f"{base.rstrip('/')}/run={rid}"
 
 
+def key_ordered(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Range partitioned and sorted by ``keys``: part files in name order hold ascending keys
+    (the layout of sorted reducer output). Range bounds come from a sample of the keys; no
+    single task sorts everything. ``partitions`` fixes the file count (else AQE sizes it)."""
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
+
+
 def write_table(df: DataFrame, path: str, if_exists: str = "overwrite", *,
-                partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> str:
+                partition_by: list[str] | None = None, sort_within: list[str] | None = None,
+                order_by: list[str] | None = None) -> str:
     """Write ``df`` as a Parquet table, one file per task.
 
     ``if_exists``: ``overwrite`` (drop and recreate), ``append`` (create if missing, else add),
-    ``error`` or ``ignore``. ``sort_within`` sorts each file by those columns (key-ordered
-    output without a global sort). Returns ``path``.
+    ``error`` or ``ignore``. ``sort_within`` sorts each file by those columns; ``order_by``
+    orders the whole output across files (``key_ordered``). Returns ``path``.
     """
-    w = df.sortWithinPartitions(*sort_within) if sort_within else df
+    w = key_ordered(df, order_by) if order_by else df
+    w = w.sortWithinPartitions(*sort_within) if sort_within else w
     writer = w.write.mode(_MODES[if_exists])
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -68,8 +78,11 @@ def similarity_lines(sim: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
-def write_similarity(sim: DataFrame, path: str, if_exists: str = "overwrite") -> str:
-    similarity_lines(sim).write.mode(_MODES[if_exists]).text(path)
+def write_similarity(sim: DataFrame, path: str, if_exists: str = "overwrite", *, ordered: bool = False,
+                     partitions: int | None = None) -> str:
+    """Similarity text; ``ordered`` writes the pairs in ascending ``(item_1, item_2)`` across files."""
+    src = key_ordered(sim, ["item_1", "item_2"], partitions) if ordered else sim
+    similarity_lines(src).write.mode(_MODES[if_exists]).text(path)
     return path
 
 

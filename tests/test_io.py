@@ -113,3 +113,19 @@ def test_upsert_items_incoming_wins(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "item_id bigint, title string")
     new = spark.createDataFrame([(2, "B"), (3, "c")], "item_id bigint, title string")
     assert rows(upsert_items(old, new)) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_ordered_similarity_text(spark, tmp_path):
+    import glob
+    sim = spark.range(2000).select(
+        (F.col("id") * 7919 % 97).alias("item_1"), (F.col("id") * 104729 % 1009 + 1000).alias("item_2"),
+        (F.col("id") / 2000.0).alias("similarity"), F.lit(20).cast("bigint").alias("n_ratings")
+    ).dropDuplicates(["item_1", "item_2"]).repartition(7)
+    path = write_similarity(sim, str(tmp_path / "s"), ordered=True, partitions=4)
+    keys = []
+    for f in sorted(glob.glob(f"{path}/part-*")):
+        for line in open(f):
+            a, b = line.split("\t")[0].split(" ")
+            keys.append((int(a), int(b)))
+    assert len(keys) == sim.count() and keys == sorted(keys)
+    assert len(glob.glob(f"{path}/part-*")) > 1
