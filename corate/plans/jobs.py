@@ -74,15 +74,17 @@ def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str
 
 def similarity_job(ratings: DataFrame, out_dir: str, *, items: DataFrame | None = None,
                    min_support: int = 20, truncate: bool = True, run_id: str | int | None = None,
-                   text: bool = True, user_partitioned: bool = False) -> str:
-    """Item similarity written as a table (and as ``m1 m2<TAB>sim n`` text); returns the run path."""
+                   text: bool = True, user_partitioned: bool = False, ordered_text: bool = False) -> str:
+    """Item similarity written as a table (and as ``m1 m2<TAB>sim n`` text, in key order across
+    files with ``ordered_text``); returns the run path."""
     base = run_path(out_dir, run_id)
     sim = item_similarity(ratings, items, min_support=min_support, truncate=truncate,
                           user_partitioned=user_partitioned)
     write_table(sim, f"{base}/similarity")
     if text:
         spark = ratings.sparkSession
-        write_similarity(spark.read.parquet(f"{base}/similarity"), f"{base}/similarity_text")
+        write_similarity(spark.read.parquet(f"{base}/similarity"), f"{base}/similarity_text",
+                         ordered=ordered_text)
     return base
 
 
