@@ -162,3 +162,10 @@ def test_rare_item_pruning_is_exact(spark):
         a = item_similarity(r, min_support=k)
         b = item_similarity(r, min_support=k, prune_rare_items=False)
         assert rows(a) == rows(b)
+
+
+def test_item_lookup_pushed_to_scan(spark):
+    import __spark_entry__ as E
+    plan = _plan(spark, E.queries()["ratings_of_item"](spark, SF_MID))
+    scan = [line for line in plan.splitlines() if "PushedFilters" in line and "EqualTo(l_suppkey,3)" in line]
+    assert scan, "item equality should reach the lineitem scan through the dedupe aggregate and join"
