@@ -50,5 +50,5 @@ def test_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["item_1", "item_2", "similarity", "n_ratings"]
+    assert df.columns == ["user_id", "item_id", "score", "rank"]
     assert df.count() >= 0
