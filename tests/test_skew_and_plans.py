@@ -1,5 +1,7 @@
 """Hot-key paths give the same results as the plain paths; plans have the intended shape."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +171,11 @@ def test_item_lookup_pushed_to_scan(spark):
     plan = _plan(spark, E.queries()["ratings_of_item"](spark, SF_MID))
     scan = [line for line in plan.splitlines() if "PushedFilters" in line and "EqualTo(l_suppkey,3)" in line]
     assert scan, "item equality should reach the lineitem scan through the dedupe aggregate and join"
+
+
+def test_hot_user_branch_partitions_by_chunk(spark, data):
+    r, s = data
+    plan = _plan(spark, recommend(r, s, 10, hot_user_degree=40))
+    assert "Union" in plan.split("\n\n")[0]
+    assert re.search(r"hashpartitioning\(user_id#\d+L, \d+\), REPARTITION_BY_NUM", plan)        # ordinary users
+    assert re.search(r"hashpartitioning\(user_id#\d+L, _chunk#\d+, \d+\), REPARTITION_BY_NUM", plan)  # hot users
