@@ -5,6 +5,8 @@
     python -m corate recommend --ratings /shared/tables/run=1/ratings --similarity /shared/sim/run=1/similarity \\
         --out /shared/recs [--k 100 --pad-zeros]
     python -m corate export --items movies.csv --out /shared/export
+    python -m corate ingest --source /shared/incoming --table /shared/rating_events \
+        --checkpoint /shared/ckpt/ingest [--every "1 minute"]
 
 Inputs named ``*.csv`` / text are parsed with the library readers; other paths are read as Parquet.
 Outputs go under ``<out>/run=<id>``. The session comes from the environment (spark-submit).
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corate.plans.jobs import export_job, load_job, recommend_job, similarity_job
 from corate.sources.readers import read_ratings, read_similarity
+from corate.streaming.ingest import start_rating_ingest
 
 
 def _session() -> SparkSession:
@@ -65,6 +68,11 @@ def main(argv: list[str] | None = None) -> str:
     ex.add_argument("--items", required=True)
     ex.add_argument("--out", required=True)
     ex.add_argument("--marker", default="(20")
+    ig = sub.add_parser("ingest", help="stream rating log files into the rating event table")
+    ig.add_argument("--source", required=True)
+    ig.add_argument("--table", required=True)
+    ig.add_argument("--checkpoint", required=True)
+    ig.add_argument("--every", help="trigger interval for a continuous run (default: catch up and stop)")
     for s in (ld, sm, rc, ex):
         s.add_argument("--run-id")
     a = p.parse_args(argv)
@@ -81,6 +89,11 @@ def main(argv: list[str] | None = None) -> str:
         out = recommend_job(_ratings(spark, a.ratings), _similarity(spark, a.similarity, a.similarity_text),
                             a.out, k=a.k, symmetric=a.symmetric, exclude_seen=a.exclude_seen,
                             pad_zeros=a.pad_zeros, run_id=a.run_id)
+    elif a.job == "ingest":
+        q = start_rating_ingest(spark, a.source, a.table, a.checkpoint,
+                                available_now=a.every is None, processing_time=a.every)
+        q.awaitTermination()
+        out = a.table
     else:
         out = export_job(spark, a.items, a.out, marker=a.marker, run_id=a.run_id)
     print(out)

@@ -22,6 +22,13 @@ def test_cli_pipeline(spark, tmp_path):
                  "--similarity-text", "--out", f"{d}/r", "--k", "3", "--run-id", "1"])
     top = spark.read.parquet(f"{recs}/recommendations").filter("user_id = 1").orderBy("rank")
     assert [r.item_id for r in top.collect()] == [3, 4, 2]
+    os.makedirs(f"{d}/incoming")
+    with open(f"{d}/incoming/ratings.csv", "w") as f:
+        f.write(RATINGS)
+    table = main(["ingest", "--source", f"{d}/incoming", "--table", f"{d}/events", "--checkpoint", f"{d}/ck"])
+    from corate.streaming import current_ratings
+    assert current_ratings(spark, table).count() == 10
+
     out = main(["export", "--items", f"{d}/movies.csv", "--out", f"{d}/e", "--run-id", "1"])
     exported = spark.read.option("header", True).option("escape", '"').csv(out)
     assert rows(exported, "item_id") == [("1",), ("2",), ("3",), ("4",)]
