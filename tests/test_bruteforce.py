@@ -104,16 +104,18 @@ def test_similarity_matches_brute_force(spark, r, min_support, truncate):
             assert math.isclose(got[p][0], want[p][0], rel_tol=1e-12)
 
 
-@settings(max_examples=14, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(r=ratings_st, k=st.integers(1, 6),
-       option=st.sampled_from(["plain", "symmetric", "unseen", "padded", "symmetric+unseen", "symmetric+padded"]))
-def test_recommend_matches_brute_force(spark, r, k, option):
+       option=st.sampled_from(["plain", "symmetric", "unseen", "padded", "symmetric+unseen", "symmetric+padded"]),
+       fallback=st.booleans())
+def test_recommend_matches_brute_force(spark, r, k, option, fallback):
     df = _df(spark, r)
     sim_df = item_similarity(df, min_support=1)
     sim = {(x.item_1, x.item_2): (x.similarity, x.n_ratings) for x in sim_df.collect()}
     kw = {"symmetric": "symmetric" in option, "exclude_seen": "unseen" in option, "pad_zeros": "padded" in option}
     got = defaultdict(list)
-    for x in recommend(df, sim_df, k, hot_user_degree=3, **kw).orderBy("user_id", "rank").collect():
+    plan = {"max_broadcast_bytes": 0, "hot_item_degree": 2} if fallback else {"hot_user_degree": 3}
+    for x in recommend(df, sim_df, k, **plan, **kw).orderBy("user_id", "rank").collect():
         got[x.user_id].append((x.item_id, x.score))
     want = brute_recommend(r, sim, k, symmetric=kw["symmetric"], exclude_seen=kw["exclude_seen"], pad=kw["pad_zeros"])
     assert {u: v for u, v in want.items() if v} == dict(got)
