@@ -31,3 +31,39 @@ def test_incremental_ingest(spark, tmp_path):
     # restart with nothing new: no batch is added, nothing duplicated
     start_rating_ingest(spark, src, table, ckpt).awaitTermination()
     assert spark.read.parquet(table + "/good").count() == 5
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+events_st = st.lists(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.sampled_from([0.5, 1.0, 3.5, 5.0])),
+             min_size=1, max_size=8),
+    min_size=1, max_size=3)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=events_st, seed=st.integers(0, 10**6))
+def test_ingest_matches_last_write_wins(spark, tmp_path_factory, batches, seed):
+    import random
+    rnd = random.Random(seed)
+    tmp = tmp_path_factory.mktemp("ingest")
+    src, table, ckpt = str(tmp / "src"), str(tmp / "table"), str(tmp / "ckpt")
+    ts_pool = rnd.sample(range(10**6), sum(len(b) for b in batches))   # unique event times
+    latest_event, latest_arrival, i = {}, {}, 0
+    for b, events in enumerate(batches):
+        lines = []
+        for u, it, r in events:
+            ts = ts_pool[i]
+            i += 1
+            lines.append(f"{u},{it},{r},{ts}")
+            key = (u, it)
+            if key not in latest_event or ts > latest_event[key][0]:
+                latest_event[key] = (ts, r)
+            if key not in latest_arrival or (b, ts) > latest_arrival[key][0]:
+                latest_arrival[key] = ((b, ts), r)
+        _put(src, f"batch{b}.csv", "\n".join(lines) + "\n")
+        start_rating_ingest(spark, src, table, ckpt).awaitTermination()
+    assert rows(current_ratings(spark, table)) == sorted((u, it, r) for (u, it), (_, r) in latest_event.items())
+    assert rows(current_ratings(spark, table, order="arrival")) == sorted(
+        (u, it, r) for (u, it), (_, r) in latest_arrival.items())
