@@ -179,6 +179,11 @@ def item_similarity(ratings: DataFrame, items: DataFrame | None = None, *, min_s
     per-pair partial sums cross the network.
     """
     r = ratings.select("user_id", "item_id", "rating")
+    if truncate:
+        # Truncated products are only defined for non-negative ratings (truncating a running sum
+        # of negative terms depends on their order): fail the job instead of dropping rows.
+        r = r.withColumn("rating", F.when(F.col("rating") >= 0, F.col("rating")).otherwise(
+            F.raise_error(F.lit("item_similarity(truncate=True) needs non-negative ratings"))))
     if items is not None:
         r = ratings_in_catalog(r, items)
     if prune_rare_items and min_support > 1:

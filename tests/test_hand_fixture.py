@@ -113,3 +113,13 @@ def test_edge_inputs(spark, ratings):
     assert recommend(no_ratings, item_similarity(ratings, min_support=2), 5).count() == 0
     with pytest.raises(ValueError):
         recommend(ratings, empty_sim, 0)
+
+
+def test_negative_ratings_rejected_in_truncated_mode(spark):
+    r = spark.createDataFrame([(1, 1, 2.0), (1, 2, -1.5), (2, 1, 1.0), (2, 2, 3.0)],
+                              "user_id bigint, item_id bigint, rating double")
+    with pytest.raises(Exception, match="non-negative"):
+        item_similarity(r, min_support=1).collect()
+    (row,) = item_similarity(r, min_support=1, truncate=False).collect()   # exact cosine is defined
+    # item 1: (u1 2.0, u2 1.0); item 2: (u1 -1.5, u2 3.0): dot = 2.0*-1.5 + 1.0*3.0 = 0
+    assert row.similarity == 0.0
