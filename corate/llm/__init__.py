@@ -3,7 +3,21 @@
 ``QUERIES`` and ``ORACLE`` hold the registered queries and, where SQL can express them, their SQL.
 """
 
-from corate.llm import decontam, mixing
+import sys
 
-QUERIES = {"op1_mix_sources": mixing.q_op1, "op4_decontaminate": decontam.q_op4}
-ORACLE = {"op1_mix_sources": mixing.SQL, "op4_decontaminate": decontam.SQL}
+from pyspark import cloudpickle
+
+from corate.llm import decontam, licenses, mixing, neardup, pii, toxicity
+
+# Functions for the executors travel with their code: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+QUERIES = {
+    "op1_mix_sources": mixing.q_op1,
+    "op3_near_duplicates": neardup.q_op3,
+    "op4_decontaminate": decontam.q_op4,
+    "op7_personal_data": pii.q_op7,
+    "op9_toxicity": toxicity.q_op9,
+    "op10_licenses": licenses.q_op10,
+}
+ORACLE = {"op1_mix_sources": mixing.SQL, "op4_decontaminate": decontam.SQL, "op10_licenses": licenses.SQL}
