@@ -156,11 +156,11 @@ def _spliced(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans replaced: kinds by ``[KIND]``, terms by ``[TERM]`` or nothing. No row
     goes; ``n_chars``, if there is one, follows the new text. Other columns stay."""
-    s = find(docs, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0).select("_k1", "_k2", "spans").distinct()
+    s = find(docs, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0).select("_k1", "_k2", F.col("spans").alias("_spans")).distinct()
     s = write_stage(s, "pii-spans")
     j = _keyed(docs, id_col, text_col).join(small_broadcast(s, s.count(), 512), ["_k1", "_k2"], "left")
-    has = F.col("spans").isNotNull()
-    new = F.when(has, _spliced(text_or_empty(text_col), F.col("spans"))).otherwise(F.col(text_col))
+    has = F.col("_spans").isNotNull()
+    new = F.when(has, _spliced(text_or_empty(text_col), F.col("_spans"))).otherwise(F.col(text_col))
     j = j.withColumn("_new", new)
     out = [F.col("_new").alias(c) if c == text_col else
            F.when(has, F.length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
