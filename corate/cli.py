@@ -19,8 +19,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corate.operators.catalog import filter_title
+from corate.operators.dedupe import latest_by_key
 from corate.plans.jobs import export_job, load_job, recommend_job, similarity_job
-from corate.sources.readers import read_ratings, read_similarity
+from corate.sources.readers import read_items, read_ratings, read_similarity
 from corate.streaming.ingest import start_rating_ingest
 
 
@@ -31,8 +33,9 @@ def _session() -> SparkSession:
 
 def _ratings(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith((".csv", ".txt")):
-        good, _ = read_ratings(spark, path)
-        return good
+        # The log as a table: one rating per user and item, the newest.
+        good, _ = read_ratings(spark, path, with_timestamp=True)
+        return latest_by_key(good, ["user_id", "item_id"], ["ts", "rating"], values=["rating"])
     return spark.read.parquet(path)
 
 
@@ -49,12 +52,16 @@ def main(argv: list[str] | None = None) -> str:
     ld.add_argument("--out", required=True)
     ld.add_argument("--marker", default="(20")
     ld.add_argument("--user-buckets", type=int)
+    ld.add_argument("--existing-items", help="item table to upsert into")
+    ld.add_argument("--existing-ratings", help="rating table to upsert into")
     sm = sub.add_parser("similarity", help="item-to-item cosine similarity")
     sm.add_argument("--ratings", required=True)
     sm.add_argument("--out", required=True)
     sm.add_argument("--min-support", type=int, default=20)
     sm.add_argument("--exact", action="store_true", help="exact products instead of truncated ones")
     sm.add_argument("--ordered-text", action="store_true")
+    sm.add_argument("--items", help="item CSV: only its items whose title carries --marker take part")
+    sm.add_argument("--marker", default="(20")
     rc = sub.add_parser("recommend", help="top-k items per user")
     rc.add_argument("--ratings", required=True)
     rc.add_argument("--similarity", required=True)
@@ -80,10 +87,12 @@ def main(argv: list[str] | None = None) -> str:
     spark = _session()
     if a.job == "load":
         res = load_job(spark, a.items, a.ratings, a.out, marker=a.marker, run_id=a.run_id,
-                       user_buckets=a.user_buckets)
+                       user_buckets=a.user_buckets, existing_items=a.existing_items,
+                       existing_ratings=a.existing_ratings)
         out = res.ratings
     elif a.job == "similarity":
-        out = similarity_job(_ratings(spark, a.ratings), a.out, min_support=a.min_support,
+        items = filter_title(read_items(spark, a.items), a.marker) if a.items else None
+        out = similarity_job(_ratings(spark, a.ratings), a.out, items=items, min_support=a.min_support,
                              truncate=not a.exact, run_id=a.run_id, ordered_text=a.ordered_text)
     elif a.job == "recommend":
         out = recommend_job(_ratings(spark, a.ratings), _similarity(spark, a.similarity, a.similarity_text),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.scalars import DEFAULT_TITLE_MARKER, title_has_marker
+from corate.plans.skew import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_bounded
 
 
 def filter_title(items: DataFrame, marker: str = DEFAULT_TITLE_MARKER, title_col: str = "title") -> DataFrame:
@@ -27,7 +28,12 @@ def ratings_of_item(ratings: DataFrame, item_id: int) -> DataFrame:
     return ratings.filter(F.col("item_id") == F.lit(item_id)).select("user_id", "rating")
 
 
-def rating_lookup(ratings: DataFrame, keys: DataFrame) -> DataFrame:
+def rating_lookup(ratings: DataFrame, keys: DataFrame, *,
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Bulk point lookup: each ``(user_id, item_id)`` of ``keys`` with its rating, NULL when absent."""
+    k = keys.select("user_id", "item_id")
     r = ratings.select("user_id", "item_id", "rating")
-    return keys.select("user_id", "item_id").join(r, ["user_id", "item_id"], "left")
+    wanted, small = broadcast_if_bounded(k.distinct(), max_bytes=max_broadcast_bytes)
+    if small:  # the ratings are filtered where they are read; only the hits are shuffled
+        r = r.join(wanted, ["user_id", "item_id"], "left_semi")
+    return k.join(r, ["user_id", "item_id"], "left")

@@ -18,7 +18,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
 
     Expressed as ``groupBy(keys).agg(max_by(struct(rest), struct(order_by)))`` rather than a
     ``row_number`` window: the aggregate combines map-side before the shuffle, so a key with
-    many versions does not send all of them to one task, and no sort is needed.
+    many versions does not send all of them to one task. A struct buffer makes it a sort aggregate:
+    each side of the shuffle is sorted by key.
     Nulls in the ordering rank lowest (as ``ORDER BY ... DESC NULLS LAST``). ``values`` limits the
     carried columns (default: all non-key columns); the aggregation buffer holds only those.
     """
@@ -35,14 +36,16 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
            order_by: Sequence[str | Column] = ()) -> DataFrame:
     """``existing`` with ``incoming`` applied, last write wins per key.
 
-    Incoming rows replace existing rows of the same key; within one side the greatest
-    ``order_by`` tuple wins. Columns are matched by name.
+    Incoming rows replace existing rows of the same key; within the batch the greatest ``order_by``
+    tuple wins, then the greatest values, so ties do not depend on the order of the rows. ``existing``
+    is a stored table, unique per key: it is only filtered (anti join with the batch's keys, which
+    Spark broadcasts when they are small), never shuffled for a small batch. Columns are matched
+    by name.
     """
     cols = existing.columns
-    both = (existing.select(*cols).withColumn("_batch", F.lit(0))
-            .unionByName(incoming.select(*cols).withColumn("_batch", F.lit(1))))
-    out = latest_by_key(both, keys, [F.col("_batch"), *_cols(order_by)])
-    return out.select(*cols)
+    rest = [c for c in cols if c not in keys]
+    new = latest_by_key(incoming.select(*cols), keys, [*_cols(order_by), *_cols(rest)]).select(*cols)
+    return existing.select(*cols).join(new.select(*keys), list(keys), "left_anti").unionByName(new)
 
 
 def upsert_items(existing: DataFrame, incoming: DataFrame) -> DataFrame:

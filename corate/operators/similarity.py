@@ -148,9 +148,8 @@ def rated_at_least(ratings: DataFrame, min_raters: int, *,
     pre-filter for any support threshold, applied before the quadratic self join. One job counts
     the frequent and the rare items (item counts combine map-side). The smaller set is then
     broadcast: a semi join with the frequent items, or an anti join with the rare ones. Both keep
-    the ratings' partitioning. Nothing rare: no join. Both sets too large to broadcast: the
-    ratings are returned unpruned, since a shuffled semi join would move every rating once more
-    to save pair work.
+    the ratings' partitioning. Nothing rare: no join. Both sets too large to broadcast: a shuffled
+    semi join with the frequent items; the rows are the same at every size.
     """
     counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("_raters"))
     stats = counts.agg(F.count(F.when(F.col("_raters") >= min_raters, True)).alias("frequent"),
@@ -159,7 +158,8 @@ def rated_at_least(ratings: DataFrame, min_raters: int, *,
     if rare == 0:
         return ratings
     if min(frequent, rare) * ITEM_SET_ROW_BYTES > max_broadcast_bytes:
-        return ratings
+        keep = counts.filter(F.col("_raters") >= min_raters).select("item_id")
+        return ratings.join(keep, "item_id", "left_semi")
     if frequent <= rare:
         keep = counts.filter(F.col("_raters") >= min_raters).select("item_id")
         return ratings.join(F.broadcast(keep), "item_id", "left_semi")   # `frequent` ids, counted

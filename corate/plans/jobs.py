@@ -51,13 +51,14 @@ def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str
     items = read_items(spark, items_csv).select("item_id", "title")
     if marker is not None:
         items = filter_title(items, marker)
+    items = latest_by_key(items, ["item_id"], ["title"])
     if existing_items:
         items = upsert_items(spark.read.parquet(existing_items), items)
     good, rejects = read_ratings(spark, ratings_csv, with_timestamp=True)
     if existing_ratings:
         good = upsert_ratings(spark.read.parquet(existing_ratings), good, ["ts"])
     else:
-        good = latest_by_key(good, ["user_id", "item_id"], ["ts"])
+        good = latest_by_key(good, ["user_id", "item_id"], ["ts", "rating"])
     ratings_table = None
     if user_buckets:
         ratings_table = f"ratings_run_{base.rsplit('=', 1)[-1]}"

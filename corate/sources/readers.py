@@ -20,9 +20,11 @@ def read_items(spark: SparkSession, path: str, *, header: bool = True) -> DataFr
     """Item catalog from quoted CSV ``id,title,genres`` -> ``(item_id bigint, title, genres)``.
 
     RFC 4180 quoting (a comma inside quotes stays in the title, ``""`` is a quote). Rows with a
-    non-numeric id (a stray header) or without a title (fewer than two fields) are dropped.
+    non-numeric id (a header) or without a title (fewer than two fields) are dropped. No line is
+    skipped by its position, so files with and without a header may be mixed; ``header`` is kept
+    for callers that state it and changes nothing.
     """
-    raw = (spark.read.schema(_ITEM_CSV_SCHEMA).option("header", header)
+    raw = (spark.read.schema(_ITEM_CSV_SCHEMA).option("header", False)
            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
     return (raw.select(F.col("item_id").try_cast("bigint").alias("item_id"), "title", "genres")
             .filter(F.col("item_id").isNotNull() & F.col("title").isNotNull()))
@@ -31,7 +33,11 @@ def read_items(spark: SparkSession, path: str, *, header: bool = True) -> DataFr
 def rating_fields(lines: DataFrame) -> DataFrame:
     """Split rating log lines (column ``value``) into typed fields; works on batch and streaming
     frames alike."""
-    parts = F.split(F.col("value"), ",")
+    plain = F.split(F.col("value"), ",")
+    # Quoted lines go through the CSV parser; it keeps the line itself for the rejects.
+    csv = F.from_csv(F.col("value"), ", ".join(f"c{i} string" for i in range(4)), {"quote": '"', "escape": '"'})
+    quoted = F.filter(F.array(*[csv[f"c{i}"] for i in range(4)]), lambda x: x.isNotNull())
+    parts = F.when(F.col("value").contains('"'), quoted).otherwise(plain)
     return lines.select(
         F.col("value").alias("line"),
         F.size(parts).alias("_n"),
@@ -47,8 +53,9 @@ def read_ratings(spark: SparkSession, path: str, *, with_timestamp: bool = False
 
     ``good``: ``(user_id bigint, item_id bigint, rating double)``; the timestamp is dropped unless
     ``with_timestamp`` adds it as ``ts bigint`` (NULL when absent or not a number).
-    ``rejects``: ``(line, reason)`` with reason ``short`` (fewer than three fields) or
-    ``non_numeric`` (a header line included). Both come from one lazy scan.
+    ``rejects``: ``(line, reason)`` with reason ``short`` (fewer than three fields), ``non_numeric``
+    (a header line included) or ``out_of_range`` (a rating that is negative or not finite). Fields may
+    be quoted. Both are lazy; writing both reads the log twice.
     """
     return split_rating_fields(rating_fields(spark.read.text(path)), with_timestamp=with_timestamp)
 
@@ -57,10 +64,12 @@ def split_rating_fields(f: DataFrame, *, with_timestamp: bool = False) -> tuple[
     """Typed fields -> ``(good, rejects)``, see ``read_ratings``."""
     short = F.col("_n") < 3
     bad = F.col("user_id").isNull() | F.col("item_id").isNull() | F.col("rating").isNull()
+    r = F.col("rating")
+    out = F.coalesce(F.isnan(r) | (r < 0) | (r == float("inf")), F.lit(False))
     cols = ["user_id", "item_id", "rating"] + (["ts"] if with_timestamp else [])
-    good = f.filter(~short & ~bad).select(*cols)
-    rejects = f.filter(short | bad).select(
-        "line", F.when(short, F.lit("short")).otherwise(F.lit("non_numeric")).alias("reason"))
+    good = f.filter(~short & ~bad & ~out).select(*cols)
+    rejects = f.filter(short | bad | out).select(
+        "line", F.when(short, F.lit("short")).when(bad, F.lit("non_numeric")).otherwise(F.lit("out_of_range")).alias("reason"))
     return good, rejects
 
 

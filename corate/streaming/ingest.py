@@ -70,7 +70,8 @@ def current_ratings(spark: SparkSession, table_path: str, *, order: str = "event
     last-write-wins).
     """
     ev = rating_events_table(spark, table_path)
-    keys = ["ts", "batch_id"] if order == "event_time" else ["batch_id", "ts"]
+    # The rating itself comes last: equal times in one batch must not depend on the order of the rows.
+    keys = [*(["ts", "batch_id"] if order == "event_time" else ["batch_id", "ts"]), "rating"]
     return latest_by_key(ev, ["user_id", "item_id"], keys).select("user_id", "item_id", "rating")
 
 

@@ -1,4 +1,4 @@
-"""Static guards over the library source."""
+"""Static guards over the library source. The training-data subpackage has its own rules and tests."""
 
 import pathlib
 import re
@@ -17,6 +17,8 @@ FORBIDDEN = {
 def test_library_source_has_no_forbidden_calls():
     hits = []
     for path in ROOT.rglob("*.py"):
+        if path.parent.name == "llm":
+            continue
         for n, line in enumerate(path.read_text().splitlines(), 1):
             for pattern, why in FORBIDDEN.items():
                 if re.search(pattern, line):
