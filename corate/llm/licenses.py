@@ -55,8 +55,8 @@ def _template_terms() -> dict[str, dict[str, int]]:
 def _document_frequency(files: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     # Counted before the join: a common line puts its terms into it once, not once per file.
     seen = files.select(F.explode(F.array_distinct(_tokens(text_or_empty(text_col)))).alias("_term"))
-    return seen.groupBy("_term").agg(F.count("*").alias("_df")).join(
-        small_broadcast(terms, terms.count(), 64), "_term", "left_semi")
+    # (An inner join with the distinct terms: a semi join would be moved below the counting again.)
+    return seen.groupBy("_term").agg(F.count("*").alias("_df")).join(small_broadcast(terms, terms.count(), 64), "_term")
 
 
 def own_licenses(files: DataFrame, text_col: str = "text") -> DataFrame:
