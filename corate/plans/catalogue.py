@@ -45,6 +45,7 @@ from corate.sources.readers import (
     read_packed_entries,
     read_ratings,
     read_similarity,
+    similarity_rejects,
 )
 from corate.streaming.ingest import current_ratings, start_rating_ingest
 
@@ -58,6 +59,9 @@ LOOKUP_ITEM = 3
 CATALOG_MARKER = "5"        # suppliers whose name contains this form the catalog
 PART_MARKER = "widget"      # part titles carrying this word are exported
 UPSERT_OLD_BEFORE_YEAR = 2000
+UPSERT_MIXED_EVERY = 3      # orders whose key this divides are the incoming part of the mixed upsert
+# Low limits, so that the plans for large data run on the test tables.
+HOT_USER_DEGREE, HOT_CATALOG_DEGREE, HOT_ITEM_DEGREE = 20, 3, 100
 RENAMED_SUFFIX = " (2001)"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +99,11 @@ def q_item_similarity_exact(spark, sf_dir):
     return _similarity(spark, sf_dir, truncate=False)
 
 
+def q_item_similarity_frequent(spark, sf_dir):
+    """A support high enough that pairs fall below it and rare items leave before the self join."""
+    return item_similarity(bridge.ratings(spark, sf_dir, written=True), min_support=FREQUENT_SUPPORT)
+
+
 def q_item_similarity_bucketed(spark, sf_dir):
     """Similarity over ratings bucketed by user: the self join reads the buckets, no exchange."""
     return item_similarity(_bucketed_ratings(spark, sf_dir), min_support=MIN_SUPPORT, user_partitioned=True)
@@ -119,6 +128,11 @@ def q_co_ratings(spark, sf_dir):
     return co_ratings(bridge.ratings(spark, sf_dir, written=True), _catalog(spark, sf_dir))
 
 
+def q_co_ratings_hot_users(spark, sf_dir):
+    """The pairs of ``co_ratings`` with most users split into chunk pairs."""
+    return co_ratings(bridge.ratings(spark, sf_dir, written=True), _catalog(spark, sf_dir), hot_user_degree=HOT_CATALOG_DEGREE)
+
+
 def q_item_pairs(spark, sf_dir):
     return candidate_pairs(bridge.ratings(spark, sf_dir, written=True))
 
@@ -139,6 +153,14 @@ def q_upsert_ratings(spark, sf_dir):
     return merged.select("user_id", "item_id", "rating")
 
 
+def q_upsert_ratings_mixed(spark, sf_dir):
+    """The incoming part is often older than what is stored, and wins all the same."""
+    ev = bridge.rating_events(spark, sf_dir)
+    new = F.col("l_orderkey") % UPSERT_MIXED_EVERY == 0
+    existing = latest_by_key(ev.filter(~new), ["user_id", "item_id"], bridge.EVENT_ORDER)
+    return upsert_ratings(existing, ev.filter(new), bridge.EVENT_ORDER).select("user_id", "item_id", "rating")
+
+
 # -- catalog ----------------------------------------------------------------------------------
 
 def _supplier_versions(spark, sf_dir):
@@ -252,6 +274,17 @@ def q_similarity_text_roundtrip(spark, sf_dir):
     return read_similarity(spark, path)
 
 
+def q_reject_bad_similarity(spark, sf_dir):
+    """Similarity text with lines that lack fields or hold no number: the rejected lines."""
+    _, sim = _written_similarity(spark, sf_dir)
+    path = write_similarity(sim, scratch_path(spark, "similarity_bad"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("k"))
+    bad = s.select(F.concat("k", F.lit(" "), "k", F.lit("\tabc 20")).alias("value")).unionByName(
+        s.select(F.concat(F.lit("item "), "k").alias("value")))
+    bad.write.mode("append").text(path)
+    return similarity_rejects(spark, path)
+
+
 def q_packed_text_roundtrip(spark, sf_dir):
     _, s = _written_similarity(spark, sf_dir)
     path = write_packed(similarity_rows(scaled_similarity(s)), "item_1", scratch_path(spark, "sim_rows"))
@@ -305,6 +338,12 @@ def q_user_scores(spark, sf_dir):
     return user_scores(scaled_ratings(r), scaled_similarity(s))
 
 
+def q_user_scores_shuffled(spark, sf_dir):
+    """The scores with no broadcast allowed: shuffle join, most items salted."""
+    r, s = _written_similarity(spark, sf_dir)
+    return user_scores(scaled_ratings(r), scaled_similarity(s), max_broadcast_bytes=0, hot_item_degree=HOT_ITEM_DEGREE)
+
+
 def q_top_k_per_user(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
     return top_k(ev, ["user_id"], [F.col("value").desc_nulls_last(), F.col("event_id").asc()], EVENTS_K)
@@ -322,6 +361,12 @@ def q_recommend_bucketed(spark, sf_dir):
     return recommend(r, s, RECOMMEND_K, user_partitioned=True)
 
 
+def q_recommend_hot_users(spark, sf_dir):
+    """Recommendations with most users split by item chunk."""
+    r, s = _written_similarity(spark, sf_dir)
+    return recommend(r, s, RECOMMEND_K, hot_user_degree=HOT_USER_DEGREE)
+
+
 def q_recommend_symmetric(spark, sf_dir):
     r, s = _written_similarity(spark, sf_dir)
     return recommend(r, s, RECOMMEND_K, symmetric=True)
@@ -396,4 +441,10 @@ QUERIES: dict[str, Query] = {
     "recommend_padded": q_recommend_padded,
     "recommendation_text": q_recommendation_text,
     "recommendation_text_padded": q_recommendation_text_padded,
+    "item_similarity_frequent": q_item_similarity_frequent,
+    "co_ratings_hot_users": q_co_ratings_hot_users,
+    "upsert_ratings_mixed": q_upsert_ratings_mixed,
+    "reject_bad_similarity": q_reject_bad_similarity,
+    "user_scores_shuffled": q_user_scores_shuffled,
+    "recommend_hot_users": q_recommend_hot_users,
 }

@@ -203,4 +203,15 @@ SELECT CAST(user_id AS VARCHAR) || ',' || CAST(item_id AS VARCHAR) || ',x', 'non
         [*sim, _SS, _W, _scores_cte(), _top(C.RECOMMEND_K)],
         f"SELECT user_id, string_agg({_PACK.format(c='item_id', v='score')}, '' ORDER BY rank) AS recs "
         "FROM TOP GROUP BY user_id")
+    q["item_similarity_frequent"] = q["item_similarity"].replace(
+        f"n >= {C.MIN_SUPPORT}", f"n >= {C.FREQUENT_SUPPORT}")
+    q["co_ratings_hot_users"] = q["co_ratings"]
+    q["user_scores_shuffled"] = q["user_scores"]
+    q["recommend_hot_users"] = q["recommend"]
+    q["upsert_ratings_mixed"] = _with([_EV], f"""SELECT user_id, item_id, rating FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, item_id
+                               ORDER BY l_orderkey % {C.UPSERT_MIXED_EVERY} = 0 DESC, {_RECENCY}) AS rn FROM EV)
+WHERE rn = 1""")
+    q["reject_bad_similarity"] = """SELECT s_suppkey || ' ' || s_suppkey || chr(9) || 'abc 20' AS line, 'non_numeric' AS reason
+FROM supplier UNION ALL SELECT 'item ' || s_suppkey, 'short' FROM supplier"""
     return q

@@ -7,7 +7,8 @@ from corate.sources.readers import (
     read_packed_entries,
     read_ratings,
     read_similarity,
+    similarity_rejects,
 )
 
 __all__ = ["dump_table", "read_items", "read_packed", "read_packed_entries", "read_ratings",
-           "read_similarity"]
+           "read_similarity", "similarity_rejects"]

@@ -73,16 +73,30 @@ def split_rating_fields(f: DataFrame, *, with_timestamp: bool = False) -> tuple[
     return good, rejects
 
 
-def read_similarity(spark: SparkSession, path: str) -> DataFrame:
-    """Similarity text ``item_1 item_2<TAB>similarity n`` (any whitespace) ->
-    ``(item_1, item_2, similarity, n_ratings)``; NaN and Infinity parse back."""
+def _similarity_fields(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split(F.trim(F.col("value")), r"\s+")
-    return spark.read.text(path).select(
+    f = spark.read.text(path).select(
+        F.col("value").alias("line"), F.size(parts).alias("_n"),
         F.get(parts, 0).try_cast("bigint").alias("item_1"),
         F.get(parts, 1).try_cast("bigint").alias("item_2"),
         F.get(parts, 2).try_cast("double").alias("similarity"),
         F.get(parts, 3).try_cast("bigint").alias("n_ratings"),
-    ).filter(F.col("item_1").isNotNull() & F.col("item_2").isNotNull())
+    )
+    bad = F.col("item_1").isNull() | F.col("item_2").isNull() | F.col("similarity").isNull()
+    return f.withColumn("reason", F.when(F.col("_n") < 3, F.lit("short")).when(bad, F.lit("non_numeric")))
+
+
+def read_similarity(spark: SparkSession, path: str) -> DataFrame:
+    """Similarity text ``item_1 item_2<TAB>similarity n`` (any whitespace) ->
+    ``(item_1, item_2, similarity, n_ratings)``; NaN and Infinity parse back. Lines without two ids
+    and a similarity are left to ``similarity_rejects``."""
+    return _similarity_fields(spark, path).filter("reason is null").select("item_1", "item_2", "similarity", "n_ratings")
+
+
+def similarity_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, reason)`` of the lines that ``read_similarity`` leaves out: ``short`` (fewer than three
+    fields) or ``non_numeric``."""
+    return _similarity_fields(spark, path).filter("reason is not null").select("line", "reason")
 
 
 def read_packed(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
@@ -93,12 +107,16 @@ def read_packed(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
     return spark.read.text(path).select(k.try_cast("bigint").alias(key), packed.alias("packed"))
 
 
-def read_packed_entries(spark: SparkSession, path: str, key: str = "key",
-                        col: str = "col", val: str = "val") -> DataFrame:
-    """Packed text straight to long form ``(key, col, val)``."""
+def read_packed_entries(spark: SparkSession, path: str, key: str = "key", col: str = "col", val: str = "val", *,
+                        last_wins: bool = False) -> DataFrame:
+    """Packed text straight to long form ``(key, col, val)``. With ``last_wins`` the last entry of a
+    column that a line repeats stands for it, at the price of a shuffle; a key has one line then."""
     rows = read_packed(spark, path, key)
-    e = rows.select(key, F.explode(unpack_entries("packed")).alias("_e"))
-    return e.select(key, F.col("_e.key").alias(col), F.col("_e.value").alias(val))
+    e = rows.select(key, F.posexplode(unpack_entries("packed")).alias("_pos", "_e"))
+    out = e.select(key, "_pos", F.col("_e.key").alias(col), F.col("_e.value").alias(val))
+    if last_wins:
+        out = out.groupBy(key, col).agg(F.max_by(val, "_pos").alias(val))
+    return out.select(key, col, val)
 
 
 def dump_table(spark: SparkSession, path: str) -> DataFrame:

@@ -57,3 +57,16 @@ def test_load_and_filtered_similarity_from_a_log(spark, tmp_path):
         base = main(["similarity", "--ratings", str(tmp_path / "ratings.csv"), "--items", str(tmp_path / "items.csv"),
                      "--out", str(tmp_path / f"s{support}"), "--min-support", str(support), "--run-id", "1"])
         assert rows(spark.read.parquet(f"{base}/similarity"), "item_1", "item_2", "n_ratings") == want
+
+
+def test_similarity_rejects_and_last_token(spark, tmp_path):
+    from corate.sources import read_packed_entries, read_similarity, similarity_rejects
+
+    (tmp_path / "s").write_text("1 2\t0.5 20\n1 3\tabc 20\nbad\n\n1 4\tNaN 3\n")
+    path = str(tmp_path / "s")
+    assert sorted(r["item_2"] for r in read_similarity(spark, path).collect()) == [2, 4]
+    assert sorted(map(tuple, similarity_rejects(spark, path).collect())) == [
+        ("", "short"), ("1 3\tabc 20", "non_numeric"), ("bad", "short")]
+    (tmp_path / "p").write_text("7\t\t(5\t1)\t(6\t2)\t(5\t3)\n")
+    got = read_packed_entries(spark, str(tmp_path / "p"), last_wins=True).collect()
+    assert sorted((r["key"], int(r["col"]), int(r["val"])) for r in got) == [(7, 5, 3), (7, 6, 2)]
