@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corate.llm import decontam, licenses, lm, mixing, neardup, neighbours, pii, tokens, toxicity, warc
-from corate.llm.graph import components
+from corate.llm.graph import components, merged
 from corate.session import scratch_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, mix_size string, p_toxic string, spans int"
@@ -128,6 +128,13 @@ def test_components(spark):
     assert {got.get(f"{i:03}", f"{i:03}") for i in range(11, 26)} == {"011"} and got["259"] == "200"
 
 
+def test_components_merge(spark):
+    comp = spark.createDataFrame([("b", "a"), ("d", "c"), ("f", "e")], "a string, b string")
+    between = components(spark.createDataFrame([("e", "c"), ("c", "x"), ("c", "e")], "a string, b string"))
+    got = {(r.a, r.b) for r in merged(comp, between).collect()}
+    assert got == {("b", "a"), ("d", "c"), ("e", "c"), ("f", "c"), ("x", "c")}
+
+
 def luhn(d):
     return sum((v - 9 if v > 9 else v) for v in (int(c) * (1 + i % 2) for i, c in enumerate(reversed(d)))) % 10 == 0
 
