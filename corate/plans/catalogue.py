@@ -41,6 +41,7 @@ from corate.sinks.writers import (
 )
 from corate.sources.readers import (
     dump_table,
+    item_rejects,
     read_items,
     read_packed_entries,
     read_ratings,
@@ -285,6 +286,16 @@ def q_reject_bad_similarity(spark, sf_dir):
     return similarity_rejects(spark, path)
 
 
+def q_reject_bad_items(spark, sf_dir):
+    """A catalog of all suppliers with lines that lack a title or a numeric id: the rejected rows."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("k"))
+    lines = s.select(F.concat("k", F.lit(",\"Title, "), "k", F.lit("\",g")).alias("value")).unionByName(
+        s.select(F.col("k").alias("value"))).unionByName(s.select(F.concat(F.lit("item"), "k", F.lit(",t,g")).alias("value")))
+    path = scratch_path(spark, "items_bad")
+    lines.write.text(path)
+    return item_rejects(spark, path)
+
+
 def q_packed_text_roundtrip(spark, sf_dir):
     _, s = _written_similarity(spark, sf_dir)
     path = write_packed(similarity_rows(scaled_similarity(s)), "item_1", scratch_path(spark, "sim_rows"))
@@ -445,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "co_ratings_hot_users": q_co_ratings_hot_users,
     "upsert_ratings_mixed": q_upsert_ratings_mixed,
     "reject_bad_similarity": q_reject_bad_similarity,
+    "reject_bad_items": q_reject_bad_items,
     "user_scores_shuffled": q_user_scores_shuffled,
     "recommend_hot_users": q_recommend_hot_users,
 }

@@ -214,4 +214,6 @@ SELECT CAST(user_id AS VARCHAR) || ',' || CAST(item_id AS VARCHAR) || ',x', 'non
 WHERE rn = 1""")
     q["reject_bad_similarity"] = """SELECT s_suppkey || ' ' || s_suppkey || chr(9) || 'abc 20' AS line, 'non_numeric' AS reason
 FROM supplier UNION ALL SELECT 'item ' || s_suppkey, 'short' FROM supplier"""
+    q["reject_bad_items"] = """SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS genres,
+  'short' AS reason FROM supplier UNION ALL SELECT 'item' || s_suppkey, 't', 'g', 'non_numeric' FROM supplier"""
     return q

@@ -2,6 +2,7 @@
 
 from corate.sources.readers import (
     dump_table,
+    item_rejects,
     read_items,
     read_packed,
     read_packed_entries,
@@ -10,5 +11,5 @@ from corate.sources.readers import (
     similarity_rejects,
 )
 
-__all__ = ["dump_table", "read_items", "read_packed", "read_packed_entries", "read_ratings",
+__all__ = ["dump_table", "item_rejects", "read_items", "read_packed", "read_packed_entries", "read_ratings",
            "read_similarity", "similarity_rejects"]

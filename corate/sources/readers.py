@@ -24,10 +24,21 @@ def read_items(spark: SparkSession, path: str, *, header: bool = True) -> DataFr
     skipped by its position, so files with and without a header may be mixed; ``header`` is kept
     for callers that state it and changes nothing.
     """
+    return _item_fields(spark, path).filter("reason is null").select("item_id", "title", "genres")
+
+
+def _item_fields(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.schema(_ITEM_CSV_SCHEMA).option("header", False)
            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    return (raw.select(F.col("item_id").try_cast("bigint").alias("item_id"), "title", "genres")
-            .filter(F.col("item_id").isNotNull() & F.col("title").isNotNull()))
+    item_id = F.col("item_id").try_cast("bigint")
+    return raw.select(item_id.alias("item_id"), "title", "genres", F.col("item_id").alias("_id"),
+                      F.when(F.col("title").isNull(), F.lit("short")).when(item_id.isNull(), F.lit("non_numeric")).alias("reason"))
+
+
+def item_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, title, genres, reason)`` of the catalog rows that ``read_items`` leaves out, fields as
+    read: ``short`` (no title) or ``non_numeric`` (a header line included)."""
+    return _item_fields(spark, path).filter("reason is not null").select(F.col("_id").alias("id"), "title", "genres", "reason")
 
 
 def rating_fields(lines: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from corate.operators.catalog import rating_lookup
 from corate.operators.dedupe import latest_by_key, upsert_ratings
 from corate.operators.similarity import rated_at_least
 from corate.plans.jobs import load_job
-from corate.sources.readers import read_items, read_ratings
+from corate.sources.readers import item_rejects, read_items, read_ratings
 
 from conftest import rows
 
@@ -24,6 +24,13 @@ def test_headerless_files_keep_their_first_line(spark, tmp_path):
     assert [r[0] for r in rows(read_items(spark, str(tmp_path)))] == [1, 2, 3, 4]
 
 
+def test_item_rejects(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('movieId,title,genres\n1,"A, B",x\n14\nx2,C,y\n')
+    assert [r[0] for r in rows(read_items(spark, str(tmp_path)))] == [1]
+    assert sorted((r.id, r.reason) for r in item_rejects(spark, str(tmp_path)).collect()) == [
+        ("14", "short"), ("movieId", "non_numeric"), ("x2", "non_numeric")]
+
+
 def test_quoted_and_impossible_ratings(spark, tmp_path):
     (tmp_path / "r.csv").write_text('"9","2676","1.0","970889359"\n1,2,NaN\n1,2,Infinity\n1,2,-4.0\n"1","2"\n3,4,2.5\n')
     good, rejects = read_ratings(spark, str(tmp_path), with_timestamp=True)
