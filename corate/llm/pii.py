@@ -3,9 +3,10 @@
 Four kinds of spans are found by pattern. Their values are the protected entities. A term near an
 entity discloses it as far as its pointwise mutual information with the entity,
 ``log2(n(e,t) * N / (n(e) * n(t)))``, comes near the entity's information content ``log2(N / n(e))``;
-the ratio is 1 if the term occurs in no other document than those of the entity. Terms seen near an
-entity in ``MIN_DOCS`` documents or more are generalised from a ratio of ``GENERALISE`` on and removed
-from ``REMOVE`` on, in the documents that hold the entity. ``n(t)`` counts all documents.
+the ratio is 1 if the term occurs in no other document than those of the entity. A term seen near an
+entity in ``n`` documents, fewer than ``SURE``, is less certain to disclose it: its information counts
+by the rule of succession, ``(n + 1) / (n + 2)``. Terms are generalised from a ratio of ``GENERALISE``
+on and removed from ``REMOVE`` on, in the documents that hold the entity. ``n(t)`` counts all documents.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from corate.llm.common import small_broadcast, table, text_or_empty, write_stage
 
 CONTEXT = 80        # characters on either side of an entity
-MIN_DOCS = 3
+SURE = 3            # documents from which on a co-occurrence counts in full
 GENERALISE, REMOVE = 0.5, 0.8
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:int,stop:int,value:string>>"
@@ -118,7 +119,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     docs_of = e.select("_k1", "_k2", "_entity").distinct().groupBy("_entity").agg(F.count("*").alias("_ne"))
     joint = (t.select("_k1", "_k2", "_entity", "_term").distinct().groupBy("_entity", "_term")
-             .agg(F.count("*").alias("_net")).filter(F.col("_net") >= MIN_DOCS))
+             .agg(F.count("*").alias("_net")))
     joint = write_stage(joint, "pii-joint")
     wanted = write_stage(joint.select("_term").distinct(), "pii-wanted")
     seen = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(TERM), F.lit(0)))).alias("_term"))
@@ -126,8 +127,9 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     total = F.lit(float(per_doc.count()))
     bits = joint.join(docs_of, "_entity").join(df, "_term").withColumn("_ic", F.log2(total / F.col("_ne"))).withColumn(
         "_pmi", F.log2(F.col("_net") * total / (F.col("_ne") * F.col("_nt"))))
-    flagged = bits.filter((F.col("_ic") > 0) & (F.col("_pmi") >= GENERALISE * F.col("_ic"))).select(
-        "_entity", "_term", (F.col("_pmi") >= REMOVE * F.col("_ic")).alias("_remove"))
+    known = F.col("_pmi") * F.when(F.col("_net") < SURE, (F.col("_net") + 1) / (F.col("_net") + 2)).otherwise(F.lit(1.0))
+    flagged = bits.filter((F.col("_ic") > 0) & (known >= GENERALISE * F.col("_ic"))).select(
+        "_entity", "_term", (known >= REMOVE * F.col("_ic")).alias("_remove"))
     add = t.join(flagged, ["_entity", "_term"]).groupBy("_k1", "_k2", "_start", "_stop").agg(
         F.max("_remove").alias("_remove"), F.min("_term").alias("_term"))
     span = F.struct(F.when(F.col("_remove"), "remove").otherwise("generalise").alias("kind"),

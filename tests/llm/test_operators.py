@@ -175,6 +175,15 @@ def test_disclosing_terms(spark, none):
     assert pii.find(none).count() == 0 and pii.sanitise(none).count() == 0
 
 
+def test_disclosing_terms_of_rare_entities(spark):
+    rows = [(0, "Common filler Zanzibar writes to anna@example.com today"), (1, "Common filler Quixote writes to ben@example.com today"),
+            (2, "Common filler Quixote writes again to ben@example.com today")]
+    rows += [(10 + i, "Common filler again writes today to nobody") for i in range(60)]
+    f = {r.doc_id: {s.value: s.kind for s in r.spans} for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert f[0] == {"anna@example.com": "email", "zanzibar": "generalise"} and not any(f[i] for i in range(10, 70))
+    assert f[1] == f[2] == {"ben@example.com": "email", "quixote": "generalise"}
+
+
 def test_licences(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "nothing here"), ("a/b/LICENSE", "Licensed under CC BY-NC 4.0."),
             ("a/y.py", "# Licensed under the Apache License, Version 2.0.\n" + " ".join(prose(1))), ("z.py", None), (None, ""), ("ab/x", "under the license of")]
