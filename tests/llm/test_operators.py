@@ -121,6 +121,15 @@ def test_near_duplicates_find_all_links(spark):
                 assert got[i] != got[j]
 
 
+def test_near_duplicates_in_a_large_group(spark):
+    base = prose(500, 120)  # 16 versions, each with two words of its own, 20 copies of each: no two differ by less
+    texts = [" ".join([*base[:4 + 7 * i], f"x{i}", f"y{i}", *base[6 + 7 * i:]]) for i in range(16)]
+    assert all(0.8 <= jaccard(a, b) < 0.82 for a in texts for b in texts if a != b)
+    rows = [(i, texts[i % 16]) for i in range(320)] + [(1000 + i, " ".join(prose(1000 + i))) for i in range(20)]
+    got = {x.doc_id: x.class_id for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[i] == 0 for i in range(320)) and all(got[i] == i for i in range(1000, 1020))
+
+
 def test_components(spark):
     pairs = [(f"{i:03}", f"{i + 1:03}") for i in range(40) if i not in (10, 25)] + [("100", "000")] + [("200", f"{i}") for i in range(201, 260)]
     got = {r.a: r.b for r in components(spark.createDataFrame(pairs, "a string, b string")).collect()}
