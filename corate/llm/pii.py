@@ -1,22 +1,22 @@
 """Personal data and information-theoretic sanitisation (DataFrame operations only).
 
-Four kinds of spans are found by pattern. Their values are the protected entities. A term near an
-entity discloses it as far as its pointwise mutual information with the entity,
+Four kinds of spans are found by pattern. Their values are the protected entities. A term in a document
+of an entity discloses it as far as its pointwise mutual information with the entity,
 ``log2(n(e,t) * N / (n(e) * n(t)))``, comes near the entity's information content ``log2(N / n(e))``;
-the ratio is 1 if the term occurs in no other document than those of the entity. A term seen near an
+the ratio is 1 if the term occurs in no other document than those of the entity. A term seen with an
 entity in ``n`` documents, fewer than ``SURE``, is less certain to disclose it: its information counts
 by the rule of succession, ``(n + 1) / (n + 2)``. Terms are generalised from a ratio of ``GENERALISE``
-on and removed from ``REMOVE`` on, in the documents that hold the entity. ``n(t)`` counts all documents.
+on and removed from ``REMOVE`` on, wherever they stand in the documents that hold the entity, outside
+the base spans. All counts are of whole documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.llm.common import small_broadcast, table, text_or_empty, write_stage
 
-CONTEXT = 80        # characters on either side of an entity
 SURE = 3            # documents from which on a co-occurrence counts in full
 GENERALISE, REMOVE = 0.5, 0.8
 KINDS = ("email", "ip", "card", "phone")
@@ -31,7 +31,10 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-TERM = r"(?<!\p{L})\p{L}{4,}+"
+# Terms are runs of letters; runs in a script without spaces stand for their pairs of characters.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}&&[\p{L}\p{M}]]"
+TERM = rf"{UNSPACED}++|(?:(?!{UNSPACED})[\p{{L}}\p{{M}}])++"
+BETWEEN = r"[^\p{L}\p{M}]++"
 
 
 def _matches(text: Column, pattern: str, kind: str) -> Column:
@@ -87,6 +90,48 @@ def _sorted_spans(spans: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value")))
 
 
+def _pairs_of(run: Column) -> Column:
+    """The places and values ``(at, value)`` of the terms in a run of letters, lower case."""
+    each = F.transform(F.sequence(F.lit(0), F.greatest(F.length(run) - 2, F.lit(0))),
+                       lambda i: F.struct(i.alias("at"), F.lower(F.substring(run, i + 1, F.lit(2))).alias("value")))
+    return F.when(run.rlike("^" + UNSPACED), each).otherwise(F.array(F.struct(F.lit(0).alias("at"), F.lower(run).alias("value"))))
+
+
+def _term_values(text: Column) -> Column:
+    """All terms of a text, in lower case."""
+    runs = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    return F.when(text.rlike(UNSPACED), F.flatten(F.transform(runs, lambda r: _pairs_of(r)["value"]))).otherwise(
+        F.transform(runs, lambda r: F.lower(r)))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks of the same length for its spans (sorted by start)."""
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def add(acc, s):
+        at, stop = F.greatest(acc["pos"], s["start"]), F.greatest(acc["pos"], s["stop"])
+        piece = F.array(F.substring(text, acc["pos"] + 1, at - acc["pos"]), F.repeat(F.lit(" "), stop - at))
+        return F.struct(stop.alias("pos"), F.concat(acc["out"], piece).alias("out"))
+
+    return F.aggregate(spans, start, add, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.lit(1 << 30))))
+
+
+def _term_places(held: DataFrame) -> DataFrame:
+    """``(_k1, _k2, _term, _start, _stop)``: every place of every term outside the base spans. Runs of
+    letters and of other characters cover a text; their lengths before a run add up to its place."""
+    runs = F.regexp_extract_all(_blanked(F.col("_t"), _sorted_spans(F.col("base"))), F.lit(f"{TERM}|{BETWEEN}"), F.lit(0))
+    r = held.select("_k1", "_k2", runs.alias("_runs")).dropDuplicates(["_k1", "_k2"])
+    r = r.select("_k1", "_k2", F.posexplode("_runs").alias("_i", "_run"))
+    before = Window.partitionBy("_k1", "_k2").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("_at", F.coalesce(F.sum(F.length("_run")).over(before), F.lit(0)).cast("int")).filter(F.col("_run").rlike(r"^[\p{L}\p{M}]"))
+    r = r.select("_k1", "_k2", "_at", F.length("_run").alias("_n"), F.col("_run").rlike("^" + UNSPACED).alias("_cjk"),
+                 F.explode(_pairs_of(F.col("_run"))).alias("_p"))
+    first = F.col("_at") + F.col("_p.at")
+    stop = F.when(F.col("_cjk"), F.least(first + 2, F.col("_at") + F.col("_n"))).otherwise(first + F.col("_n"))
+    return r.select("_k1", "_k2", F.col("_p.value").alias("_term"), first.alias("_start"), stop.alias("_stop"))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumn("_k1", F.xxhash64(id_col, text_col)).withColumn("_k2", F.hash(text_col, id_col))
 
@@ -99,44 +144,44 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     the co-occurrences. Other columns are ignored."""
     d = _keyed(docs.select(id_col, text_col), id_col, text_col).withColumn("_t", text_or_empty(text_col))
     d = d.withColumn("base", base_spans(F.col("_t")))
-    near = F.transform("base", lambda s: F.struct(
-        s["kind"].alias("kind"), s["value"].alias("value"), F.greatest(s["start"] - CONTEXT, F.lit(0)).alias("at"),
-        F.substring(F.col("_t"), F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1,
-                    s["stop"] + CONTEXT - F.greatest(s["start"] - CONTEXT, F.lit(0))).alias("around")))
-    per_doc = write_stage(d.select("_k1", "_k2", id_col, "base", F.length("_t").alias("_n"), near.alias("_near")), "pii-base")
+    kept = F.when(F.size("base") > 0, F.col("_t"))  # only texts with entities are read again
+    per_doc = write_stage(d.select("_k1", "_k2", id_col, "base", kept.alias("_t")), "pii-base")
 
-    e = per_doc.filter(F.size("base") > 0).select("_k1", "_k2", "_n", "base", F.explode("_near").alias("_e"))
+    held = per_doc.filter(F.size("base") > 0)
+    e = held.select("_k1", "_k2", F.explode("base").alias("_e"))
     entity = F.concat_ws(":", "_e.kind", F.when(F.col("_e.kind").isin("card", "phone"), _digits(F.col("_e.value"))).otherwise(
         F.lower("_e.value")))
-    e = e.select("_k1", "_k2", "_n", "base", entity.alias("_entity"), F.col("_e.at").alias("_at"), F.col("_e.around").alias("_around"))
-    t = e.withColumn("_s", F.explode(_matches(F.col("_around"), TERM, "term")))
-    first, last = F.col("_at") + F.col("_s.start"), F.col("_at") + F.col("_s.stop")
-    whole = ((F.col("_s.start") > 0) | (F.col("_at") == 0)) & (
-        (F.col("_s.stop") < F.length("_around")) | (F.col("_at") + F.length("_around") >= F.col("_n")))
-    t = t.filter(whole).select("_k1", "_k2", "_entity", F.lower("_s.value").alias("_term"), first.alias("_start"), last.alias("_stop"), "base")
-    t = t.filter(~F.exists("base", lambda s: (s["start"] < F.col("_stop")) & (s["stop"] > F.col("_start")))).drop("base")
-    t = write_stage(t.distinct(), "pii-terms")
-
-    docs_of = e.select("_k1", "_k2", "_entity").distinct().groupBy("_entity").agg(F.count("*").alias("_ne"))
-    joint = (t.select("_k1", "_k2", "_entity", "_term").distinct().groupBy("_entity", "_term")
-             .agg(F.count("*").alias("_net")))
-    joint = write_stage(joint, "pii-joint")
-    wanted = write_stage(joint.select("_term").distinct(), "pii-wanted")
-    seen = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(TERM), F.lit(0)))).alias("_term"))
-    df = seen.join(small_broadcast(wanted, wanted.count(), 64), "_term", "left_semi").groupBy("_term").agg(F.count("*").alias("_nt"))
+    e = write_stage(e.select("_k1", "_k2", entity.alias("_entity")).distinct(), "pii-entities")
+    # Entities of the same documents disclose the same terms: they count as one group.
+    ofs = e.groupBy("_entity").agg(F.count("*").alias("_ne"), F.bit_xor("_k1").alias("_x1"), F.bit_xor("_k2").alias("_x2"))
+    group = e.join(ofs, "_entity").select("_k1", "_k2", F.xxhash64("_x1", "_x2", "_ne").alias("_group"), "_ne").distinct()
+    t = write_stage(_term_places(held), "pii-terms")
+
+    in_doc = write_stage(t.select("_k1", "_k2", "_term").distinct(), "pii-in-doc")
+    wanted = write_stage(in_doc.select("_term").distinct(), "pii-wanted")
+    seen = docs.select(F.explode(F.array_distinct(_term_values(text_or_empty(text_col)))).alias("_term"))
+    df = write_stage(seen.join(small_broadcast(wanted, wanted.count(), 64), "_term", "left_semi").groupBy("_term").agg(
+        F.count("*").alias("_nt")), "pii-frequencies")
     total = F.lit(float(per_doc.count()))
-    bits = joint.join(docs_of, "_entity").join(df, "_term").withColumn("_ic", F.log2(total / F.col("_ne"))).withColumn(
-        "_pmi", F.log2(F.col("_net") * total / (F.col("_ne") * F.col("_nt"))))
+    group = write_stage(group.withColumn("_ic", F.log2(total / F.col("_ne"))).filter("_ic > 0"), "pii-groups")
+    # n(e,t) is at most n(e): a term as frequent as this cannot reach GENERALISE (with room for rounding).
+    may = F.log2(total / F.col("_nt")) >= GENERALISE * F.col("_ic") - 1e-9
+    pairs = write_stage(in_doc.join(small_broadcast(df, wanted.count(), 64), "_term").join(group, ["_k1", "_k2"]).filter(may)
+                        .select("_k1", "_k2", "_group", "_term", "_nt", "_ne", "_ic"), "pii-pairs")
+    joint = pairs.groupBy("_group", "_term", "_nt", "_ne", "_ic").agg(F.count("*").alias("_net"))
+    bits = joint.withColumn("_pmi", F.log2(F.col("_net") * total / (F.col("_ne") * F.col("_nt"))))
     known = F.col("_pmi") * F.when(F.col("_net") < SURE, (F.col("_net") + 1) / (F.col("_net") + 2)).otherwise(F.lit(1.0))
-    flagged = bits.filter((F.col("_ic") > 0) & (known >= GENERALISE * F.col("_ic"))).select(
-        "_entity", "_term", (known >= REMOVE * F.col("_ic")).alias("_remove"))
-    add = t.join(flagged, ["_entity", "_term"]).groupBy("_k1", "_k2", "_start", "_stop").agg(
-        F.max("_remove").alias("_remove"), F.min("_term").alias("_term"))
+    flagged = write_stage(bits.filter(known >= GENERALISE * F.col("_ic")).select(
+        "_group", "_term", (known >= REMOVE * F.col("_ic")).alias("_remove")), "pii-flagged")
+    # Back to every place of the term in each document that holds an entity of the group.
+    there = pairs.join(small_broadcast(flagged, flagged.count(), 96), ["_group", "_term"]).groupBy("_k1", "_k2", "_term").agg(
+        F.max("_remove").alias("_remove"))
+    add = t.join(there, ["_k1", "_k2", "_term"])
     span = F.struct(F.when(F.col("_remove"), "remove").otherwise("generalise").alias("kind"),
                     F.col("_start").alias("start"), F.col("_stop").alias("stop"), F.col("_term").alias("value"))
-    add = add.groupBy("_k1", "_k2").agg(F.collect_list(span).alias("_add"))  # terms near the entities of one document
+    add = add.groupBy("_k1", "_k2").agg(F.collect_list(span).alias("_add"))  # terms of one document
     all_spans = F.concat("base", F.coalesce("_add", F.array().cast(SPAN)))
-    return per_doc.join(add, ["_k1", "_k2"], "left").select(
+    return per_doc.drop("_t").join(add, ["_k1", "_k2"], "left").select(
         "_k1", "_k2", id_col, _sorted_spans(F.col("base")).alias("base"), _sorted_spans(all_spans).alias("spans"))
 
 

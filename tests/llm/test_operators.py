@@ -193,6 +193,21 @@ def test_disclosing_terms_of_rare_entities(spark):
     assert f[1] == f[2] == {"ben@example.com": "email", "quixote": "generalise"}
 
 
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    far = "Common filler writes " * 12
+    first = "Ann Zanzibar, mail anna@example.com " + far + "and Zanzibar again with Ann or 京子, in full 我是京子的朋友"
+    rows = [(0, first), (1, far + "Kim: ben@example.com"), (2, "ben@example.com " + far + "Kim"), (3, "ben@example.com " + far + "KIM")]
+    rows += [(10 + i, far + "and again mail with or in full to nobody") for i in range(60)]
+    f = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for s in f[0]:
+        assert first[s.start:s.stop].lower() == s.value
+    where = lambda w: {m.start() for m in re.finditer(w, first)}
+    for w in ("Zanzibar", "Ann", "京子"):
+        assert {s.start for s in f[0] if s.value == w.lower() and s.kind == "generalise"} == where(w) and len(where(w)) == 2
+    assert [[(s.kind, s.value) for s in f[i] if s.kind != "email"] for i in (1, 2, 3)] == [[("remove", "kim")]] * 3
+    assert not any(f[i] for i in range(10, 70))
+
+
 def test_licences(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "nothing here"), ("a/b/LICENSE", "Licensed under CC BY-NC 4.0."),
             ("a/y.py", "# Licensed under the Apache License, Version 2.0.\n" + " ".join(prose(1))), ("z.py", None), (None, ""), ("ab/x", "under the license of")]
