@@ -7,7 +7,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from corate.llm import decontam, licenses, lm, mixing, neardup, neighbours, pii, tokens, toxicity, warc
+from corate.llm import bitsliced, conversation, decontam, licenses, lm, mixing, neardup, neighbours, pii, resampling, tokens, toxicity, warc
 
 # Functions for the executors travel with their code: the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,5 +23,9 @@ QUERIES = {
     "op8_neighbours": neighbours.q_op8,
     "op9_toxicity": toxicity.q_op9,
     "op10_licenses": licenses.q_op10,
+    "op11_conversation_repair": conversation.q_op11,
+    "op12_importance_resampling": resampling.q_op12,
+    "op13_bit_sliced_top_k": bitsliced.q_op13,
 }
-ORACLE = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op4_decontaminate": decontam.SQL, "op10_licenses": licenses.SQL}
+ORACLE = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op4_decontaminate": decontam.SQL, "op10_licenses": licenses.SQL,
+          "op12_importance_resampling": resampling.SQL, "op13_bit_sliced_top_k": bitsliced.SQL}
