@@ -8,7 +8,7 @@
     python -m corate ingest --source /shared/incoming --table /shared/rating_events \
         --checkpoint /shared/ckpt/ingest [--every "1 minute"]
 
-Inputs named ``*.csv`` / text are parsed with the library readers; other paths are read as Parquet.
+Rating inputs are written tables or logs: a path whose files are not Parquet is read as a log.
 Outputs go under ``<out>/run=<id>``. The session comes from the environment (spark-submit).
 """
 
@@ -17,6 +17,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from corate.operators.catalog import filter_title
@@ -32,11 +34,15 @@ def _session() -> SparkSession:
 
 
 def _ratings(spark: SparkSession, path: str) -> DataFrame:
-    if path.endswith((".csv", ".txt")):
-        # The log as a table: one rating per user and item, the newest.
-        good, _ = read_ratings(spark, path, with_timestamp=True)
-        return latest_by_key(good, ["user_id", "item_id"], ["ts", "rating"], values=["rating"])
-    return spark.read.parquet(path)
+    """A written rating table, or a rating log as a table: one rating per user and item, the newest."""
+    if not path.endswith((".csv", ".txt")):
+        try:
+            return spark.read.parquet(path)   # reads a footer only
+        except (PySparkException, Py4JJavaError) as e:
+            if not any(x in str(e) for x in ("is not a Parquet file", "UNABLE_TO_INFER_SCHEMA")):
+                raise
+    good, _ = read_ratings(spark, path, with_timestamp=True)
+    return latest_by_key(good, ["user_id", "item_id"], ["ts", "rating"], values=["rating"])
 
 
 def _similarity(spark: SparkSession, path: str, text: bool) -> DataFrame:
@@ -93,7 +99,7 @@ def main(argv: list[str] | None = None) -> str:
     elif a.job == "similarity":
         items = filter_title(read_items(spark, a.items), a.marker) if a.items else None
         out = similarity_job(_ratings(spark, a.ratings), a.out, items=items, min_support=a.min_support,
-                             truncate=not a.exact, run_id=a.run_id, ordered_text=a.ordered_text)
+                             truncate=not a.exact, run_id=a.run_id, ordered_text=a.ordered_text, unique=True)
     elif a.job == "recommend":
         out = recommend_job(_ratings(spark, a.ratings), _similarity(spark, a.similarity, a.similarity_text),
                             a.out, k=a.k, symmetric=a.symmetric, exclude_seen=a.exclude_seen,

@@ -3,128 +3,107 @@
 ``score(u, j) = sum_i w(u, i) * val(i, j)`` over the items ``i`` the user rated, where ``w`` is
 the integer half-star weight and ``val`` the integer similarity. Scores are bigint.
 
-Plan when the similarity table passes the broadcast size check (the usual case: it has one row
-per frequent item pair, not per rating):
+Plan when the packed similarity rows pass the broadcast size check (the usual case: two arrays per
+item, 12 bytes per frequent item pair):
 
-    weights --repartition(user)--> broadcast join sim --> aggregate (user, item)
+    weights --repartition(user)--> broadcast join packed rows --> expand --> aggregate (user, item)
             --> top-k window per user [--> pad]
 
 Everything after the one exchange of the small weight rows stays in the same partitions: the
 per-user partial products, which outnumber the ratings by the similarity row length, are never
 shuffled. The options keep that shape: excluding seen items joins diagonal marker rows along
 with the matrix (no anti join, which would re-shuffle the scores on (user, item)), and padding
-uses a left outer join so users without any score still reach the per-user window. Hot users are cut into item chunks and scored in a second branch with its own
-exchanges, so no task receives a whole hot user. When the similarity table is too large to
-broadcast, the join shuffles on the item, with hot items salted by user.
+uses a left outer join so users without any score still reach the per-user window. Hot users are cut
+into item chunks and scored in a second branch with its own exchanges, so no task receives a whole hot
+user. When the packed rows are too large to broadcast, users and columns are dealt into blocks and
+each cell computes its scores complete (``corate.operators.matrix``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.scalars import pack_entries
+from corate.operators.matrix import blocked_scores, pack_matrix, packed_bytes, packed_scores, plan_blocks
 from corate.operators.topk import top_k_per_user
-from corate.operators.vectors import scaled_ratings, scaled_similarity
+from corate.operators.vectors import scaled_ratings, scaled_similarity, unpack_arrays
 from corate.plans.skew import (
     DEFAULT_MAX_BROADCAST_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     SCORING_ROWS_PER_TASK,
     HotSplit,
-    broadcast_if_bounded,
     chunk_of,
-    equi_join_rows,
     partitions_for,
     split_hot_keys,
 )
 
 # Users with more rated items than this are scored in item chunks of about this size.
 DEFAULT_HOT_USER_DEGREE = 2000
-# Items rated by more users than this are salted by user in the shuffle-join fallback.
-DEFAULT_HOT_ITEM_DEGREE = 100_000
 
 
 def _matrix(sim_scaled: DataFrame, symmetric: bool, markers: bool = False) -> DataFrame:
-    """``(item_1, item_2, val[, _seen])``, mirrored when ``symmetric``.
+    """``(item_1, item_2, val)``, mirrored when ``symmetric``.
 
-    ``markers`` adds a diagonal row ``(i, i, 0, seen)`` for every item of the matrix: joined to a
-    user's rating of ``i`` it marks ``i`` as seen without adding to any score, so excluding seen
-    items needs no second pass over the ratings and no extra shuffle.
+    ``markers`` adds a diagonal entry ``(i, i, 0)`` for every item of the matrix: joined to a user's
+    rating of ``i`` it marks ``i`` as seen without adding to any score, so excluding seen items needs
+    no second pass over the ratings and no extra shuffle.
     """
     v = sim_scaled.select("item_1", "item_2", "val")
     if symmetric:
         v = v.unionByName(v.select(F.col("item_2").alias("item_1"), F.col("item_1").alias("item_2"), "val"))
     if markers:
         items = v.select(F.col("item_1").alias("_i")).union(v.select(F.col("item_2").alias("_i"))).distinct()
-        diag = items.select(F.col("_i").alias("item_1"), F.col("_i").alias("item_2"),
-                            F.lit(0).alias("val"), F.lit(True).alias("_seen"))
-        v = v.withColumn("_seen", F.lit(False)).unionByName(diag)
+        v = v.unionByName(items.select(F.col("_i").alias("item_1"), F.col("_i").alias("item_2"), F.lit(0).alias("val")))
     return v
 
 
-def _product_sum(w: DataFrame, v: DataFrame, how: str = "inner") -> DataFrame:
-    """``(user_id, item_id, score[, _seen])``: the partial products summed per (user, item).
-
-    With ``how='left'`` a rating that meets no matrix row still yields one row with a NULL item,
-    so every user of ``w`` appears in the result (needed to pad empty lists).
-    """
-    j = w.join(v, F.col("item_id") == F.col("item_1"), how)
-    aggs = [F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score")]
-    if "_seen" in v.columns:
-        aggs.append(F.max("_seen").alias("_seen"))
-    return j.groupBy("user_id", F.col("item_2").alias("item_id")).agg(*aggs)
+def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None) -> tuple[int, int, tuple[int, int]]:
+    """Bytes of the packed matrix with rows ``(item_1, _len)``, number of partial products, and ``(sum of squared
+    degrees, hot users)``: all that the plan depends on, in one action over one row per item and one per user."""
+    raters = weights.groupBy("item_id").agg(F.count("*").alias("_raters"))
+    rows = lengths.join(raters, F.col("item_1") == F.col("item_id"), "left")
+    by_item = rows.agg(F.sum(packed_bytes(F.col("_len"))).alias("a"), F.sum(F.col("_len") * F.col("_raters")).alias("b"))
+    degree = weights.groupBy("user_id").agg(F.count("*").alias("_deg"))
+    hot = F.col("_deg") > F.lit(hot_user_degree) if hot_user_degree is not None else F.lit(False)
+    by_user = degree.agg(F.sum(F.col("_deg") * F.col("_deg")).alias("a"), F.count(F.when(hot, True)).alias("b"))
+    item, user = by_item.unionByName(by_user).collect()
+    return int(item["a"] or 0), int(item["b"] or 0), (int(user["a"] or 0), int(user["b"] or 0))
 
 
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
-              hot_user_degree: int | None, hot_item_degree: int | None,
-              max_hot_keys: int, partitions: int | None, user_partitioned: bool = False,
-              how: str = "inner", skip_zero_weights: bool = True) -> list[DataFrame]:
-    """Scores ``(user_id, item_id, score[, _seen])`` per branch (ordinary users; hot users). ``skip_zero_weights`` drops ratings of weight 0 before the join (they add
-    nothing, but would create zero-score rows); ranking keeps them so that they still mark their
-    item as seen and keep their user present."""
+              hot_user_degree: int | None, max_hot_keys: int, partitions: int | None,
+              user_partitioned: bool = False, how: str = "inner", skip_zero_weights: bool = True,
+              seen: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK, packed: DataFrame | None = None) -> list[DataFrame]:
+    """Scores ``(user_id, item_id, score[, _seen])`` per branch (ordinary users; hot users).
+    ``skip_zero_weights`` drops ratings of weight 0 before the join (they add nothing, but would
+    create zero-score rows); ranking keeps them so that they still mark their item as seen and keep
+    their user present. ``packed`` gives the matrix ``v`` as packed arrays where the caller has them."""
     spark = weights.sparkSession
     nonzero = F.col("w") != 0 if skip_zero_weights else F.lit(True)
-    v_b, small = broadcast_if_bounded(v, max_bytes=max_broadcast_bytes)
-    if small:
-        # Sized by the exact number of partial products, not by the weight rows shuffled.
-        parts = partitions or partitions_for(
-            spark, equi_join_rows(weights.filter(nonzero), "item_id", v, "item_1"), SCORING_ROWS_PER_TASK)
-        split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys)
-                 if hot_user_degree is not None else HotSplit(weights, None, 0))
-        # Explicit partition count: the exchange carries only weight rows but the work after it is
-        # the product, so AQE must not coalesce this stage by its small shuffle size. Input that is
-        # already bucketed by user keeps its partitioning and needs no exchange at all.
-        wn = split.normal if user_partitioned else split.normal.repartition(parts, "user_id")
-        out = [_product_sum(wn.filter(nonzero), v_b, how)]
-        if split.hot is not None:
-            wh = (split.hot.withColumn("_chunk", chunk_of("item_id"))
-                  .repartition(parts, "user_id", "_chunk").drop("n_chunks"))
-            out.append(_product_sum(wh.filter(nonzero), v_b, how))
-        return out
-    # Shuffle join on the item, both sides partitioned explicitly (sized by the partial products:
-    # AQE would size this stage by the few bytes of its inputs). Hot items: ratings salted by user,
-    # their similarity rows replicated once per salt.
-    wz = weights.filter(nonzero)
-    parts = partitions or partitions_for(spark, equi_join_rows(wz, "item_id", v, "item_1"), SCORING_ROWS_PER_TASK)
-    split = (split_hot_keys(wz, "item_id", min_degree=hot_item_degree, max_hot_keys=max_hot_keys)
-             if hot_item_degree is not None else HotSplit(wz, None, 0))
-    cols = ["user_id", "item_2", "w", "val"] + (["_seen"] if "_seen" in v.columns else [])
-    products = (split.normal.repartition(parts, "item_id")
-                .join(v.repartition(parts, "item_1"), F.col("item_id") == F.col("item_1"), how).select(*cols))
+    lengths = (v.groupBy("item_1").agg(F.count("*").alias("_len")) if packed is None
+               else packed.select("item_1", F.size("cols").alias("_len")))
+    size, products, degrees = _figures(weights.filter(nonzero), lengths, hot_user_degree)
+    if size > max_broadcast_bytes:
+        w = weights.filter(nonzero)
+        return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
+    rows = F.broadcast(pack_matrix(v) if packed is None else packed)   # `size` bytes, computed from the row lengths
+    # Sized by the exact number of partial products, not by the weight rows shuffled.
+    parts = partitions or partitions_for(spark, products, rows_per_task)
+    split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys, known=degrees)
+             if hot_user_degree is not None else HotSplit(weights, None, 0))
+    # Explicit partition count: the exchange carries only weight rows but the work after it is
+    # the product, so AQE must not coalesce this stage by its small shuffle size. Input that is
+    # already bucketed by user keeps its partitioning and needs no exchange at all.
+    wn = split.normal if user_partitioned else split.normal.repartition(parts, "user_id")
+    out = [packed_scores(wn.filter(nonzero), rows, how=how, seen=seen)]
     if split.hot is not None:
-        hot_items = split.keys.withColumnRenamed("item_id", "item_1")
-        wh = (split.hot.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.col("n_chunks").cast("long")).cast("int"))
-              .drop("n_chunks").repartition(parts, "item_id", "_salt"))
-        vh = (v.join(hot_items, "item_1")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
-              .drop("n_chunks").withColumnRenamed("item_1", "_item").repartition(parts, "_item", "_salt"))
-        hot_products = wh.join(vh, (F.col("item_id") == F.col("_item")) & (wh["_salt"] == vh["_salt"]), how)
-        products = products.unionByName(hot_products.select(*cols))
-    aggs = [F.sum(F.col("w").cast("long") * F.col("val").cast("long")).alias("score")]
-    if "_seen" in v.columns:
-        aggs.append(F.max("_seen").alias("_seen"))
-    scores = products.groupBy("user_id", F.col("item_2").alias("item_id")).agg(*aggs)
-    return [scores]
+        wh = (split.hot.withColumn("_chunk", chunk_of("item_id"))
+              .repartition(parts, "user_id", "_chunk").drop("n_chunks"))
+        out.append(packed_scores(wh.filter(nonzero), rows, how=how, seen=seen))
+    return out
 
 
 def _pad(ranked: DataFrame, k: int) -> DataFrame:
@@ -156,34 +135,45 @@ def _pad(ranked: DataFrame, k: int) -> DataFrame:
 def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool = False,
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                 hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
-                hot_item_degree: int | None = DEFAULT_HOT_ITEM_DEGREE,
                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
-                user_partitioned: bool = False) -> DataFrame:
+                user_partitioned: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
     """``(user_id, item_id, score)`` for every item reached through at least one similarity row
     (zero scores included). ``weights``: ``(user_id, item_id, w)``; ``sim_scaled``:
     ``(item_1, item_2, val)``, upper triangle unless ``symmetric`` mirrors it."""
     v = _matrix(sim_scaled, symmetric)
     branches = _branches(weights.select("user_id", "item_id", "w"), v,
                          max_broadcast_bytes=max_broadcast_bytes, hot_user_degree=hot_user_degree,
-                         hot_item_degree=hot_item_degree, max_hot_keys=max_hot_keys,
-                         partitions=partitions, user_partitioned=user_partitioned)
+                         max_hot_keys=max_hot_keys, partitions=partitions, user_partitioned=user_partitioned,
+                         rows_per_task=rows_per_task)
     out = branches[0]
     for b in branches[1:]:
         out = out.unionByName(b)
     return out
 
 
+def user_scores_packed(weights: DataFrame, packed_rows: DataFrame, *, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                       hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                       partitions: int | None = None, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
+    """``user_scores`` from a stored packed matrix ``(item_1, packed)`` (``similarity_rows``, packed text): each rating
+    meets the packed row of its item, which is parsed to two arrays and expanded behind the join only."""
+    arrays = unpack_arrays(packed_rows, "item_1")
+    at = arrays.select("item_1", "vals", F.posexplode("cols").alias("_at", "item_2"))
+    v = at.select("item_1", "item_2", F.get("vals", F.col("_at")).alias("val"))
+    branches = _branches(weights.select("user_id", "item_id", "w"), v, packed=arrays, max_broadcast_bytes=max_broadcast_bytes,
+                         hot_user_degree=hot_user_degree, max_hot_keys=max_hot_keys, partitions=partitions, rows_per_task=rows_per_task)
+    return reduce(DataFrame.unionByName, branches)
+
+
 def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bool = False,
               exclude_seen: bool = False, pad_zeros: bool = False,
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
               hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
-              hot_item_degree: int | None = DEFAULT_HOT_ITEM_DEGREE,
               max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
-              user_partitioned: bool = False) -> DataFrame:
+              user_partitioned: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
     """Top-``k`` items per user: ``(user_id, item_id, score, rank)``.
 
     ``ratings``: ``(user_id, item_id, rating)``; ``sim``: ``(item_1, item_2, similarity)``, best
-    passed as a written table (its row count decides the broadcast).
+    passed as a written table (its row lengths decide the broadcast).
     Defaults follow the original job: the similarity matrix is used as stored (upper triangle),
     rated items may be recommended, order is score descending then item id ascending. Only
     positive scores are listed unless ``pad_zeros`` fills every user's list to ``k`` with
@@ -199,9 +189,8 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     weights = scaled_ratings(ratings)
     v = _matrix(scaled_similarity(sim), symmetric, markers=exclude_seen)
     branches = _branches(weights, v, max_broadcast_bytes=max_broadcast_bytes,
-                         hot_user_degree=hot_user_degree, hot_item_degree=hot_item_degree,
-                         max_hot_keys=max_hot_keys, partitions=partitions,
-                         user_partitioned=user_partitioned,
+                         hot_user_degree=hot_user_degree, max_hot_keys=max_hot_keys, partitions=partitions,
+                         user_partitioned=user_partitioned, rows_per_task=rows_per_task, seen=exclude_seen,
                          how="left" if pad_zeros else "inner",
                          skip_zero_weights=not (exclude_seen or pad_zeros))
     result = None

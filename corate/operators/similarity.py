@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.scalars import cosine
 from corate.operators.catalog import ratings_in_catalog
+from corate.operators.dedupe import latest_by_key
 from corate.plans.skew import (
     DEFAULT_MAX_BROADCAST_BYTES,
     DEFAULT_MAX_HOT_KEYS,
@@ -19,6 +20,13 @@ from corate.plans.skew import (
 # self-join, so one task holds at most ~threshold^2 / 2 item pairs of a single user.
 DEFAULT_HOT_USER_DEGREE = 2000
 
+def checked_rating(col: str = "rating") -> Column:
+    """The rating, or an error for a negative one (no extra pass): truncated products are only defined for
+    non-negative ratings, as truncating a running sum of negative terms depends on their order."""
+    return F.when(F.col(col).isNull() | (F.col(col) >= 0), F.col(col)).otherwise(
+        F.raise_error(F.lit("truncated products need non-negative ratings")))
+
+
 CO_RATING_COLUMNS = ["user_id", "item_1", "item_2", "rating_1", "rating_2"]
 
 
@@ -100,13 +108,13 @@ def pair_stats(co: DataFrame, truncate: bool = True) -> DataFrame:
     over the common raters only.
 
     ``truncate=True`` floors every product before summing (the integer accumulators of the
-    original job; exact for non-negative ratings) and gives bigint sums. ``False`` sums the
+    original job) and gives bigint sums; a negative rating is an error. ``False`` sums the
     exact double products. All four are algebraic, so Spark aggregates partially before the
     shuffle on the pair.
     """
     if truncate:
         def prod(x, y):
-            return F.floor(F.col(x) * F.col(y))
+            return F.floor(checked_rating(x) * checked_rating(y))
     else:
         def prod(x, y):
             return F.col(x) * F.col(y)
@@ -167,23 +175,36 @@ def rated_at_least(ratings: DataFrame, min_raters: int, *,
     return ratings.join(F.broadcast(drop), "item_id", "left_anti")       # `rare` ids, counted
 
 
+def unique_ratings(ratings: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One ``(user_id, item_id, rating)`` per user and item: the newest by ``ts`` where the frame has that column,
+    then the greatest rating. With ``partitions`` the rows are dealt by user first, which a self join on the user
+    uses again."""
+    r = ratings.repartition(partitions, "user_id") if partitions else ratings
+    if "ts" in ratings.columns:
+        return latest_by_key(r, ["user_id", "item_id"], ["ts", "rating"], values=["rating"])
+    return r.groupBy("user_id", "item_id").agg(F.max("rating").alias("rating"))
+
+
 def item_similarity(ratings: DataFrame, items: DataFrame | None = None, *, min_support: int = 20,
                     truncate: bool = True, hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
                     max_hot_users: int = DEFAULT_MAX_HOT_KEYS, user_partitioned: bool = False,
-                    prune_rare_items: bool = True) -> DataFrame:
+                    prune_rare_items: bool = True, unique: bool = False) -> DataFrame:
     """Cosine similarity of every item pair with at least ``min_support`` common raters.
 
-    Plan: (catalog semi join) -> (drop items with fewer than ``min_support`` raters) -> self join
-    on user (hot users chunked) -> partial aggregate -> shuffle on the pair -> final aggregate ->
-    support filter -> cosine. The exploded pairs are combined in the join's own stage; only
+    A user's rating of an item counts once, also where a log lists it several times: the newest by
+    ``ts`` if the frame has that column, then the greatest (``unique_ratings``). ``unique=True`` declares that the
+    table holds one row per user and item, as tables written by ``load_job`` do, and saves that step.
+
+    Plan: (one row per user and item) -> (catalog semi join) -> (drop items with fewer than ``min_support``
+    raters) -> self join on user (hot users chunked) -> partial aggregate -> shuffle on the pair -> final
+    aggregate -> support filter -> cosine. The exploded pairs are combined in the join's own stage; only
     per-pair partial sums cross the network.
     """
+    if not unique:
+        ratings = unique_ratings(ratings)
     r = ratings.select("user_id", "item_id", "rating")
     if truncate:
-        # Truncated products are only defined for non-negative ratings (truncating a running sum
-        # of negative terms depends on their order): fail the job instead of dropping rows.
-        r = r.withColumn("rating", F.when(F.col("rating") >= 0, F.col("rating")).otherwise(
-            F.raise_error(F.lit("item_similarity(truncate=True) needs non-negative ratings"))))
+        r = r.withColumn("rating", checked_rating())
     if items is not None:
         r = ratings_in_catalog(r, items)
     if prune_rare_items and min_support > 1:

@@ -60,3 +60,11 @@ def unpack_rows(df: DataFrame, key: str, packed: str = "packed", *, col: str = "
     if last_wins:
         out = (out.groupBy(key, col).agg(F.max_by(val, "_pos").alias(val)))
     return out.select(key, col, val)
+
+
+def unpack_arrays(df: DataFrame, key: str, packed: str = "packed") -> DataFrame:
+    """Packed rows as ``(key, cols, vals)`` arrays, one row per packed row: the form that ``packed_scores`` joins,
+    without a row per entry in between."""
+    e = unpack_entries(packed)
+    return df.select(key, e.alias("_e")).select(
+        key, F.col("_e.key").alias("cols"), F.transform("_e", lambda x: x["value"].cast("int")).alias("vals"))

@@ -6,14 +6,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corate import bridge
 from corate.functions.scalars import title_year
 from corate.operators.catalog import filter_title, rating_lookup, ratings_in_catalog, ratings_of_item
 from corate.operators.dedupe import latest_by_key, upsert_items, upsert_ratings
-from corate.operators.recommend import recommend, user_scores
+from corate.operators.incremental import add_stats, pair_stats_delta, rating_changes
+from corate.operators.keyfilter import semi_join
+from corate.operators.recommend import recommend, user_scores, user_scores_packed
 from corate.operators.similarity import (
     candidate_pairs,
     co_ratings,
@@ -21,6 +23,7 @@ from corate.operators.similarity import (
     item_similarity,
     pair_stats,
     rated_at_least,
+    similarity_from_stats,
 )
 from corate.operators.topk import top_k
 from corate.operators.vectors import (
@@ -30,11 +33,15 @@ from corate.operators.vectors import (
     unpack_rows,
     user_vectors,
 )
+from corate.plans.jobs import load_job
 from corate.session import materialize, scratch_path, table
+from corate.sinks.tables import create_bucket_table, read_bucket_table, upsert_bucket_table, write_clustered
 from corate.sinks.writers import (
     export_items,
+    run_path,
     write_bucketed,
     write_packed,
+    write_packed_lines,
     write_recommendations,
     write_similarity,
     write_table,
@@ -43,10 +50,13 @@ from corate.sources.readers import (
     dump_table,
     item_rejects,
     read_items,
+    read_packed,
     read_packed_entries,
     read_ratings,
     read_similarity,
+    read_split,
     similarity_rejects,
+    split_log,
 )
 from corate.streaming.ingest import current_ratings, start_rating_ingest
 
@@ -62,19 +72,24 @@ PART_MARKER = "widget"      # part titles carrying this word are exported
 UPSERT_OLD_BEFORE_YEAR = 2000
 UPSERT_MIXED_EVERY = 3      # orders whose key this divides are the incoming part of the mixed upsert
 # Low limits, so that the plans for large data run on the test tables.
-HOT_USER_DEGREE, HOT_CATALOG_DEGREE, HOT_ITEM_DEGREE = 20, 3, 100
+HOT_USER_DEGREE, HOT_CATALOG_DEGREE = 20, 3
 RENAMED_SUFFIX = " (2001)"
+LOOKUP_ITEMS = 100          # keys of the large lookup name items 1 to this
+URGENT = "1-URGENT"
+UPSERT_BUCKETS = 16
+WIDE = 1_000_000_007        # ids times this for wide packed text
+ORDER_FILES = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _similarity(spark: SparkSession, sf_dir: str, truncate: bool = True) -> DataFrame:
-    return item_similarity(bridge.ratings(spark, sf_dir, written=True), min_support=MIN_SUPPORT, truncate=truncate)
+    return item_similarity(bridge.ratings(spark, sf_dir, written=True), min_support=MIN_SUPPORT, truncate=truncate, unique=True)
 
 
 def _written_similarity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     r = bridge.ratings(spark, sf_dir, written=True)
-    s = materialize(item_similarity(r, min_support=MIN_SUPPORT), "similarity")
+    s = materialize(item_similarity(r, min_support=MIN_SUPPORT, unique=True), "similarity")
     return r, s
 
 
@@ -102,18 +117,18 @@ def q_item_similarity_exact(spark, sf_dir):
 
 def q_item_similarity_frequent(spark, sf_dir):
     """A support high enough that pairs fall below it and rare items leave before the self join."""
-    return item_similarity(bridge.ratings(spark, sf_dir, written=True), min_support=FREQUENT_SUPPORT)
+    return item_similarity(bridge.ratings(spark, sf_dir, written=True), min_support=FREQUENT_SUPPORT, unique=True)
 
 
 def q_item_similarity_bucketed(spark, sf_dir):
     """Similarity over ratings bucketed by user: the self join reads the buckets, no exchange."""
-    return item_similarity(_bucketed_ratings(spark, sf_dir), min_support=MIN_SUPPORT, user_partitioned=True)
+    return item_similarity(_bucketed_ratings(spark, sf_dir), min_support=MIN_SUPPORT, user_partitioned=True, unique=True)
 
 
 def q_catalog_similarity(spark, sf_dir):
     """The similarity job as originally run: only items of the marker-filtered catalog take part."""
     r = bridge.ratings(spark, sf_dir, written=True)
-    return item_similarity(r, _catalog(spark, sf_dir), min_support=MIN_SUPPORT)
+    return item_similarity(r, _catalog(spark, sf_dir), min_support=MIN_SUPPORT, unique=True)
 
 
 def q_pair_stats(spark, sf_dir):
@@ -350,9 +365,9 @@ def q_user_scores(spark, sf_dir):
 
 
 def q_user_scores_shuffled(spark, sf_dir):
-    """The scores with no broadcast allowed: shuffle join, most items salted."""
+    """The scores with no broadcast allowed: a product of user blocks and column blocks."""
     r, s = _written_similarity(spark, sf_dir)
-    return user_scores(scaled_ratings(r), scaled_similarity(s), max_broadcast_bytes=0, hot_item_degree=HOT_ITEM_DEGREE)
+    return user_scores(scaled_ratings(r), scaled_similarity(s), max_broadcast_bytes=0)
 
 
 def q_top_k_per_user(spark, sf_dir):
@@ -368,7 +383,7 @@ def q_recommend(spark, sf_dir):
 def q_recommend_bucketed(spark, sf_dir):
     """Recommendations from ratings bucketed by user: scoring runs without any exchange."""
     r = _bucketed_ratings(spark, sf_dir)
-    s = materialize(item_similarity(r, min_support=MIN_SUPPORT, user_partitioned=True), "similarity")
+    s = materialize(item_similarity(r, min_support=MIN_SUPPORT, user_partitioned=True, unique=True), "similarity")
     return recommend(r, s, RECOMMEND_K, user_partitioned=True)
 
 
@@ -412,6 +427,167 @@ def q_recommendation_text_padded(spark, sf_dir):
     return _recommendation_text(spark, recommend(r, s, PADDED_K, pad_zeros=True))
 
 
+# -- plans for large data ---------------------------------------------------------------------
+
+def q_user_scores_packed(spark, sf_dir):
+    """The scores from the stored packed rows: one row of arrays per item in the join, expanded behind it."""
+    r, s = _written_similarity(spark, sf_dir)
+    rows = materialize(similarity_rows(scaled_similarity(s)), "similarity_rows")
+    return user_scores_packed(scaled_ratings(r), rows)
+
+
+def q_recommend_blocked(spark, sf_dir):
+    """Unseen recommendations with no broadcast allowed: every cell of the blocked product ranks its own scores first."""
+    r, s = _written_similarity(spark, sf_dir)
+    return recommend(r, s, RECOMMEND_K, exclude_seen=True, max_broadcast_bytes=0)
+
+
+def _clustered_ratings(spark, sf_dir):
+    return spark.read.parquet(write_clustered(bridge.ratings(spark, sf_dir, written=True), scratch_path(spark, "ratings_clustered")))
+
+
+def q_ratings_of_item_clustered(spark, sf_dir):
+    """The ratings of one item from a table sorted by item: other row groups are not read."""
+    return ratings_of_item(_clustered_ratings(spark, sf_dir), LOOKUP_ITEM)
+
+
+def q_rating_lookup_clustered(spark, sf_dir):
+    """A few keys looked up by conditions of the scan, with the row groups' statistics and Bloom filters."""
+    keys = table(spark, sf_dir, "nation").select(
+        (F.col("n_nationkey") + 1).cast("bigint").alias("user_id"), (F.col("n_regionkey") + 1).cast("bigint").alias("item_id"))
+    return rating_lookup(_clustered_ratings(spark, sf_dir), keys)
+
+
+def q_rating_lookup_many(spark, sf_dir):
+    """A key for every order, too many to broadcast: a Bloom filter thins the ratings before the join."""
+    o = table(spark, sf_dir, "orders")
+    keys = o.select(F.col("o_custkey").alias("user_id"), (F.col("o_orderkey") % LOOKUP_ITEMS + 1).cast("bigint").alias("item_id"))
+    return rating_lookup(bridge.ratings(spark, sf_dir, written=True), keys, max_broadcast_bytes=0)
+
+
+def q_ratings_in_keys(spark, sf_dir):
+    """The ratings of users with an urgent order: the semi join behind a Bloom filter."""
+    users = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == URGENT).select(F.col("o_custkey").alias("user_id"))
+    return semi_join(bridge.ratings(spark, sf_dir, written=True), users, ["user_id"], users.distinct().count())
+
+
+def _mixed_parts(spark, sf_dir):
+    """Stored ratings and a batch of rating events that are often older."""
+    ev = bridge.rating_events(spark, sf_dir)
+    new = F.col("l_orderkey") % UPSERT_MIXED_EVERY == 0
+    existing = latest_by_key(ev.filter(~new), ["user_id", "item_id"], bridge.EVENT_ORDER, values=["rating"])
+    batch = latest_by_key(ev.filter(new), ["user_id", "item_id"], bridge.EVENT_ORDER, values=["rating"])
+    return materialize(existing, "ratings_stored"), batch
+
+
+def q_upsert_ratings_bucketed(spark, sf_dir):
+    """The mixed batch applied in place to a table bucketed by key: only buckets it names are rewritten."""
+    existing, batch = _mixed_parts(spark, sf_dir)
+    path = create_bucket_table(existing, scratch_path(spark, "ratings_buckets"), ["user_id", "item_id"], UPSERT_BUCKETS)
+    upsert_bucket_table(spark, path, batch, ["user_id", "item_id"])
+    return read_bucket_table(spark, path).select("user_id", "item_id", "rating")
+
+
+def q_pair_stats_incremental(spark, sf_dir):
+    """Stored pair statistics brought up to date with the mixed batch, without joining unchanged pairs again."""
+    existing, batch = _mixed_parts(spark, sf_dir)
+    stored = materialize(pair_stats(co_ratings(existing)), "pair_stats")
+    changes = materialize(rating_changes(existing, batch), "rating_changes")
+    return add_stats(stored, materialize(pair_stats_delta(existing, changes), "pair_stats_delta"))
+
+
+def q_item_similarity_incremental(spark, sf_dir):
+    """Similarity from the incremental statistics."""
+    return similarity_from_stats(q_pair_stats_incremental(spark, sf_dir).filter(F.col("n") >= MIN_SUPPORT))
+
+
+def q_packed_text_wide(spark, sf_dir):
+    """Similarity rows with ids of ten digits and more as text, one line per item, read back."""
+    _, s = _written_similarity(spark, sf_dir)
+    v = scaled_similarity(s).select((F.col("item_1") * WIDE).alias("item_1"), (F.col("item_2") * WIDE).alias("item_2"), "val")
+    path = write_packed_lines(v, "item_1", "item_2", "val", scratch_path(spark, "packed_wide"))
+    return read_packed(spark, path, key="item_1")
+
+
+def _raw_log(ev: DataFrame, path: str, junk: bool = False) -> str:
+    """Every rating event as a log line, also those of one user and item; with ``junk`` some lines without a rating."""
+    lines = ev.select(F.concat_ws(",", "user_id", "item_id", F.col("rating").cast("string"), F.unix_timestamp("l_shipdate").cast("string")).alias("value"))
+    if junk:
+        lines = lines.unionByName(ev.filter(F.col("rating") == 5.0).select(F.concat_ws(",", "user_id", "item_id").alias("value")))
+    lines.write.text(path)
+    return path
+
+
+def q_split_log(spark, sf_dir):
+    """A log with bad lines, good and rejected rows written in one pass and read back."""
+    out = scratch_path(spark, "log_split")
+    split_log(spark, _rating_log(spark, sf_dir, with_bad=True), out)
+    good, rejects = read_split(spark, out)
+    none = F.lit(None)
+    return good.select("user_id", "item_id", "rating", none.cast("string").alias("line"), none.cast("string").alias("reason")).unionByName(
+        rejects.select(none.cast("bigint").alias("user_id"), none.cast("bigint").alias("item_id"), none.cast("double").alias("rating"), "line", "reason"))
+
+
+def q_item_similarity_raw_log(spark, sf_dir):
+    """Similarity straight from a log that lists ratings several times: the newest counts, ties the greatest."""
+    good, _ = read_ratings(spark, _raw_log(bridge.rating_events(spark, sf_dir), scratch_path(spark, "raw_log")), with_timestamp=True)
+    return item_similarity(good, min_support=MIN_SUPPORT)
+
+
+def _event_parts(spark, sf_dir):
+    ev = bridge.rating_events(spark, sf_dir)
+    new = F.col("l_orderkey") % UPSERT_MIXED_EVERY == 0
+    return ev.filter(~new), ev.filter(new)
+
+
+def q_stream_ingest_raw_log(spark, sf_dir):
+    """Two raw logs ingested one after the other; the second is often older, and ratings repeat within each. The
+    later batch wins, then the newer event, then the greater rating."""
+    src, table_path, ckpt = scratch_path(spark, "raw_logs"), scratch_path(spark, "raw_events"), scratch_path(spark, "raw_ckpt")
+    for name, part in zip(("a", "b"), _event_parts(spark, sf_dir)):
+        _raw_log(part, f"{src}/{name}")
+        start_rating_ingest(spark, f"{src}/*", table_path, ckpt).awaitTermination()
+    return current_ratings(spark, table_path, order="arrival")
+
+
+def q_load_job(spark, sf_dir):
+    """The load job twice: a log with bad lines into new tables, then a second log upserted into those."""
+    items_csv, out = scratch_path(spark, "load_items"), scratch_path(spark, "load_out")
+    export_items(_titled_suppliers(spark, sf_dir), items_csv, marker=None)
+    old, new = _event_parts(spark, sf_dir)
+    first = load_job(spark, items_csv, _raw_log(old, scratch_path(spark, "load_log"), junk=True), out, marker=None)
+    second = load_job(spark, items_csv, _raw_log(new, scratch_path(spark, "load_log"), junk=True), out, marker=None,
+                      existing_items=first.items, existing_ratings=first.ratings)
+    return spark.read.parquet(second.ratings).select("user_id", "item_id", "rating")
+
+
+def q_run_stamped_paths(spark, sf_dir):
+    """Two runs written at once under one base path: neither replaces the other's rows."""
+    r = bridge.ratings(spark, sf_dir)
+    base = scratch_path(spark, "runs")
+    low, high = (write_table(r.filter(c), run_path(base), "error") for c in (F.col("rating") < 3, F.col("rating") >= 3))
+    return dump_table(spark, base).select("user_id", "item_id", "rating", (F.col("run") == high.rsplit("=")[-1]).alias("second_run"))
+
+
+def q_similarity_text_order(spark, sf_dir):
+    """Similarity text in the order of its text keys, checked file by file: lines that come before their predecessor,
+    and files that begin before their predecessor's end."""
+    _, s = _written_similarity(spark, sf_dir)
+    path = write_similarity(s, scratch_path(spark, "similarity_sorted"), ordered="text", partitions=ORDER_FILES)
+    lines = spark.read.text(path).select(
+        F.substring_index("value", "\t", 1).alias("key"), F.col("_metadata.file_name").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"))
+    lines = materialize(lines, "similarity_keys")
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("pos"))
+    files = lines.withColumn("_back", (before > F.col("key")).cast("int")).groupBy("file").agg(
+        F.min_by("key", "pos").alias("first"), F.max_by("key", "pos").alias("last"), F.count("*").alias("n"), F.sum("_back").alias("back"))
+    # One row per file from here on.
+    files = files.withColumn("overlaps", (F.lag("last").over(Window.orderBy("file")) > F.col("first")).cast("int"))
+    return files.agg(F.sum("n").alias("n_lines"), F.coalesce(F.sum("back"), F.lit(0)).alias("lines_out_of_order"),
+                     F.coalesce(F.sum("overlaps"), F.lit(0)).alias("files_out_of_order"),
+                     F.min_by("first", "file").alias("first_key"), F.max_by("last", "file").alias("last_key"))
+
+
 QUERIES: dict[str, Query] = {
     "item_similarity": q_item_similarity,
     "item_similarity_exact": q_item_similarity_exact,
@@ -459,4 +635,20 @@ QUERIES: dict[str, Query] = {
     "reject_bad_items": q_reject_bad_items,
     "user_scores_shuffled": q_user_scores_shuffled,
     "recommend_hot_users": q_recommend_hot_users,
+    "user_scores_packed": q_user_scores_packed,
+    "recommend_blocked": q_recommend_blocked,
+    "ratings_of_item_clustered": q_ratings_of_item_clustered,
+    "rating_lookup_clustered": q_rating_lookup_clustered,
+    "rating_lookup_many": q_rating_lookup_many,
+    "ratings_in_keys": q_ratings_in_keys,
+    "upsert_ratings_bucketed": q_upsert_ratings_bucketed,
+    "pair_stats_incremental": q_pair_stats_incremental,
+    "item_similarity_incremental": q_item_similarity_incremental,
+    "packed_text_wide": q_packed_text_wide,
+    "split_log": q_split_log,
+    "item_similarity_raw_log": q_item_similarity_raw_log,
+    "stream_ingest_raw_log": q_stream_ingest_raw_log,
+    "load_job": q_load_job,
+    "run_stamped_paths": q_run_stamped_paths,
+    "similarity_text_order": q_similarity_text_order,
 }

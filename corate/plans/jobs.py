@@ -6,7 +6,7 @@ tables it reads, and a lost executor only recomputes from the last written stage
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,7 @@ from corate.operators.dedupe import latest_by_key, upsert_items, upsert_ratings
 from corate.operators.recommend import recommend
 from corate.operators.similarity import item_similarity
 from corate.operators.vectors import scaled_ratings, scaled_similarity, similarity_rows, user_vectors
+from corate.sinks.tables import write_observed
 from corate.sinks.writers import (
     export_items,
     run_path,
@@ -25,7 +26,7 @@ from corate.sinks.writers import (
     write_similarity,
     write_table,
 )
-from corate.sources.readers import read_items, read_ratings
+from corate.sources.readers import read_items, read_split, split_log
 
 
 @dataclass
@@ -34,6 +35,7 @@ class LoadResult:
     ratings: str
     rejects: str
     ratings_table: str | None = None  # catalog name when the ratings are bucketed by user
+    counts: dict = field(default_factory=dict)  # rows written, as the writes counted them
 
 
 def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str, *,
@@ -54,33 +56,34 @@ def load_job(spark: SparkSession, items_csv: str, ratings_csv: str, out_dir: str
     items = latest_by_key(items, ["item_id"], ["title"])
     if existing_items:
         items = upsert_items(spark.read.parquet(existing_items), items)
-    good, rejects = read_ratings(spark, ratings_csv, with_timestamp=True)
+    log = split_log(spark, ratings_csv, f"{base}/log")   # the log is read once
+    good, rejects = read_split(spark, f"{base}/log")
     if existing_ratings:
         good = upsert_ratings(spark.read.parquet(existing_ratings), good, ["ts"])
     else:
         good = latest_by_key(good, ["user_id", "item_id"], ["ts", "rating"])
+    counts = {"log_lines": log["rows"], "rejected_lines": log["rejected"]}
     ratings_table = None
     if user_buckets:
         ratings_table = f"ratings_run_{base.rsplit('=', 1)[-1]}"
         write_bucketed(good, ratings_table, f"{base}/ratings", user_buckets, by="user_id")
     else:
-        write_table(good, f"{base}/ratings")
-    return LoadResult(
-        items=write_table(items, f"{base}/items"),
-        ratings=f"{base}/ratings",
-        rejects=write_table(rejects, f"{base}/rejects"),
-        ratings_table=ratings_table,
-    )
+        counts["ratings"] = write_observed(good, f"{base}/ratings")["rows"]
+    counts["items"] = write_observed(items, f"{base}/items")["rows"]
+    return LoadResult(items=f"{base}/items", ratings=f"{base}/ratings", rejects=write_table(rejects, f"{base}/rejects"),
+                      ratings_table=ratings_table, counts=counts)
 
 
 def similarity_job(ratings: DataFrame, out_dir: str, *, items: DataFrame | None = None,
                    min_support: int = 20, truncate: bool = True, run_id: str | int | None = None,
-                   text: bool = True, user_partitioned: bool = False, ordered_text: bool = False) -> str:
+                   text: bool = True, user_partitioned: bool = False, ordered_text: bool | str = False,
+                   unique: bool = False) -> str:
     """Item similarity written as a table (and as ``m1 m2<TAB>sim n`` text, in key order across
-    files with ``ordered_text``); returns the run path."""
+    files with ``ordered_text``, see ``write_similarity``); returns the run path. ``unique`` as in
+    ``item_similarity``."""
     base = run_path(out_dir, run_id)
     sim = item_similarity(ratings, items, min_support=min_support, truncate=truncate,
-                          user_partitioned=user_partitioned)
+                          user_partitioned=user_partitioned, unique=unique)
     write_table(sim, f"{base}/similarity")
     if text:
         spark = ratings.sparkSession

@@ -216,4 +216,39 @@ WHERE rn = 1""")
 FROM supplier UNION ALL SELECT 'item ' || s_suppkey, 'short' FROM supplier"""
     q["reject_bad_items"] = """SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS genres,
   'short' AS reason FROM supplier UNION ALL SELECT 'item' || s_suppkey, 't', 'g', 'non_numeric' FROM supplier"""
+    q["user_scores_packed"] = q["user_scores"]
+    q["recommend_blocked"] = q["recommend_unseen"]
+    q["ratings_of_item_clustered"] = q["ratings_of_item"]
+    q["rating_lookup_clustered"] = _with([_EV, _R], """SELECT k.user_id, k.item_id, r.rating
+FROM (SELECT CAST(n_nationkey + 1 AS BIGINT) AS user_id, CAST(n_regionkey + 1 AS BIGINT) AS item_id FROM nation) k
+LEFT JOIN R r ON r.user_id = k.user_id AND r.item_id = k.item_id""")
+    q["rating_lookup_many"] = _with([_EV, _R], f"""SELECT k.user_id, k.item_id, r.rating
+FROM (SELECT o_custkey AS user_id, CAST(o_orderkey % {C.LOOKUP_ITEMS} + 1 AS BIGINT) AS item_id FROM orders) k
+LEFT JOIN R r ON r.user_id = k.user_id AND r.item_id = k.item_id""")
+    q["ratings_in_keys"] = _with([_EV, _R], f"""SELECT user_id, item_id, rating FROM R
+WHERE user_id IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '{C.URGENT}')""")
+    q["upsert_ratings_bucketed"] = q["upsert_ratings_mixed"]
+    mixed = f"""R AS (
+  SELECT user_id, item_id, rating FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, item_id
+                                 ORDER BY l_orderkey % {C.UPSERT_MIXED_EVERY} = 0 DESC, {{order}}) AS rn FROM EV) WHERE rn = 1)"""
+    merged = mixed.format(order=_RECENCY)
+    q["pair_stats_incremental"] = _with([_EV, merged, _co(), _PS], "SELECT item_1, item_2, n, num, d1, d2 FROM PS")
+    q["item_similarity_incremental"] = _with([_EV, merged, _co(), _PS, _S], "SELECT item_1, item_2, similarity, n_ratings FROM S")
+    entry = _PACK.format(c=f"item_2 * {C.WIDE}", v="val")
+    q["packed_text_wide"] = _with([*sim, _SS], f"""SELECT item_1 * {C.WIDE} AS item_1, string_agg({entry}, '' ORDER BY item_2) AS packed
+FROM SS GROUP BY item_1""")
+    q["split_log"] = _with([_EV, _R], f"""SELECT user_id, item_id, rating, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason FROM R
+UNION ALL SELECT NULL, NULL, NULL, line, reason FROM ({q["reject_bad_ratings"][q["reject_bad_ratings"].rindex("SELECT '" + C.RATING_HEADER):]}) x""")
+    by_time = "l_shipdate DESC, rating DESC"
+    newest = f"""R AS (
+  SELECT user_id, item_id, rating FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, item_id ORDER BY {by_time}) AS rn FROM EV) WHERE rn = 1)"""
+    q["item_similarity_raw_log"] = _with([_EV, newest, _co(), _PS, _S], "SELECT item_1, item_2, similarity, n_ratings FROM S")
+    q["stream_ingest_raw_log"] = _with([_EV, mixed.format(order=by_time)], "SELECT user_id, item_id, rating FROM R")
+    q["load_job"] = q["stream_ingest_raw_log"]
+    q["run_stamped_paths"] = _with([_EV, _R], "SELECT user_id, item_id, rating, rating >= 3 AS second_run FROM R")
+    q["similarity_text_order"] = _with([*sim, "K AS (SELECT item_1 || ' ' || item_2 AS k FROM S)"],
+                                       "SELECT COUNT(*) AS n_lines, CAST(0 AS BIGINT) AS lines_out_of_order, CAST(0 AS BIGINT) AS files_out_of_order, "
+                                       "MIN(k) AS first_key, MAX(k) AS last_key FROM K")
     return q

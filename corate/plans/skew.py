@@ -45,20 +45,22 @@ class HotSplit:
 
 def split_hot_keys(df: DataFrame, key: str, *, min_degree: int,
                    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                   chunk_col: str = "n_chunks") -> HotSplit:
+                   chunk_col: str = "n_chunks", known: tuple[int, int] | None = None) -> HotSplit:
     """Split ``df`` into rows of ordinary keys and rows of keys with more than ``min_degree`` rows.
 
     Hot rows carry ``chunk_col = ceil(degree / min_degree)``: the number of pieces the group is
     cut into, each about ``min_degree`` rows. One aggregation job (degrees, combined map-side)
     returns the row count, the largest degree, ``sum(degree^2)`` and the number of hot keys; when
-    nothing is hot the input is returned unchanged and no join is added.
+    nothing is hot the input is returned unchanged and no join is added. ``known`` gives
+    ``(sum(degree^2), number of hot keys)`` where the caller has them, and saves the job.
     """
     threshold = int(min_degree)
     deg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
-    stats = deg.agg(F.sum("_deg").alias("n"), F.max("_deg").alias("max_deg"),
-                    F.sum(F.col("_deg") * F.col("_deg")).alias("sq"),
-                    F.count(F.when(F.col("_deg") > threshold, True)).alias("n_hot")).first()
-    sq, n_hot = (stats["sq"] or 0), (stats["n_hot"] or 0)
+    if known is None:
+        stats = deg.agg(F.sum(F.col("_deg") * F.col("_deg")).alias("sq"),
+                        F.count(F.when(F.col("_deg") > threshold, True)).alias("n_hot")).first()
+        known = (stats["sq"] or 0), (stats["n_hot"] or 0)
+    sq, n_hot = known
     if n_hot == 0:
         return HotSplit(df, None, threshold, sq)
     hot = deg.filter(F.col("_deg") > threshold).select(

@@ -5,22 +5,24 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.functions.scalars import DEFAULT_TITLE_MARKER, title_has_marker
+from corate.functions.scalars import DEFAULT_TITLE_MARKER, pack_entries, title_has_marker
 from corate.operators.recommend import format_recommendations
+from corate.session import materialize
 
 _MODES = {"overwrite": "overwrite", "append": "append", "error": "errorifexists", "ignore": "ignore"}
 
 
 def run_path(base: str, run_id: str | int | None = None) -> str:
-    """``base/run=<id>``; the id defaults to the current epoch second."""
-    rid = int(time.time()) if run_id is None else run_id
+    """``base/run=<id>``; the id defaults to the current epoch nanosecond, so that runs sort by time and two
+    runs of one second do not meet."""
+    rid = time.time_ns() if run_id is None else run_id
     return f"{base.rstrip('/')}/run={rid}"
 
 
-def key_ordered(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+def key_ordered(df: DataFrame, keys: list[str | Column], partitions: int | None = None) -> DataFrame:
     """Range partitioned and sorted by ``keys``: part files in name order hold ascending keys
     (the layout of sorted reducer output). Range bounds come from a sample of the keys; no
     single task sorts everything. ``partitions`` fixes the file count (else AQE sizes it)."""
@@ -78,10 +80,18 @@ def similarity_lines(sim: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
-def write_similarity(sim: DataFrame, path: str, if_exists: str = "overwrite", *, ordered: bool = False,
+def pair_key(item_1: str = "item_1", item_2: str = "item_2") -> Column:
+    """The text key of a similarity line, ``'item_1 item_2'``."""
+    return F.concat_ws(" ", F.col(item_1).cast("string"), F.col(item_2).cast("string"))
+
+
+def write_similarity(sim: DataFrame, path: str, if_exists: str = "overwrite", *, ordered: bool | str = False,
                      partitions: int | None = None) -> str:
-    """Similarity text; ``ordered`` writes the pairs in ascending ``(item_1, item_2)`` across files."""
-    src = key_ordered(sim, ["item_1", "item_2"], partitions) if ordered else sim
+    """Similarity text. ``ordered=True`` writes the pairs in ascending ``(item_1, item_2)`` across files,
+    ``ordered="text"`` in the order of their text keys (``'1 10' < '1 9'``), as sorted text keys stand."""
+    src = sim
+    if ordered:
+        src = key_ordered(sim, [pair_key()] if ordered == "text" else ["item_1", "item_2"], partitions)
     similarity_lines(src).write.mode(_MODES[if_exists]).text(path)
     return path
 
@@ -96,6 +106,45 @@ def write_packed(packed: DataFrame, key: str, path: str, if_exists: str = "overw
     return path
 
 
+# A key with more entries than this is dealt by column range, so that no task holds the whole key.
+DEFAULT_HOT_ENTRIES = 1 << 20
+# Entries joined to one string at a time.
+PIECE_ENTRIES = 1 << 12
+
+
+def write_packed_lines(df: DataFrame, key: str, col: str, val: str, path: str, if_exists: str = "overwrite", *,
+                       partitions: int | None = None, hot_entries: int = DEFAULT_HOT_ENTRIES) -> str:
+    """Packed text ``'key<TAB><TAB>(col<TAB>val)...'`` with one line per key, columns ascending, however wide the ids
+    and however long the row.
+
+    The entries are range partitioned by key and sorted; a task joins them in pieces of at most
+    ``PIECE_ENTRIES`` and its file joins the pieces to lines: ``)`` ends every piece and is the row separator of the
+    text writer, and a piece that begins a line starts with a line break. So no group holds a whole row.
+    A key with more than ``hot_entries`` entries is dealt by column range as well. It then has one line in each of
+    several files, which follow each other by name and by column."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_entries).select(key, F.lit(True).alias("_hot"))
+    d = df.select(key, col, val).join(counts, key, "left").withColumn("_by", F.when(F.col("_hot"), F.col(col)))
+    order = [F.col(key), F.col("_by"), F.col(col)]
+    d = (d.repartitionByRange(partitions, *order[:2]) if partitions else d.repartitionByRange(*order[:2])).sortWithinPartitions(*order)
+    d = materialize(d.select(key, col, val, F.monotonically_increasing_id().alias("_pos")), "packed_entries")
+    part, row = F.shiftright("_pos", 33), F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1))
+    piece = (row / PIECE_ENTRIES).cast("long")
+    entries = F.array_sort(F.collect_list(F.struct("_pos", F.col(col).alias("c"), F.col(val).alias("v"))))
+    pieces = d.groupBy(key, part.alias("_part"), piece.alias("_piece")).agg(entries.alias("_e"))
+    # The first piece of a key in its file begins a line, and so a new one unless it is the file's first.
+    starts = d.groupBy(key, part.alias("_part")).agg(F.min("_pos").alias("_start"))
+    pieces = pieces.join(starts, [key, "_part"])
+    at = F.element_at("_e", 1)["_pos"]
+    text = F.expr("substr(_packed, 1, length(_packed) - 1)")
+    head = F.when(at != F.col("_start"), "").otherwise(
+        F.concat(F.when(at.bitwiseAND(F.lit((1 << 33) - 1)) == 0, "").otherwise("\n"), F.col(key).cast("string"), F.lit("\t")))
+    lines = pieces.withColumn("_packed", pack_entries("_e", "c", "v")).select("_part", at.alias("_at"), F.concat(head, text).alias("value"))
+    files = int(d.agg(F.max(part)).first()[0] or 0) + 1
+    lines = lines.repartitionById(files, F.col("_part").cast("int")).sortWithinPartitions("_at")
+    lines.select("value").write.mode(_MODES[if_exists]).option("lineSep", ")").text(path)
+    return path
+
+
 def write_recommendations(recs: DataFrame, path: str, if_exists: str = "overwrite") -> str:
     """Recommendation text ``'user<TAB><TAB>(item<TAB>score)...'`` in rank order."""
     return write_packed(format_recommendations(recs).withColumnRenamed("recs", "packed"),

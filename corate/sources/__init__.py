@@ -8,8 +8,10 @@ from corate.sources.readers import (
     read_packed_entries,
     read_ratings,
     read_similarity,
+    read_split,
     similarity_rejects,
+    split_log,
 )
 
 __all__ = ["dump_table", "item_rejects", "read_items", "read_packed", "read_packed_entries", "read_ratings",
-           "read_similarity", "similarity_rejects"]
+           "read_similarity", "read_split", "similarity_rejects", "split_log"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corate.functions.scalars import unpack_entries
+from corate.sinks.tables import write_observed
 
 _ITEM_CSV_SCHEMA = T.StructType([
     T.StructField("item_id", T.StringType()),
@@ -66,22 +67,44 @@ def read_ratings(spark: SparkSession, path: str, *, with_timestamp: bool = False
     ``with_timestamp`` adds it as ``ts bigint`` (NULL when absent or not a number).
     ``rejects``: ``(line, reason)`` with reason ``short`` (fewer than three fields), ``non_numeric``
     (a header line included) or ``out_of_range`` (a rating that is negative or not finite). Fields may
-    be quoted. Both are lazy; writing both reads the log twice.
+    be quoted. Both are lazy; writing both reads the log twice (``split_log`` writes them in one pass).
     """
     return split_rating_fields(rating_fields(spark.read.text(path)), with_timestamp=with_timestamp)
 
 
-def split_rating_fields(f: DataFrame, *, with_timestamp: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Typed fields -> ``(good, rejects)``, see ``read_ratings``."""
-    short = F.col("_n") < 3
+def classified(f: DataFrame) -> DataFrame:
+    """Typed fields with ``reason``: null for a good line, else why it is rejected (see ``read_ratings``)."""
     bad = F.col("user_id").isNull() | F.col("item_id").isNull() | F.col("rating").isNull()
     r = F.col("rating")
     out = F.coalesce(F.isnan(r) | (r < 0) | (r == float("inf")), F.lit(False))
+    reason = F.when(F.col("_n") < 3, F.lit("short")).when(bad, F.lit("non_numeric")).when(out, F.lit("out_of_range"))
+    return f.withColumn("reason", reason)
+
+
+def split_log(spark: SparkSession, path: str, out: str, if_exists: str = "overwrite") -> dict:
+    """Read a rating log once and write its good and its rejected lines, as one table at ``out`` partitioned by
+    ``status``; returns ``{"rows", "rejected"}``, counted by the write. A good line has its fields
+    ``(user_id, item_id, rating, ts)``, a rejected one ``(line, reason)``; ``read_split`` reads them back."""
+    f = classified(rating_fields(spark.read.text(path)))
+    good = F.col("reason").isNull()
+    rows = f.select(*[F.when(good, F.col(c)).alias(c) for c in ("user_id", "item_id", "rating", "ts")],
+                    F.when(~good, F.col("line")).alias("line"), "reason", F.when(good, "good").otherwise("rejected").alias("status"))
+    return write_observed(rows, out, if_exists, ["status"], rejected=F.count(F.when(F.col("status") == "rejected", True)))
+
+
+def read_split(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` of a table written by ``split_log``; each reads its own partition only."""
+    schema = "user_id long, item_id long, rating double, ts long, line string, reason string, status string"
+    t = spark.read.schema(schema).parquet(out)
+    return (t.filter("status = 'good'").select("user_id", "item_id", "rating", "ts"),
+            t.filter("status = 'rejected'").select("line", "reason"))
+
+
+def split_rating_fields(f: DataFrame, *, with_timestamp: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Typed fields -> ``(good, rejects)``, see ``read_ratings``."""
+    c = classified(f)
     cols = ["user_id", "item_id", "rating"] + (["ts"] if with_timestamp else [])
-    good = f.filter(~short & ~bad & ~out).select(*cols)
-    rejects = f.filter(short | bad | out).select(
-        "line", F.when(short, F.lit("short")).when(bad, F.lit("non_numeric")).otherwise(F.lit("out_of_range")).alias("reason"))
-    return good, rejects
+    return c.filter("reason is null").select(*cols), c.filter("reason is not null").select("line", "reason")
 
 
 def _similarity_fields(spark: SparkSession, path: str) -> DataFrame:

@@ -114,7 +114,7 @@ def test_recommend_matches_brute_force(spark, r, k, option, fallback):
     sim = {(x.item_1, x.item_2): (x.similarity, x.n_ratings) for x in sim_df.collect()}
     kw = {"symmetric": "symmetric" in option, "exclude_seen": "unseen" in option, "pad_zeros": "padded" in option}
     got = defaultdict(list)
-    plan = {"max_broadcast_bytes": 0, "hot_item_degree": 2} if fallback else {"hot_user_degree": 3}
+    plan = {"max_broadcast_bytes": 0, "rows_per_task": 16} if fallback else {"hot_user_degree": 3}
     for x in recommend(df, sim_df, k, **plan, **kw).orderBy("user_id", "rank").collect():
         got[x.user_id].append((x.item_id, x.score))
     want = brute_recommend(r, sim, k, symmetric=kw["symmetric"], exclude_seen=kw["exclude_seen"], pad=kw["pad_zeros"])

@@ -69,10 +69,10 @@ def test_shuffle_join_fallback_matches_broadcast(data):
     r, s = data
     w, v = scaled_ratings(r), scaled_similarity(s)
     bc = user_scores(w, v)
-    shuffled = user_scores(w, v, max_broadcast_bytes=0, hot_item_degree=None)
-    salted = user_scores(w, v, max_broadcast_bytes=0, hot_item_degree=100)
-    assert rows(bc) == rows(shuffled) == rows(salted)
-    assert rows(recommend(r, s, 10)) == rows(recommend(r, s, 10, max_broadcast_bytes=0, hot_item_degree=100))
+    blocked = user_scores(w, v, max_broadcast_bytes=0)
+    cut = user_scores(w, v, max_broadcast_bytes=0, rows_per_task=20_000, partitions=12)
+    assert rows(bc) == rows(blocked) == rows(cut)
+    assert rows(recommend(r, s, 10)) == rows(recommend(r, s, 10, max_broadcast_bytes=0, rows_per_task=20_000, partitions=12))
 
 
 def test_symmetric_is_invariant_to_item_renumbering(spark, data):
