@@ -147,10 +147,10 @@ def gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataF
     spark = source.sparkSession
     s, t = (x.select("bucket", F.col("count").alias(c)) for x, c in ((source, "s"), (target, "t")))
     all_ = spark.range(buckets).withColumnRenamed("id", "bucket").join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"])
-    total = all_.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    d = lambda c: F.col(c).cast("double")
-    odds = (d("t") + 1) * (d("all_s") + buckets) / ((d("s") + 1) * (d("all_t") + buckets))
-    return all_.crossJoin(F.broadcast(total)).select("bucket", F.floor(F.lit(1000.0) * F.log(odds)).alias("gain"))  # total: one row
+    total = all_.agg(F.struct(F.sum("s").alias("s"), F.sum("t").alias("t"))).scalar()
+    d = lambda c: c.cast("double")
+    odds = (d(F.col("t")) + 1) * (d(total["s"]) + buckets) / ((d(F.col("s")) + 1) * (d(total["t"]) + buckets))
+    return all_.select("bucket", F.floor(F.lit(1000.0) * F.log(odds)).alias("gain"))
 
 
 def resample(docs: DataFrame, target: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", target_text: str = "text",
