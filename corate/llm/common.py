@@ -49,3 +49,11 @@ def small_broadcast(df: DataFrame, rows: int, row_bytes: int, max_bytes: int = 3
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
