@@ -272,13 +272,23 @@ def test_exchange_raises_likelihood():
     r = np.random.default_rng(0)
     kind = r.integers(0, 2, 40)
     n = np.where(kind[:, None] != kind, 50, 1) + r.integers(0, 3, (40, 40))  # two classes that alternate
-    classes = np.arange(40) % lm.CLASSES
-    classes[:] = np.arange(40) % 2
-    for k in range(8):
-        right = np.stack([np.bincount(classes, n[u], lm.CLASSES) for u in range(40)])
-        left = np.stack([np.bincount(classes, n[:, u], lm.CLASSES) for u in range(40)])
-        classes = lm.exchange(right, left, np.diagonal(n).astype(float), classes, np.arange(40) % 2 == k % 2)
-    assert all(len(set(kind[classes == c])) == 1 for c in set(classes))
+    a, b = np.indices((40, 40)).reshape(2, -1)
+    e = lm.Exchange(a, b, n.ravel(), 40, np.arange(40) % 8, 8)
+    seen = e.run()
+    assert all(x <= y + 1e-12 for x, y in zip(seen, seen[1:])) and seen[-1] > seen[0]
+    assert all(len(set(kind[e.classes == c])) == 1 for c in set(e.classes))
+    again = np.zeros((8, 8))
+    np.add.at(again, (e.classes[a], e.classes[b]), n.ravel())
+    assert np.allclose(again, e.n)   # the counts that followed the moves are those of the classes
+
+
+def test_no_round_lowers_the_likelihood_of_the_documents(spark, monkeypatch):
+    seen, run = [], lm.Exchange.run
+    monkeypatch.setattr(lm.Exchange, "run", lambda self: seen.append(run(self)))
+    rows = lm.q_op6(spark, "/root/testdata/sf0.001").collect()
+    assert len(seen) == 1 and len(seen[0]) >= 3 and all(x <= y + 1e-12 for x, y in zip(seen[0], seen[0][1:]))
+    held = [x for x in rows if x.held_out]
+    assert sum(x.score for x in held) > sum(x.base_score for x in held)
 
 
 def test_neighbours_recall_and_edges(spark):
