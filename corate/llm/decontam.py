@@ -2,9 +2,10 @@
 
 Numbers, names and units are replaced by typed placeholders, so a question whose values were
 changed keeps its template. Windows of ``WINDOW`` template tokens are hashed and joined with those
-of the benchmark; hits on one diagonal (position in the document minus position in the item) are
-counted, and the values behind the placeholders must map consistently: one benchmark value always
-to the same value of the document, and different names to different names.
+of the benchmark; hits on neighbouring diagonals (position in the document minus position in the item, up to
+``DRIFT`` apart) are counted together, so that words inserted into an item or left out of it cost only the windows
+that hold them. The values behind the placeholders must map consistently, each segment of an item by its own
+diagonal: one benchmark value always to the same value of the document, and different names to different names.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import small_broadcast, table, text_or_empty, write_stage
+from corate.llm.common import free_name, small_broadcast, table, text_or_empty, write_stage
 
 WINDOW = 8           # template tokens per window
 MIN_LITERALS = 4     # of them not placeholders
-COVERAGE = 0.5       # share of an item's windows that a document must hold on one diagonal
-MAX_BROADCAST_ROWS = 400_000  # hits by document and benchmark windows are broadcast up to this count
+COVERAGE = 0.5       # share of an item's windows that a document must hold on neighbouring diagonals
+COVERED = 0.75       # or share of the tokens of its windows: a word inserted into a short item spoils most windows, few tokens
+DRIFT = 3            # words that may be inserted or left out between the first and the last of them
 
 # Words that count as units.
 UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "lb", "lbs", "oz", "l", "ml", "mph", "kmh", "miles", "mile", "meters",
@@ -68,6 +70,11 @@ def _with_windows(df: DataFrame, typed: str, out: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "_n" and not (c.startswith("_w") and c[2:].isdigit())])
 
 
+def _covered(qs: Column) -> Column:
+    """Tokens that the windows at places ``qs`` cover."""
+    return F.size(F.array_distinct(F.flatten(F.transform(qs, lambda q: F.sequence(q, q + (WINDOW - 1))))))
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(_w, _item, _q)`` windows and ``(_item, _windows, _slots)`` items; ``_slots`` lists
     ``(pos, kind, value)`` of every placeholder. Windows with fewer than ``MIN_LITERALS`` literal
@@ -83,14 +90,14 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     w = (b.select("_item", F.posexplode(F.arrays_zip("_ws", F.slice("_ok", 1, F.size("_ws")).alias("_ok"))).alias("_q", "_z"))
          .filter(F.col("_z._ok")).select(F.col("_z._ws").alias("_w"), "_item", "_q"))
     items_of = b.select("_item", "_slots")
-    counts = w.groupBy("_item").agg(F.countDistinct("_q").alias("_windows"))
+    counts = w.groupBy("_item").agg(F.countDistinct("_q").alias("_windows"), _covered(F.collect_set("_q")).alias("_tokens"))
     items = items_of.join(counts, "_item")
     return w, items
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, one: str = "_k1", two: str = "_k2") -> DataFrame:
     """Two hashes of id and text stand for a row: equal rows give equal results."""
-    return docs.withColumn("_k1", F.xxhash64(id_col, text_col)).withColumn("_k2", F.hash(text_col, id_col))
+    return docs.withColumn(one, F.xxhash64(id_col, text_col)).withColumn(two, F.hash(text_col, id_col))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -108,17 +115,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     # "outer": else the optimizer infers a filter on the array's size and computes the array twice.
     ws = _with_windows(t, "_typed", "_ws").select("_k1", "_k2", F.posexplode_outer("_ws").alias("_p", "_w"))
     hits = ws.join(small_broadcast(win, win.count(), 48), "_w")
-    found = hits.groupBy("_k1", "_k2", "_item", (F.col("_p") - F.col("_q")).alias("_diag")).agg(
-        F.countDistinct("_q").alias("_matched"), F.min("_q").alias("_from"), F.max("_q").alias("_to"))
-    found = found.join(items, "_item").filter(F.col("_matched") >= F.lit(coverage) * F.col("_windows"))
+    # A segment: the windows of an item on one diagonal; at most as many as the item has.
+    seg = hits.groupBy("_k1", "_k2", "_item", (F.col("_p") - F.col("_q")).alias("_diag")).agg(
+        F.collect_set("_q").alias("_qs"), F.min("_q").alias("_from"), F.max("_q").alias("_to"))
+    near = Window.partitionBy("_k1", "_k2", "_item").orderBy("_diag").rangeBetween(0, DRIFT)
+    found = seg.withColumn("_segments", F.collect_list(F.struct("_diag", "_from", "_to")).over(near)).withColumn(
+        "_all", F.array_distinct(F.flatten(F.collect_list("_qs").over(near)))).drop("_qs", "_from", "_to")
+    found = found.withColumn("_matched", F.size("_all")).join(items, "_item")
+    found = found.filter((F.col("_matched") >= F.lit(coverage) * F.col("_windows")) | (_covered(F.col("_all")) >= F.lit(COVERED) * F.col("_tokens"))).drop("_all", "_tokens")
     found = write_stage(found, "bench-hits")
-    n = found.count()
+    figures = found.agg(F.count("*").alias("n"), F.sum(F.size("_slots") * 64 + F.size("_segments") * 48 + 128).alias("bytes")).first()
     tok = d.withColumn("_tok", tokens(text_col)).drop(text_col)
-    j = tok.join(small_broadcast(found, n, 256, 64 << 20), ["_k1", "_k2"])
-    pair = F.transform(F.filter("_slots", lambda s: (s["pos"] >= F.col("_from")) & (s["pos"] < F.col("_to") + WINDOW)),
-                       lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("a"),
-                                          _value(F.get(F.col("_tok"), s["pos"] + F.col("_diag"))).alias("b")))
-    j = j.withColumn("_pairs", F.array_distinct(pair)).drop("_tok", "_slots")
+    j = tok.join(small_broadcast(found, figures["n"], -(-(figures["bytes"] or 0) // max(figures["n"], 1)), 64 << 20), ["_k1", "_k2"])
+    pair = F.flatten(F.transform("_segments", lambda g: F.transform(
+        F.filter("_slots", lambda s: (s["pos"] >= g["_from"]) & (s["pos"] < g["_to"] + WINDOW)),
+        lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("a"), _value(F.get(F.col("_tok"), s["pos"] + g["_diag"])).alias("b")))))
+    j = j.withColumn("_pairs", F.array_distinct(pair)).drop("_tok", "_slots", "_segments")
     keys = F.array_distinct(F.transform("_pairs", lambda p: F.struct(p["kind"], p["a"])))
     names = F.filter("_pairs", lambda p: p["kind"] == "<name>")
     targets = F.array_distinct(F.transform(names, lambda p: p["b"]))
@@ -133,10 +145,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the contaminated ones; all columns stay."""
-    bad = write_stage(contaminated(docs, benchmark, id_col=id_col, text_col=text_col)
-                      .select("_k1", "_k2").distinct(), "bench-bad")
-    keyed = _keyed(docs, id_col, text_col)
-    return keyed.join(small_broadcast(bad, bad.count(), 48), ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select("_k1", "_k2").distinct()
+    one, two = free_name(docs, "_k1"), free_name(docs, "_k2")
+    bad = write_stage(bad.select(F.col("_k1").alias(one), F.col("_k2").alias(two)), "bench-bad")
+    keyed = _keyed(docs, id_col, text_col, one, two)
+    return keyed.join(small_broadcast(bad, bad.count(), 48), [one, two], "left_anti").select(*docs.columns)
 
 
 def q_op4(spark, sf_dir):
@@ -164,20 +177,21 @@ def _sql_tokens(name: str, key: str, source: str) -> str:
 SQL = "WITH " + _sql_tokens("d", "doc_id", "documents") + "," + _sql_tokens("b", "item_id", "benchmark") + f""",
 bw AS (SELECT id, pos, w FROM b_x WHERE len(w) = {WINDOW}
        AND len(list_filter(w, lambda t: t NOT IN ('<num>', '<name>', '<unit>'))) >= {MIN_LITERALS}),
-bn AS (SELECT id, count(*) AS n FROM bw GROUP BY id),
-h AS (SELECT d_x.id AS doc, bw.id AS item, d_x.pos - bw.pos AS diag, count(DISTINCT bw.pos) AS m,
-             min(bw.pos) AS lo, max(bw.pos) AS hi
-      FROM d_x JOIN bw USING (w) GROUP BY ALL),
-f AS (SELECT h.*, bn.n FROM h JOIN bn ON h.item = bn.id WHERE m >= {COVERAGE} * n),
-p AS (SELECT DISTINCT f.doc, f.item, f.diag, b_c.t AS kind, b_c.v AS a, d_c.v AS b
-      FROM f JOIN b_c ON b_c.id = f.item AND b_c.pos >= f.lo AND b_c.pos < f.hi + {WINDOW}
-        AND b_c.t IN ('<num>', '<name>', '<unit>')
-      LEFT JOIN d_c ON d_c.id = f.doc AND d_c.pos = b_c.pos + f.diag),
-g AS (SELECT doc, item, diag, count(*) AS pairs, count(DISTINCT (kind, a)) AS keys,
+bn AS (SELECT id, count(DISTINCT pos) AS n, count(DISTINCT pos + i) AS tokens FROM bw, (SELECT unnest(range({WINDOW})) AS i) GROUP BY id),
+h AS (SELECT DISTINCT d_x.id AS doc, bw.id AS item, d_x.pos - bw.pos AS diag, bw.pos AS q FROM d_x JOIN bw USING (w)),
+e AS (SELECT doc, item, diag, min(q) AS lo, max(q) AS hi FROM h GROUP BY ALL),
+m AS (SELECT e.doc, e.item, e.diag AS base, count(DISTINCT h.q) AS m, count(DISTINCT h.q + i) AS covered FROM e JOIN h ON h.doc = e.doc AND h.item = e.item
+      AND h.diag BETWEEN e.diag AND e.diag + {DRIFT}, (SELECT unnest(range({WINDOW})) AS i) GROUP BY ALL),
+f AS (SELECT m.*, bn.n FROM m JOIN bn ON m.item = bn.id WHERE m >= {COVERAGE} * n OR covered >= {COVERED} * tokens),
+p AS (SELECT DISTINCT f.doc, f.item, f.base, b_c.t AS kind, b_c.v AS a, d_c.v AS b
+      FROM f JOIN e ON e.doc = f.doc AND e.item = f.item AND e.diag BETWEEN f.base AND f.base + {DRIFT}
+      JOIN b_c ON b_c.id = f.item AND b_c.pos >= e.lo AND b_c.pos < e.hi + {WINDOW} AND b_c.t IN ('<num>', '<name>', '<unit>')
+      LEFT JOIN d_c ON d_c.id = f.doc AND d_c.pos = b_c.pos + e.diag),
+g AS (SELECT doc, item, base, count(*) AS pairs, count(DISTINCT (kind, a)) AS keys,
         count(*) FILTER (kind = '<name>') AS names, count(DISTINCT b) FILTER (kind = '<name>') AS targets,
         bool_and(a IS NOT DISTINCT FROM b) AS same FROM p GROUP BY ALL),
 z AS (SELECT f.doc, f.item, f.m, f.m / f.n AS cov,
         CASE WHEN coalesce(g.same, true) THEN 'verbatim' ELSE 'reparameterised' END AS kind
-      FROM f LEFT JOIN g USING (doc, item, diag) WHERE g.doc IS NULL OR (pairs = keys AND names = targets))
+      FROM f LEFT JOIN g USING (doc, item, base) WHERE g.doc IS NULL OR (pairs = keys AND names = targets))
 SELECT doc AS doc_id, item AS item_id, CAST(m AS BIGINT) AS matched, CAST(cov AS DOUBLE) AS coverage, kind FROM z
 QUALIFY row_number() OVER (PARTITION BY doc, item ORDER BY m DESC, kind DESC) = 1"""

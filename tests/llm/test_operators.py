@@ -83,6 +83,23 @@ def test_templates_catch_other_values(spark, none):
     assert decontam.contaminated(none, bench).count() == 0 and decontam.contaminated(d, bench.limit(0)).count() == 0
 
 
+def test_templates_survive_inserted_and_missing_words(spark):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = bench.orderBy("item_id").collect()
+    rows = []
+    for k, r in enumerate(items):
+        w = r.text.split()
+        at = len(w) // 2
+        rows += [(3 * k, "Well then. " + " ".join(w) + " So it is."), (3 * k + 1, "Then: " + " ".join([*w[:at], "really", *w[at:]])),
+                 (3 * k + 2, "And. " + " ".join(w[:at] + w[at + 1:]) + " The end.")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_k1", F.lit("a")).withColumn("_K2", F.lit("b"))
+    found = {r.doc_id for r in decontam.contaminated(d.drop("_k1", "_K2"), bench).collect()}
+    for kind in range(3):
+        assert len([i for i in found if i % 3 == kind]) >= 0.95 * len(items), kind
+    left = decontam.decontaminate(d, bench).collect()
+    assert {r.doc_id for r in left} == set(range(3 * len(items))) - found and all((r._k1, r._K2) == ("a", "b") for r in left)
+
+
 def jaccard(a, b):
     def sh(t):
         w = t.lower().split()
