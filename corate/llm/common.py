@@ -57,3 +57,15 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def shielded(df: DataFrame, *own: str):
+    """``df`` with its columns that start with ``_`` (but not ``own``) under other names, as the operators use such
+    names inside, and a function that gives a result with those columns their names back."""
+    held, taken = {}, df
+    for c in df.columns:
+        if c.startswith("_") and c not in own:
+            held[c] = free_name(taken, f"kept{c}")
+            taken = taken.withColumnRenamed(c, held[c])
+    back = {v: k for k, v in held.items()}
+    return taken, lambda out: out.withColumnsRenamed(back) if back else out

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import small_broadcast, table, text_or_empty, write_stage
+from corate.llm.common import shielded, small_broadcast, table, text_or_empty, write_stage
 
 MIN_COSINE = 0.6
 TOKEN = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
@@ -106,7 +106,9 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text") ->
     then the first path. Null and empty texts declare nothing but inherit; a null path inherits
     nothing; rows listed twice give equal rows; columns with the four names above are replaced."""
     names = [c for c in files.columns if c not in ("license", "license_cosine", "license_origin", "license_dir")]
-    f = files.select(*names).withColumn("_k1", F.xxhash64(path_col, text_col)).withColumn("_k2", F.hash(text_col, path_col))
+    files, restored = shielded(files.select(*names), path_col, text_col)
+    kept, names = names, files.columns
+    f = files.withColumn("_k1", F.xxhash64(path_col, text_col)).withColumn("_k2", F.hash(text_col, path_col))
     parts = F.split(F.col(path_col), "/")
     f = f.withColumn("_dir", F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), "/"))
     own = write_stage(own_licenses(f, text_col), "license-own")
@@ -123,9 +125,10 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text") ->
         F.max_by(F.struct("_up", "_above"), "_depth").alias("_near"))
     j = f.join(small_broadcast(own, n_own, 96), ["_k1", "_k2"], "left").join(nearest, "_dir", "left")
     mine = F.col("_license").isNotNull()
-    return j.select(*names, F.coalesce("_license", "_near._up").alias("license"), F.col("_cosine").alias("license_cosine"),
-                    F.when(mine, "own").when(F.col("_near").isNotNull(), "inherited").alias("license_origin"),
-                    F.when(~mine, F.col("_near._above")).alias("license_dir"))
+    out = j.select(*names, F.coalesce("_license", "_near._up").alias("license"), F.col("_cosine").alias("license_cosine"),
+                   F.when(mine, "own").when(F.col("_near").isNotNull(), "inherited").alias("license_origin"),
+                   F.when(~mine, F.col("_near._above")).alias("license_dir"))
+    return restored(out).select(*kept, "license", "license_cosine", "license_origin", "license_dir")
 
 
 def document_paths(docs: DataFrame) -> DataFrame:

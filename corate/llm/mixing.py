@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import table, text_or_empty, words, write_stage
+from corate.llm.common import shielded, table, text_or_empty, words, write_stage
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -139,7 +139,13 @@ def schedule(docs: DataFrame, *, weights=WEIGHTS, share: float = 1.0, cap: int =
 
     Null and empty texts have size 0 and are never taken; a null source is a source of its own; rows
     listed twice queue twice; other columns pass through (columns with the ``mix_`` names above are
-    replaced, names starting with ``_`` that are used inside are not kept). No rows: no rows."""
+    replaced). No rows: no rows."""
+    docs, restored = shielded(docs, id_col, text_col, source_col)
+    return restored(_scheduled(docs, weights, share, cap, id_col, text_col, source_col).drop("_cum"))
+
+
+def _scheduled(docs: DataFrame, weights, share: float, cap: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``schedule`` with the words before and in the document as ``_cum``."""
     names = [c for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_copies")]
     p = plan(docs, weights=weights, share=share, cap=cap, id_col=id_col, text_col=text_col, source_col=source_col)
     q = _queued(_prepared(docs.select(*names), id_col, text_col, source_col), p.grid)
@@ -154,12 +160,13 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share: float = 1.0, cap: int = CAP,
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: one row per document taken and epoch, with ``mix_epoch`` and ``mix_finish``,
     range-sorted by virtual finish time (reading the files in order interleaves the sources)."""
-    s = schedule(docs, weights=weights, share=share, cap=cap, id_col=id_col, text_col=text_col, source_col=source_col)
+    docs, restored = shielded(docs, id_col, text_col, source_col)
+    s = _scheduled(docs, weights, share, cap, id_col, text_col, source_col)
     names = [c for c in s.columns if not c.startswith("mix_") and c != "_cum"]
     out = s.filter(F.col("mix_copies") > 0).withColumn(
         "mix_epoch", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)))
     finish = (F.col("mix_epoch") * F.col("mix_source_size") + F.col("_cum")).cast("double") / F.col("mix_target")
-    return out.withColumn("mix_finish", finish).select(*names, "mix_epoch", "mix_finish").orderBy("mix_finish")
+    return restored(out.withColumn("mix_finish", finish).select(*names, "mix_epoch", "mix_finish").orderBy("mix_finish"))
 
 
 def q_op1(spark, sf_dir):

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import small_broadcast, table, text_or_empty, write_stage
+from corate.llm.common import shielded, small_broadcast, table, text_or_empty, write_stage
 
 SURE = 3            # documents from which on a co-occurrence counts in full
 GENERALISE, REMOVE = 0.5, 0.8
@@ -203,16 +203,20 @@ def _spliced(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans replaced: kinds by ``[KIND]``, terms by ``[TERM]`` or nothing. No row
     goes; ``n_chars``, if there is one, follows the new text. Other columns stay."""
+    names = docs.columns
+    docs, restored = shielded(docs, id_col, text_col)
     s = find(docs, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0).select("_k1", "_k2", F.col("spans").alias("_spans")).distinct()
     s = write_stage(s, "pii-spans")
-    j = _keyed(docs, id_col, text_col).join(small_broadcast(s, s.count(), 512), ["_k1", "_k2"], "left")
+    size = s.agg(F.count("*").alias("n"), F.sum(F.size("_spans")).alias("spans")).first()
+    each = 64 + 96 * (size["spans"] or 0) // max(size["n"], 1)   # a span: two numbers and two short texts
+    j = _keyed(docs, id_col, text_col).join(small_broadcast(s, size["n"], each), ["_k1", "_k2"], "left")
     has = F.col("_spans").isNotNull()
     new = F.when(has, _spliced(text_or_empty(text_col), F.col("_spans"))).otherwise(F.col(text_col))
     j = j.withColumn("_new", new)
     out = [F.col("_new").alias(c) if c == text_col else
            F.when(has, F.length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
            for c in docs.columns]
-    return j.select(*out)
+    return restored(j.select(*out)).select(*names)
 
 
 def _joined(spans: str) -> Column:

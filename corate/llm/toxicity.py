@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import table, text_or_empty, write_stage
+from corate.llm.common import free_name, shielded, table, text_or_empty, write_stage
 
 CHAIN = ("quality", "toxic")
 MAX_TRAIN = 20_000    # labelled rows to learn from: the first in the order of a hash of the id
@@ -53,21 +53,26 @@ def fit_logistic(lists, y: np.ndarray, extra: np.ndarray) -> tuple[np.ndarray, n
     if len(y) == 0 or y.min() == y.max():
         return np.zeros(DIMENSIONS), np.zeros(k), 50.0 if len(y) and y[0] > 0 else -50.0
     size = np.array([len(x) for x in lists], dtype=np.int64)
-    at = np.concatenate([np.asarray(x, dtype=np.int64) for x in lists])
-    row = np.repeat(np.arange(len(y)), size)
-    pos = np.bincount(at, y[row], DIMENSIONS) + 1
-    neg = np.bincount(at, 1 - y[row], DIMENSIONS) + 1
+    at = np.concatenate([np.asarray(x, dtype=np.int32) for x in lists]).astype(np.int64)
+    has = size > 0
+    start = np.concatenate(([0], np.cumsum(size[has])[:-1])).astype(np.int64)
+    pos = np.bincount(at, np.repeat(y, size), DIMENSIONS) + 1
+    neg = np.bincount(at, np.repeat(1 - y, size), DIMENSIONS) + 1
     scale = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
     scale[pos + neg - 2 < MIN_COUNT] = 0
     scale /= max(np.abs(scale).max(), 1e-9)
-    used, at = np.unique(at, return_inverse=True)
-    s = scale[used]
-    x, d = s[at], len(used)
+    used = np.flatnonzero(pos + neg > 2)
+    place = np.zeros(DIMENSIONS, np.int64)
+    place[used] = np.arange(len(used))
+    np.take(place, at, out=at, mode="clip")
+    s, d = scale[used], len(used)
     theta, m, v = np.zeros(d + k + 1), np.zeros(d + k + 1), np.zeros(d + k + 1)
     for step in range(1, STEPS + 1):  # Adam on the whole sample
-        z = np.bincount(row, x * theta[at], len(y)) + extra @ theta[d: d + k] + theta[-1]
+        z = extra @ theta[d: d + k] + theta[-1]
+        if len(at):
+            z[has] += np.add.reduceat((s * theta[:d])[at], start)
         g = (_sigmoid(z) - y) / len(y)
-        grad = np.concatenate((np.bincount(at, x * g[row], d) + RIDGE * theta[:d], extra.T @ g + RIDGE * theta[d: d + k], [g.sum()]))
+        grad = np.concatenate((s * np.bincount(at, np.repeat(g, size), d) + RIDGE * theta[:d], extra.T @ g + RIDGE * theta[d: d + k], [g.sum()]))
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     weights = np.zeros(DIMENSIONS)
@@ -148,9 +153,11 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = THRES
                  **kw) -> DataFrame:
     """``docs`` without those whose last label of the chain has a probability of ``threshold`` or
     more; all columns stay, also such as are named like a probability."""
-    held = {c: f"_held_{c}" for c in docs.columns if c.startswith("p_")}
+    names = docs.columns
+    docs, restored = shielded(docs, kw.get("id_col", "doc_id"), kw.get("text_col", "text"))
+    held = {c: free_name(docs, f"held_{c}") for c in docs.columns if c.startswith("p_")}
     s = score(docs.withColumnsRenamed(held), labels, chain=chain, **kw).filter(F.col(f"p_{chain[-1]}") < threshold)
-    return s.drop(*[f"p_{x}" for x in chain]).withColumnsRenamed({v: k for k, v in held.items()}).select(*docs.columns)
+    return restored(s.drop(*[f"p_{x}" for x in chain]).withColumnsRenamed({v: k for k, v in held.items()})).select(*names)
 
 
 def q_op9(spark, sf_dir):
