@@ -51,7 +51,7 @@ def rating_lookup(ratings: DataFrame, keys: DataFrame, *,
     wanted = k.distinct()
     n = wanted.count()
     if n <= PUSHED_KEYS:
-        known = wanted.dropna().collect()   # at most PUSHED_KEYS rows
+        known = wanted.dropna().take(PUSHED_KEYS)
         r = r.filter(_any([(F.col("item_id") == x["item_id"]) & (F.col("user_id") == x["user_id"]) for x in known]) if known else F.lit(False))
     elif n * DEFAULT_BROADCAST_ROW_BYTES <= max_broadcast_bytes:
         r = r.join(F.broadcast(wanted), ["user_id", "item_id"], "left_semi")

@@ -92,7 +92,7 @@ def plan_blocks(w: DataFrame, v: DataFrame, *, rows_per_task: int = SCORING_ROWS
     figures = per_user.agg(F.sum("_products").alias("a"), F.sum("_ratings").alias("b"), F.max("_products").alias("c")).unionByName(
         per_column.agg(F.lit(None).alias("a"), F.lit(None).alias("b"), F.max("_products").alias("c"))).unionByName(
         lengths.agg(F.lit(None).alias("a"), F.sum("_len").alias("b"), F.lit(None).alias("c")))
-    user, column, matrix = figures.collect()
+    user, column, matrix = figures.take(3)
     products, ratings, most, widest, entries = (int(x or 0) for x in (user["a"], user["b"], user["c"], column["c"], matrix["b"]))
     n = cells or max(default_partitions(spark), math.ceil(products / max(1, int(rows_per_task * CELL_FILL))))
     users = max(1, round(math.sqrt(n * max(ratings, 1) / max(entries, 1))))

@@ -39,6 +39,7 @@ from corate.plans.skew import (
     partitions_for,
     split_hot_keys,
 )
+from corate.session import materialize
 
 # Users with more rated items than this are scored in item chunks of about this size.
 DEFAULT_HOT_USER_DEGREE = 2000
@@ -69,7 +70,7 @@ def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None
     degree = weights.groupBy("user_id").agg(F.count("*").alias("_deg"))
     hot = F.col("_deg") > F.lit(hot_user_degree) if hot_user_degree is not None else F.lit(False)
     by_user = degree.agg(F.sum(F.col("_deg") * F.col("_deg")).alias("a"), F.count(F.when(hot, True)).alias("b"))
-    item, user = by_item.unionByName(by_user).collect()
+    item, user = by_item.unionByName(by_user).take(2)
     return int(item["a"] or 0), int(item["b"] or 0), (int(user["a"] or 0), int(user["b"] or 0))
 
 
@@ -89,7 +90,8 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     if size > max_broadcast_bytes:
         w = weights.filter(nonzero)
         return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
-    rows = F.broadcast(pack_matrix(v) if packed is None else packed)   # `size` bytes, computed from the row lengths
+    # `size` bytes, computed from the row lengths. Written first: the scoring stage then reads it as it stands.
+    rows = F.broadcast(materialize(pack_matrix(v), "packed_matrix") if packed is None else packed)
     # Sized by the exact number of partial products, not by the weight rows shuffled.
     parts = partitions or partitions_for(spark, products, rows_per_task)
     split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys, known=degrees)

@@ -81,7 +81,7 @@ def upsert_bucket_table(spark: SparkSession, path: str, incoming: DataFrame, key
     name, n = _bucket_column(table)
     cols = [c for c in table.columns if c != name]
     batch = materialize(incoming.select(*cols).withColumn(name, _bucket(keys, n)), "upsert_batch")
-    touched = sorted(r[0] for r in batch.select(name).distinct().collect())   # at most n
+    touched = sorted(r[0] for r in batch.select(name).distinct().take(n))
     if touched:
         merged = upsert(table.filter(F.col(name).isin(touched)), batch, [*keys, name], order_by)
         merged = materialize(merged.select(*cols, name), "upsert_buckets")

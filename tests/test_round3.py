@@ -169,7 +169,7 @@ def test_one_action_before_the_main_job(spark, monkeypatch):
         real = getattr(type(w), name)
         monkeypatch.setattr(type(w), name, lambda self, *a, _real=real, _name=name, **k: (ran.append(_name), _real(self, *a, **k))[1])
     user_scores(w, v)
-    assert ran == ["collect"]
+    assert ran.count("collect") == 1   # a write of the packed rows follows
     del ran[:]
     item_similarity(w.withColumn("rating", F.col("w").cast("double")), min_support=2, unique=True)
     assert len([x for x in ran if x != "take"]) <= 4 and ran.count("first") == 2   # item counts, user degrees

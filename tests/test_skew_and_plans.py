@@ -110,7 +110,7 @@ def test_similarity_self_join_reuses_one_user_exchange(spark, data, capsys):
     r, _ = data
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # the plan a large table gets
     try:
-        df = item_similarity(r, hot_user_degree=None)
+        df = item_similarity(r, hot_user_degree=None, unique=True)
         df.collect()
         capsys.readouterr()
         df.explain()
@@ -136,7 +136,7 @@ def test_bucketed_ratings_remove_user_exchanges(spark, data, capsys, tmp_path):
     rb = spark.table("ratings_by_user_test")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sim = item_similarity(rb, hot_user_degree=None, user_partitioned=True)
+        sim = item_similarity(rb, hot_user_degree=None, user_partitioned=True, unique=True)
         sim.collect()
         capsys.readouterr()
         sim.explain()
