@@ -236,6 +236,27 @@ def test_licences(spark):
     assert licenses.scan(f.limit(0)).count() == 0
 
 
+def test_licence_texts_headers_and_tags(spark):
+    mit = ("MIT License\n\nCopyright (c) 2020 Jane Doe\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including")
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as\n"
+           "# published by the Free Software Foundation, either version 3 of\n# the License, or (at your option) any later version.\n")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    rows = {"m/LICENSE": (mit, "MIT"), "m/a.py": ("# Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use", "Apache-2.0"),
+            "m/b.py": ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"), "m/c.py": (gpl + "import x", "GPL-3.0"),
+            "m/d.py": (gpl.replace("General", "Lesser General"), "LGPL-3.0"), "m/e.py": ("SPDX-License-Identifier: EUPL-1.2", "unrecognised"),
+            "m/f.py": (gpl.replace("version 3", "version 9") + "licensed under it", "unrecognised"), "m/g.py": ("SPDX-License-Identifier: MIT-0", "MIT-0"),
+            "m/h.py": (bsd, "BSD-2-Clause"), "m/i.py": (bsd + " neither the name of Foo Inc nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission", "BSD-3-Clause"),
+            "m/j.py": (" ".join(prose(3, 300)) + " licensed under CC BY-SA 4.0 " + " ".join(prose(4, 20000)), "CC-BY-SA-4.0"),
+            "m/k.py": ("mit apache gnu spdx fee hereby", "MIT"), "m/l.py": ("mit", "MIT"), "m/m.py": ("spdx", "MIT"),
+            "n/x.py": ("the mit press and the license of a driver", None)}
+    f = spark.createDataFrame([(p, t) for p, (t, _) in rows.items()] * 2, "path string, text string")
+    got = licenses.scan(f).collect()
+    assert len(got) == 2 * len(rows) and {(r.path, r.license) for r in got} == {(p, want) for p, (_, want) in rows.items()}
+    assert {r.path for r in got if r.license_origin == "inherited"} == {"m/k.py", "m/l.py", "m/m.py"}
+
+
 def test_token_files(spark):
     enc = tokens._encoder(open(TOKENIZER, "rb").read())
     odd = [t for t in range(50256) if t >> 8 == 0x50][:40]  # high byte that starts a false separator
