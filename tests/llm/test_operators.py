@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import os
+import random
 import re
 import zlib
 
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corate.llm import decontam, licenses, lm, mixing, neardup, neighbours, pii, tokens, toxicity, warc
+from corate.llm import decontam, graph, licenses, lm, mixing, neardup, neighbours, pii, tokens, toxicity, warc
 from corate.llm.graph import components, merged
 from corate.session import scratch_path
 
@@ -225,6 +226,23 @@ def test_disclosing_terms_anywhere_in_the_document(spark):
     assert not any(f[i] for i in range(10, 70))
 
 
+def test_components_equal_union_find(spark):
+    r = random.Random(5)
+    links = [(r.randrange(200), r.randrange(200)) for _ in range(140)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, i) for i in range(5001, 5030)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for x, y in links:
+        x, y = root(x), root(y)
+        up[max(x, y)] = min(x, y)
+    got = [(e.a, e.b) for e in graph.components(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert sorted(got) == sorted((x, root(x)) for x in up if root(x) != x)
+
+
 def test_licences(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "nothing here"), ("a/b/LICENSE", "Licensed under CC BY-NC 4.0."),
             ("a/y.py", "# Licensed under the Apache License, Version 2.0.\n" + " ".join(prose(1))), ("z.py", None), (None, ""), ("ab/x", "under the license of")]
