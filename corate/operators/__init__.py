@@ -12,6 +12,8 @@ from corate.operators.similarity import (
     frequent_pairs,
     item_similarity,
     pair_stats,
+    pairs_by_item,
+    rating_pair_stats,
     similarity_from_stats,
     unique_ratings,
 )
@@ -29,7 +31,7 @@ from corate.operators.vectors import (
 __all__ = [
     "add_stats", "apply_changes", "blocked_scores", "candidate_pairs", "co_ratings", "filter_title", "format_recommendations",
     "frequent_pairs", "item_similarity", "key_filter", "latest_by_key", "pack_matrix", "pack_rows", "packed_scores", "pair_stats",
-    "pair_stats_delta", "plan_blocks", "rating_changes", "rating_lookup", "ratings_in_catalog", "ratings_of_item", "recommend",
+    "pair_stats_delta", "pairs_by_item", "plan_blocks", "rating_pair_stats", "rating_changes", "rating_lookup", "ratings_in_catalog", "ratings_of_item", "recommend",
     "scaled_ratings", "scaled_similarity", "semi_join", "similarity_from_stats", "similarity_rows", "top_k", "top_k_per_user",
     "unique_ratings", "unpack_arrays", "unpack_rows", "upsert", "upsert_items", "upsert_ratings", "user_scores", "user_scores_packed", "user_vectors",
 ]

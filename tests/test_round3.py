@@ -20,6 +20,7 @@ from corate.operators import (
     pack_matrix,
     pair_stats,
     pair_stats_delta,
+    rating_pair_stats,
     plan_blocks,
     rating_changes,
     rating_lookup,
@@ -384,3 +385,32 @@ def test_bytes_of_scaled_rows_are_small(spark):
     s = spark.range(100_000).select((F.col("id") % 100).alias("item_1"), (F.col("id") + 100).alias("item_2"), F.lit(0.5).alias("similarity"))
     n = pack_matrix(scaled_similarity(s)).agg(F.sum(packed_bytes(F.size("cols")))).first()[0]
     assert n < 100_000 * 13
+
+
+@pytest.mark.parametrize("degree,entries", [(2000, 1 << 20), (4, 1 << 20), (2000, 8), (4, 8)])
+def test_pairs_summed_at_the_items_equal_the_self_join(spark, degree, entries):
+    r = random.Random(degree + entries)
+    data = [(u, i, r.choice([None, 0.5, 3.0, 4.5])) for u in [*range(30), None] for i in [*range(14), None] if r.random() < 0.6]
+    df = spark.createDataFrame(data + data[:9], RATING)   # rows twice: each meets the others
+    cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+    for truncate in (True, False):
+        want = rows(pair_stats(co_ratings(df, hot_user_degree=None), truncate), *cols)
+        assert rows(rating_pair_stats(df, truncate=truncate, hot_user_degree=degree, entries=entries), *cols) == want
+
+
+def test_pairs_are_summed_without_an_exchange_of_pairs(spark, capsys):
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(5)], RATING)
+    rating_pair_stats(df).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning(item_1") == 1 and "Exchange hashpartitioning(item_1#" in plan
+    assert "hashpartitioning(item_1#" in plan and ", item_2#" not in plan.split("Exchange hashpartitioning(item_1")[1].split("\n")[0]
+
+
+def test_a_large_delta_is_added_in_one_exchange(spark):
+    cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+    kind = "item_1 long, item_2 long, n long, num long, d1 long, d2 long"
+    stats = spark.createDataFrame([(1, 2, 3, 4, 5, 6), (1, 3, 1, 1, 1, 1), (2, 3, 7, 7, 7, 7)], kind)
+    delta = spark.createDataFrame([(1, 2, -1, -2, 0, 1), (1, 3, -1, -1, -1, -1), (4, 5, 1, 2, 3, 4)], kind)
+    want = [(1, 2, 2, 2, 5, 7), (2, 3, 7, 7, 7, 7), (4, 5, 1, 2, 3, 4)]
+    for most in (0, 1 << 20):
+        assert rows(add_stats(stats, delta, max_broadcast_bytes=most), *cols) == want
