@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -338,6 +339,30 @@ def test_exchange_raises_likelihood():
     assert np.allclose(again, e.n)   # the counts that followed the moves are those of the classes
 
 
+def test_a_batch_is_taken_in_slices(monkeypatch):
+    monkeypatch.setattr(lm, "SLICE", 50)
+    seen, real = [], lm._sequence
+    monkeypatch.setattr(lm, "_sequence", lambda pdf, own: seen.append(sum(len(x) + 1 for x in pdf["_h"])) or real(pdf, own))
+    size = [0, 49, 1, 20, 30, 200, 0, 7, *[3] * 40]
+    pdf = pd.DataFrame({"_h": [np.arange(n, dtype=np.int64) for n in size], "_e": [np.zeros(n, np.int32) for n in size]})
+    own = type("own", (), {"value": np.arange(9, dtype=np.int64)})
+    got = pd.concat(lm._bigrams(own)(iter([pdf, pdf.iloc[:0], pdf])))
+    assert sum(seen) == 2 * sum(n + 1 for n in size) == got["n"].sum() and max(seen) == 201 and sorted(seen)[-3] <= 50
+    assert len(list(lm._slices(iter([pdf])))) > 4 and pd.concat(lm._slices(iter([pdf]))).equals(pdf)
+
+
+def test_words_beyond_the_table_are_counted_all_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 37}" for j in range(30))) for i in range(60)], "doc_id long, text string")
+
+    def run():
+        return sorted((r.doc_id, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in lm.scores(docs).collect())
+    want = run()
+    monkeypatch.setattr(lm, "TABLE", 3)
+    monkeypatch.setattr(lm, "SLICE", 40)
+    got = run()
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+
+
 def test_no_round_lowers_the_likelihood_of_the_documents(spark, monkeypatch):
     seen, run = [], lm.Exchange.run
     monkeypatch.setattr(lm.Exchange, "run", lambda self: seen.append(run(self)))
