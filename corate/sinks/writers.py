@@ -48,9 +48,9 @@ def write_table(df: DataFrame, path: str, if_exists: str = "overwrite", *,
     return path
 
 
-# Ratings per bucket when the bucket count is derived from the data: the scoring stage that reads
-# one bucket per task then expands ~1k ratings by the similarity row length.
-DEFAULT_ROWS_PER_BUCKET = 1024
+# Ratings per bucket when the bucket count is derived from the data. A stage that reads one bucket per task should
+# do some seconds of work: with less, tasks, files and (times the reducers) shuffle blocks outgrow the ratings.
+DEFAULT_ROWS_PER_BUCKET = 1 << 16
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, n_buckets: int | None = None, by: str = "user_id",
