@@ -15,8 +15,9 @@ holds several classes, all pairs of different classes are verified if these are
 larger one each member against the smallest text. The members of the larger ones are dealt anew by more samples: by
 each two of their large buckets together, then by one more band at a time, each time with all pairs of what
 has become small enough and the smallest text of what has not. So the work grows with the members, however large a group of copies is. A pair
-above the threshold shares two bands or more with probability 0.96; in a group whose buckets stay large
-longer, a text finds its class through any of the members it is tested with.
+above the threshold shares two bands or more with probability 0.96. What this has not merged is settled exactly:
+in each large bucket that still holds several classes, the shingles that one member alone has bound its similarity to
+every other, and all pairs of different classes that the bound leaves are verified, however many they are.
 """
 
 from __future__ import annotations
@@ -155,6 +156,23 @@ def _packed(batches):
         yield pd.DataFrame({"_t": pdf["_t"], "_s": [s.tobytes() for s, _ in sets], "_n": [c.astype(np.uint32).tobytes() for _, c in sets]})
 
 
+def _weighed(idf):
+    """Each shingle of the texts and its weight."""
+    def weigh(batches):
+        for pdf in batches:
+            held, n = [], 0
+            for key, t, s, c in zip(pdf["_key"], pdf["_t"], pdf["_s"], pdf["_n"], strict=True):
+                s, c = _unpacked(s, c)
+                held.append(pd.DataFrame({"_key": key, "_t": t, "_e": s.view(np.int64), "_w": c * idf.value[_feature(s)]}))
+                n += len(s)
+                if n >= 4 * CHUNK:
+                    yield pd.concat(held)
+                    held, n = [], 0
+            if held:
+                yield pd.concat(held)
+    return weigh
+
+
 def _unpacked(s: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(s, np.uint64), np.frombuffer(n, np.uint32).astype(np.int64)
 
@@ -237,9 +255,10 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     def link(pairs: DataFrame) -> None:
         """Verify the pairs of different classes and merge the classes of those that are similar."""
         nonlocal comp, n_comp, tested, n_tested
+        pairs = pairs.distinct()   # several buckets name a pair
         if tested is not None:
             pairs = pairs.join(small_broadcast(tested, n_tested, ROW_BYTES), ["a", "b"], "left_anti")
-        pairs = write_stage(pairs.distinct(), "dup-pairs")
+        pairs = write_stage(pairs, "dup-pairs")
         n_tested += pairs.count()
         links = pairs.join(left, "a").join(right, "b").select("a", "b", "_ra", "_rb", "_sa", "_na", "_sb", "_nb").mapInPandas(
             _verifier(idf, least), "_ra string, _rb string").select(F.col("_ra").alias("a"), F.col("_rb").alias("b"))
@@ -267,10 +286,37 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         open_ = write_stage(label.join(small_broadcast(apart, apart.count(), 32), "_key"), "dup-open")
         return open_.filter("_small").drop("_small"), open_.filter("not _small").drop("_small")
 
+    def rest(m: DataFrame) -> DataFrame | None:
+        """The pairs of different classes in the buckets of ``m`` that can be similar: what a member has alone in its
+        bucket, it shares with no other, and the remainder bounds both similarities from above."""
+        m = labelled(m.select("_key", "_t"), "_t", "_root")
+        several = m.groupBy("_key").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).filter("_lo <> _hi").select("_key")
+        m = write_stage(m.join(several, "_key"), "dup-rest")
+        if not m.take(1):
+            return None
+        e = m.select("_key", "_t").join(body, "_t").select("_key", "_t", "_s", "_n").mapInPandas(
+            _weighed(idf), "_key long, _t string, _e long, _w double")
+        e = write_stage(e, "dup-shingles")
+        own = e.groupBy("_key", "_e").agg(F.count("*").alias("_c"), F.min("_t").alias("_t"), F.min("_w").alias("_w")).filter("_c = 1")
+        own = own.groupBy("_key", "_t").agg(F.count("*").alias("_on"), F.sum("_w").alias("_ow"))
+        whole = e.groupBy("_key", "_t").agg(F.count("*").alias("_pn"), F.sum("_w").alias("_pw"))
+        at_least = least - 1e-9    # rounding
+        m = m.join(whole, ["_key", "_t"]).join(own, ["_key", "_t"], "left").fillna(0, ["_on", "_ow"])
+        m = m.withColumn("_sn", F.col("_pn") - F.col("_on")).withColumn("_sw", F.col("_pw") - F.col("_ow"))
+        m = m.filter((F.col("_sn") >= at_least * F.col("_pn")) | (F.col("_sw") >= at_least * F.col("_pw")))
+        m = write_stage(m.select("_key", "_t", "_root", "_pn", "_pw", "_sn", "_sw"), "dup-bounds")
+        x, y = (m.select("_key", F.col("_t").alias(t), F.col("_root").alias(f"_r{t}"),
+                         *[F.col(c).alias(c + t) for c in ("_pn", "_pw", "_sn", "_sw")]) for t in "ab")
+        part = at_least / (1 + at_least)
+        can = [F.least(f"_s{k}a", f"_s{k}b") >= part * (F.col(f"_p{k}a") + F.col(f"_p{k}b")) for k in "nw"]
+        return x.join(y, "_key").filter("a < b and _ra <> _rb").filter(can[0] | can[1]).select("a", "b", "_ra", "_rb")
+
     link(star(member.filter(F.col("_band").isin(*STARS))))
+    first = None
     signature = texts.select("_t", "_bands")
     for depth in range(1, BANDS + 1):
         small, large = parted(member)
+        first = large if first is None else first
         x = small.select("_key", F.col("_t").alias("a"), F.col("_root").alias("_ra"))
         y = small.select("_key", F.col("_t").alias("b"), F.col("_root").alias("_rb"))
         pairs = x.join(y, "_key").filter("a < b and _ra <> _rb").select("a", "b", "_ra", "_rb")
@@ -289,6 +335,9 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             finer = large.select("_t", "_band", "_key").join(signature, "_t").select(
                 "_t", nxt.alias("_band"), F.xxhash64("_key", F.get("_bands", nxt)).alias("_key"))
         member = write_stage(_buckets(finer), "dup-buckets")
+    pairs = rest(first) if first.take(1) else None
+    if pairs is not None:
+        link(pairs)
     label = labelled(texts.select("_t", "_rep"), "_t", "_root")
     names = label.groupBy("_root").agg(F.min("_rep").alias("class_id"))
     out = write_stage(label.join(names, "_root").select("_t", "_rep", "class_id"), "dup-classes")

@@ -1,5 +1,7 @@
 """All operators that pass other columns through, and all that do not, on the same odd tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +81,23 @@ def test_odd_tables(spark, name):
     a, b = (sorted(map(str, x.drop(*drop).collect())) for x in (got, f(d.repartition(2))))
     assert a == b and (n is None and a or len(a) == n)
     assert f(d.limit(0)).count() == 0
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """All buckets taken as large give the classes that all pairs of the buckets give."""
+    r = random.Random(5)
+    core = [f"c{i}" for i in range(60)]
+
+    def text():
+        w = list(core)
+        for _ in range(r.choice([1, 1, 2])):
+            at = r.randrange(0, 56)
+            w[at] = f"x{r.randrange(12)}"
+        return " ".join(w)
+    docs = spark.createDataFrame([(i, text()) for i in range(90)], "doc_id long, text string")
+    monkeypatch.setattr(neardup, "DAMPING", 0.0)
+
+    def run(each):
+        monkeypatch.setattr(neardup, "EACH", each)
+        return sorted(tuple(x) for x in neardup.near_duplicates(docs, least=0.75).collect())
+    assert run(0) == run(10 ** 9)
