@@ -12,12 +12,15 @@ by that of the distinct shingles: a large group lowers the weight of what its ow
 Candidates are not expanded into all pairs of a bucket. First the members of a few bands are verified against
 their bucket's smallest text: what these have linked the others need not test again. Then, of a bucket that still
 holds several classes, all pairs of different classes are verified if these are at most ``EACH`` per member, and in a
-larger one each member against the smallest text. The members of the larger ones are dealt anew by more samples: by
-each two of their large buckets together, then by one more band at a time, each time with all pairs of what
-has become small enough and the smallest text of what has not. So the work grows with the members, however large a group of copies is. A pair
-above the threshold shares two bands or more with probability 0.96. What this has not merged is settled exactly:
-in each large bucket that still holds several classes, the shingles that one member alone has bound its similarity to
-every other, and all pairs of different classes that the bound leaves are verified, however many they are.
+larger one each member against the smallest text. The members of the larger ones are dealt anew by more samples, by
+one more band at a time, each time with all pairs of what has become small enough and the smallest text of what has
+not. So the work of these rounds grows with the members, however large a group of copies is. What they have not merged is settled exactly:
+in each large bucket that still holds several classes, all pairs of different classes are verified, however many they are.
+
+Pairs are rows only up to ``LISTED`` per member of a bucket. Beyond, the members outside a bucket's largest class meet all
+members in cells of bounded size (``_cells``): the rows are members, not pairs, and a cell gives the links that join its
+classes. In a cell, the shingles that one member alone has bound its similarity to every other, and the shingles that
+two members share are counted for a member and all others at once.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ IDF_BITS = 18
 DAMPING = 0.25        # power of the IDF
 STARS = (0, 1)        # bands whose buckets' smallest texts are tested first
 EACH = 16             # pairs that a member of a bucket may cost when all of them are verified
+LISTED = 2            # pairs for each member of a bucket up to which they are rows of their own
+CELL_TEXTS, CELL_WORDS = 1 << 11, 1 << 19   # members of a bucket on one side of a cell, and their words
 CHUNK = 1 << 14       # shingles weighed at once in a task: what that takes stays in the cache
 
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -156,23 +161,6 @@ def _packed(batches):
         yield pd.DataFrame({"_t": pdf["_t"], "_s": [s.tobytes() for s, _ in sets], "_n": [c.astype(np.uint32).tobytes() for _, c in sets]})
 
 
-def _weighed(idf):
-    """Each shingle of the texts and its weight."""
-    def weigh(batches):
-        for pdf in batches:
-            held, n = [], 0
-            for key, t, s, c in zip(pdf["_key"], pdf["_t"], pdf["_s"], pdf["_n"], strict=True):
-                s, c = _unpacked(s, c)
-                held.append(pd.DataFrame({"_key": key, "_t": t, "_e": s.view(np.int64), "_w": c * idf.value[_feature(s)]}))
-                n += len(s)
-                if n >= 4 * CHUNK:
-                    yield pd.concat(held)
-                    held, n = [], 0
-            if held:
-                yield pd.concat(held)
-    return weigh
-
-
 def _unpacked(s: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(s, np.uint64), np.frombuffer(n, np.uint32).astype(np.int64)
 
@@ -208,6 +196,113 @@ def _verifier(idf, least: float):
     return verify
 
 
+def _shared(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray):
+    """What the texts of a cell share. An element is a shingle and the how manieth of its occurrences it is, so the
+    weighted intersection of two texts is the weight of their common elements: per text the distinct shingles and the
+    weight, in all and of elements that another text has too, and a function from a text to both intersections with
+    each text."""
+    at = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+    whole, n = np.concatenate([x for x, _ in sets]), np.concatenate([c for _, c in sets])
+    _, e = np.unique(whole, return_inverse=True)
+    w, nth = idf[_feature(whole)], np.zeros(len(e), np.int64)
+    if len(n) and n.max() > 1:
+        row = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        _, e = np.unique(e[row] * int(n.max()) + nth, return_inverse=True)
+        at, w = at[row], w[row]
+    one = (nth == 0).astype(float)
+
+    def per_text(x):
+        return np.bincount(at, x, len(sets))
+    held = np.bincount(e)[e] > 1
+    figures = per_text(one), per_text(w), per_text(one * held), per_text(w * held)
+    at, e, w, one = at[held], e[held], w[held], one[held]
+    order = np.argsort(e, kind="stable")
+    post, count = at[order], np.bincount(e)
+    start, bounds = np.cumsum(count) - count, np.searchsorted(at, np.arange(len(sets) + 1))
+
+    def intersections(i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(bounds[i], bounds[i + 1])
+        n = count[e[own]]
+        texts = post[np.repeat(start[e[own]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return tuple(np.bincount(texts, np.repeat(x[own], n), len(sets)) for x in (one, w))
+    return figures, intersections
+
+
+def _cell_links(cell: pd.DataFrame, idf: np.ndarray, least: float) -> list[tuple[str, str]]:
+    """Links of a cell that join all its classes that hold similar texts. Pairs are of a left and a right row; two texts
+    outside the largest class of their bucket meet in either order, and count in one."""
+    t, name = cell["_t"].to_numpy(), cell["_root"].to_numpy()
+    left, right, other = (cell[c].to_numpy(bool) for c in ("_left", "_right", "_other"))
+    sets = [_unpacked(x, n) for x, n in zip(cell["_s"], cell["_n"], strict=True)]
+    _, root = np.unique(name, return_inverse=True)
+    links, bound, intersections = [], None, None
+    at_least = least - 1e-9    # rounding
+    if left.sum() * right.sum() > EACH:
+        (pn, pw, sn, sw), intersections = _shared(sets, idf)
+        part = at_least / (1 + at_least)
+
+        def bound(i):
+            return (np.minimum(sn[i], sn) >= part * (pn[i] + pn)) | (np.minimum(sw[i], sw) >= part * (pw[i] + pw))
+    for i in np.flatnonzero(left):
+        can = right & (root != root[i]) & (~other | (t > t[i]))
+        if bound is not None:
+            can &= bound(i)
+            if can.sum() > EACH:
+                bn, bw = intersections(i)
+                can &= (bn >= at_least * (pn[i] + pn - bn)) | (bw >= at_least * (pw[i] + pw - bw))
+        for j in np.flatnonzero(can):
+            if root[j] != root[i] and (plain(sets[i], sets[j]) >= least or similarity(sets[i], sets[j], idf) >= least):
+                links.append((name[i], name[j]))
+                root[root == root[j]] = root[i]
+    return links
+
+
+def _cell_verifier(idf, least: float):
+    """``_cell_links`` of rows that come sorted by cell."""
+    cell = ["_key", "_i", "_j"]
+
+    def verify(batches):
+        def links(pdf):
+            return pd.DataFrame(_cell_links(pdf, idf.value, least), columns=["a", "b"], dtype=object)
+        held = []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            k = pdf[cell].to_numpy()
+            if held and (held[-1][cell].to_numpy()[-1] != k[0]).any():
+                yield links(pd.concat(held))
+                held = []
+            cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1), len(k)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                held.append(pdf.iloc[lo:hi])
+                if hi < len(k):
+                    yield links(pd.concat(held))
+                    held = []
+        if held:
+            yield links(pd.concat(held))
+    return verify
+
+
+def _cells(m: DataFrame) -> DataFrame:
+    """The rows of the members of buckets in their cells: each chunk of the members outside the largest class (left) meets
+    each chunk of all members (right). A bucket of one cell gives each member once."""
+    other = F.col("_root") != F.col("_big")
+    chunk = F.xxhash64("_t")
+    i, j = F.pmod(chunk, F.col("_left_n")).cast("int"), F.pmod(chunk, F.col("_right_n")).cast("int")
+
+    def row(i, j, left, right):
+        return F.struct(i.alias("_i"), j.alias("_j"), left.alias("_left"), right.alias("_right"))
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+
+    def each(n):
+        return F.sequence(zero, (F.col(n) - 1).cast("int"))
+    lefts = F.filter(F.transform(each("_right_n"), lambda x: row(i, x, yes, no)), lambda _: other)
+    rights = F.transform(each("_left_n"), lambda x: row(x, j, no, yes))
+    rows = F.when((F.col("_left_n") == 1) & (F.col("_right_n") == 1), F.array(row(zero, zero, other, yes))).otherwise(F.concat(lefts, rights))
+    return m.select("_key", "_t", "_root", other.alias("_other"), rows.alias("_at"))
+
+
 def _hashes(text):
     return F.transform(words(F.lower(text)), lambda x: F.xxhash64(x))
 
@@ -221,18 +316,19 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     change nothing; other columns are ignored; an empty table gives no rows."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("_id"), F.md5(text_or_empty(text_col)).alias("_t"),
-                       _hashes(text_or_empty(text_col)).alias("_h"))
+                       _hashes(text_or_empty(text_col)).alias("_h")).withColumn("_len", F.size("_h"))
     counts = slim.select("_h").mapInPandas(_frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     n_docs = docs.count()
     freq = np.zeros(1 << IDF_BITS)
     got = counts.toPandas()  # at most 2**IDF_BITS rows for any corpus
     freq[got["feature"].to_numpy(dtype=np.int64)] = got["n"]
     idf = spark.sparkContext.broadcast(np.log1p(max(n_docs, 1) / np.maximum(freq, 1)) ** DAMPING)
-    sig = write_stage(slim.mapInPandas(_sampler(idf), f"_id {docs.schema[id_col].dataType.simpleString()}, _t string, _bands array<long>"),
+    sig = write_stage(slim.mapInPandas(_sampler(idf), f"_id {docs.schema[id_col].dataType.simpleString()}, _t string, _len int, _bands array<long>"),
                       "dup-signatures")
     # One row per text; copies combine before the shuffle.
-    texts = write_stage(sig.groupBy("_t").agg(F.min("_id").alias("_rep"), F.first("_bands").alias("_bands")), "dup-texts")
-    member = texts.select("_t", F.posexplode("_bands").alias("_band", "_key"))
+    texts = write_stage(sig.groupBy("_t").agg(F.min("_id").alias("_rep"), F.first("_bands").alias("_bands"),
+                                         F.first("_len").alias("_len")), "dup-texts")
+    member = texts.select("_t", "_len", F.posexplode("_bands").alias("_band", "_key"))
     member = write_stage(_buckets(member), "dup-buckets")
 
     nodes = member.select("_t").distinct().join(texts.select("_t", "_rep"), "_t")
@@ -252,9 +348,26 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         of = small_broadcast(comp.select(F.col("a").alias(at), F.col("b").alias(root)), n_comp, ROW_BYTES)
         return m.join(of, at, "left").withColumn(root, F.coalesce(root, at))
 
-    def link(pairs: DataFrame) -> None:
-        """Verify the pairs of different classes and merge the classes of those that are similar."""
-        nonlocal comp, n_comp, tested, n_tested
+    def cell_links(m: DataFrame) -> DataFrame:
+        """Links that join the classes of similar texts in each bucket of ``m``."""
+        rows = _cells(m).join(body.select("_t", "_s", "_n"), "_t").select("_key", "_t", "_root", "_other", "_s", "_n", F.explode("_at").alias("_at"))
+        rows = rows.select("_key", "_at._i", "_at._j", "_t", "_root", "_other", "_at._left", "_at._right", "_s", "_n")
+        rows = rows.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
+        return rows.mapInPandas(_cell_verifier(idf, least), "a string, b string")
+
+    def merge(links: DataFrame) -> None:
+        nonlocal comp, n_comp
+        links = write_stage(links, "dup-links")
+        if comp is None:
+            comp = components(links)
+        elif links.take(1):
+            comp = merged(comp, components(links))
+        n_comp = comp.count()
+
+    def link(pairs: DataFrame, more: DataFrame | None = None) -> None:
+        """Verify the pairs of different classes and merge the classes of those that are similar, and those of the links
+        ``more``."""
+        nonlocal tested, n_tested
         pairs = pairs.distinct()   # several buckets name a pair
         if tested is not None:
             pairs = pairs.join(small_broadcast(tested, n_tested, ROW_BYTES), ["a", "b"], "left_anti")
@@ -262,82 +375,52 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         n_tested += pairs.count()
         links = pairs.join(left, "a").join(right, "b").select("a", "b", "_ra", "_rb", "_sa", "_na", "_sb", "_nb").mapInPandas(
             _verifier(idf, least), "_ra string, _rb string").select(F.col("_ra").alias("a"), F.col("_rb").alias("b"))
-        links = write_stage(links, "dup-links")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        if comp is None:
-            comp = components(links)
-        elif links.take(1):
-            comp = merged(comp, components(links))
-        n_comp = comp.count()
+        merge(links if more is None else links.unionByName(more))
 
     def star(m: DataFrame) -> DataFrame:
         """The pairs of each member of a bucket and the smallest, if their classes differ."""
         s = m.filter(F.col("_t") != F.col("_first")).select(F.col("_first").alias("a"), F.col("_t").alias("b"))
         return labelled(labelled(s, "a", "_ra"), "b", "_rb").filter("_ra <> _rb").select("a", "b", "_ra", "_rb")
 
-    def parted(m: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The members, with their classes, of small and of large buckets that still hold several classes."""
+    def parted(m: DataFrame) -> DataFrame:
+        """The members of buckets that still hold several classes, with their classes, the bucket's largest one, its pairs of
+        different classes, and the chunks of members outside the largest class and of all members."""
         label = labelled(m.select(*m.columns), "_t", "_root")
+        each = label.groupBy("_key", "_root").agg(F.count("*").alias("_c"), F.sum("_len").alias("_l"))
         # Pairs of different classes in a bucket, from the sizes of its classes.
-        each = label.groupBy("_key", "_root").agg(F.count("*").alias("_c"))
         n, same = F.sum("_c"), F.sum(F.col("_c").cast("double") * F.col("_c"))
-        apart = each.groupBy("_key").agg(((n.cast("double") * n - same) / 2).alias("_apart"), n.alias("_n")).filter("_apart > 0")
-        apart = write_stage(apart.select("_key", (F.col("_apart") <= EACH * F.col("_n")).alias("_small")), "dup-apart")
-        open_ = write_stage(label.join(small_broadcast(apart, apart.count(), 32), "_key"), "dup-open")
-        return open_.filter("_small").drop("_small"), open_.filter("not _small").drop("_small")
-
-    def rest(m: DataFrame) -> DataFrame | None:
-        """The pairs of different classes in the buckets of ``m`` that can be similar: what a member has alone in its
-        bucket, it shares with no other, and the remainder bounds both similarities from above."""
-        m = labelled(m.select("_key", "_t"), "_t", "_root")
-        several = m.groupBy("_key").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).filter("_lo <> _hi").select("_key")
-        m = write_stage(m.join(several, "_key"), "dup-rest")
-        if not m.take(1):
-            return None
-        e = m.select("_key", "_t").join(body, "_t").select("_key", "_t", "_s", "_n").mapInPandas(
-            _weighed(idf), "_key long, _t string, _e long, _w double")
-        e = write_stage(e, "dup-shingles")
-        own = e.groupBy("_key", "_e").agg(F.count("*").alias("_c"), F.min("_t").alias("_t"), F.min("_w").alias("_w")).filter("_c = 1")
-        own = own.groupBy("_key", "_t").agg(F.count("*").alias("_on"), F.sum("_w").alias("_ow"))
-        whole = e.groupBy("_key", "_t").agg(F.count("*").alias("_pn"), F.sum("_w").alias("_pw"))
-        at_least = least - 1e-9    # rounding
-        m = m.join(whole, ["_key", "_t"]).join(own, ["_key", "_t"], "left").fillna(0, ["_on", "_ow"])
-        m = m.withColumn("_sn", F.col("_pn") - F.col("_on")).withColumn("_sw", F.col("_pw") - F.col("_ow"))
-        m = m.filter((F.col("_sn") >= at_least * F.col("_pn")) | (F.col("_sw") >= at_least * F.col("_pw")))
-        m = write_stage(m.select("_key", "_t", "_root", "_pn", "_pw", "_sn", "_sw"), "dup-bounds")
-        x, y = (m.select("_key", F.col("_t").alias(t), F.col("_root").alias(f"_r{t}"),
-                         *[F.col(c).alias(c + t) for c in ("_pn", "_pw", "_sn", "_sw")]) for t in "ab")
-        part = at_least / (1 + at_least)
-        can = [F.least(f"_s{k}a", f"_s{k}b") >= part * (F.col(f"_p{k}a") + F.col(f"_p{k}b")) for k in "nw"]
-        return x.join(y, "_key").filter("a < b and _ra <> _rb").filter(can[0] | can[1]).select("a", "b", "_ra", "_rb")
+        apart = each.groupBy("_key").agg(((n.cast("double") * n - same) / 2).alias("_apart"), n.alias("_size"), F.sum("_l").alias("_words"),
+                                         F.max(F.struct("_c", "_l", "_root")).alias("_most")).filter("_apart > 0")
+
+        def chunks(texts, words):
+            return F.greatest(F.ceil(texts / CELL_TEXTS), F.ceil(words / CELL_WORDS), F.lit(1)).cast("long")
+        apart = apart.select("_key", "_apart", "_size", F.col("_most._root").alias("_big"), chunks(F.col("_size"), F.col("_words")).alias("_right_n"),
+                             chunks(F.col("_size") - F.col("_most._c"), F.col("_words") - F.col("_most._l")).alias("_left_n"))
+        apart = write_stage(apart, "dup-apart")
+        return write_stage(label.join(small_broadcast(apart, apart.count(), 128), "_key"), "dup-open")
 
     link(star(member.filter(F.col("_band").isin(*STARS))))
     first = None
     signature = texts.select("_t", "_bands")
     for depth in range(1, BANDS + 1):
-        small, large = parted(member)
+        several = parted(member)
+        small, large = several.filter(F.col("_apart") <= LISTED * F.col("_size")), several.filter(F.col("_apart") > EACH * F.col("_size"))
+        medium = several.filter((F.col("_apart") > LISTED * F.col("_size")) & (F.col("_apart") <= EACH * F.col("_size")))
         first = large if first is None else first
         x = small.select("_key", F.col("_t").alias("a"), F.col("_root").alias("_ra"))
         y = small.select("_key", F.col("_t").alias("b"), F.col("_root").alias("_rb"))
         pairs = x.join(y, "_key").filter("a < b and _ra <> _rb").select("a", "b", "_ra", "_rb")
-        link(pairs.unionByName(star(large)))
+        link(pairs.unionByName(star(large)), cell_links(medium))
         if depth == BANDS or not large.take(1):
             break
-        if depth == 1:
-            # Each two large buckets of a text together.
-            both = large.groupBy("_t").agg(F.array_sort(F.collect_list(F.struct("_band", "_key"))).alias("_k"))   # at most BANDS
-            two = F.flatten(F.transform("_k", lambda p, i: F.transform(F.slice("_k", i + 2, BANDS), lambda q: F.struct(
-                q["_band"].alias("_band"), F.xxhash64(p["_band"], p["_key"], q["_key"]).alias("_key")))))
-            finer = both.select("_t", F.explode(two).alias("_e")).select("_t", "_e._band", "_e._key")
-        else:
-            # One more band, the next of the text's.
-            nxt = ((F.col("_band") + 1) % BANDS).cast("int")
-            finer = large.select("_t", "_band", "_key").join(signature, "_t").select(
-                "_t", nxt.alias("_band"), F.xxhash64("_key", F.get("_bands", nxt)).alias("_key"))
+        # One more band, the next of the text's: a row for each large bucket of a text.
+        nxt = ((F.col("_band") + 1) % BANDS).cast("int")
+        finer = large.select("_t", "_len", "_band", "_key").join(signature, "_t").select(
+            "_t", "_len", nxt.alias("_band"), F.xxhash64("_key", F.get("_bands", nxt)).alias("_key"))
         member = write_stage(_buckets(finer), "dup-buckets")
-    pairs = rest(first) if first.take(1) else None
-    if pairs is not None:
-        link(pairs)
+    if first.take(1):
+        merge(cell_links(parted(first.select("_key", "_t", "_len"))))
     label = labelled(texts.select("_t", "_rep"), "_t", "_root")
     names = label.groupBy("_root").agg(F.min("_rep").alias("class_id"))
     out = write_stage(label.join(names, "_root").select("_t", "_rep", "class_id"), "dup-classes")

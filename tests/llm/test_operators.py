@@ -149,6 +149,52 @@ def test_near_duplicates_in_a_large_group(spark):
     assert all(got[i] == 0 for i in range(320)) and all(got[i] == i for i in range(1000, 1020))
 
 
+@pytest.mark.parametrize("texts_per_cell", [neardup.CELL_TEXTS, 50])
+def test_near_duplicates_of_many_classes_are_no_rows_of_pairs(spark, monkeypatch, texts_per_cell):
+    r = np.random.default_rng(5)
+    base = prose(700, 100)
+    texts = []
+    for i in range(28):  # two of eight places of the text are other words: only texts with the same two are similar
+        a, b = [(x, y) for x in range(8) for y in range(x)][i]
+        for _ in range(8):
+            t = list(base)
+            t[5 + 12 * a], t[5 + 12 * b] = (f"x{r.integers(10 ** 9)}" for _ in range(2))
+            texts.append(" ".join(t))
+    want = [min(j for j in range(len(texts)) if jaccard(texts[i], texts[j]) >= 0.8) for i in range(len(texts))]
+    assert want == [i // 8 * 8 for i in range(len(texts))]
+    made, write = [], neardup.write_stage
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "dup-pairs":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(neardup, "write_stage", counted)
+    monkeypatch.setattr(neardup, "DAMPING", 0.0)
+    monkeypatch.setattr(neardup, "CELL_TEXTS", texts_per_cell)
+    got = {x.doc_id: x.class_id for x in neardup.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert sum(made) <= 8 * len(texts)  # of 25,000 pairs
+
+
+def test_links_of_a_cell_are_those_of_all_pairs():
+    r = np.random.default_rng(6)
+    sets = [neardup.shingles(r.integers(0, 3, 12 + i % 3)) for i in range(60)]
+    idf = 1 + np.arange(1 << neardup.IDF_BITS) % 7
+    t = [f"{i:02}" for i in range(60)]
+    cell = pd.DataFrame({"_t": t, "_root": t, "_left": True, "_right": True, "_other": True, "_s": [s.tobytes() for s, _ in sets],
+                         "_n": [c.astype(np.uint32).tobytes() for _, c in sets]})
+    for least in (0.2, 0.4):
+        want, got = list(range(60)), list(range(60))
+        similar = [(i, j) for i in range(60) for j in range(i) if neardup.plain(sets[i], sets[j]) >= least or neardup.similarity(sets[i], sets[j], idf) >= least]
+        for classes, pairs in ((want, similar), (got, [(int(a), int(b)) for a, b in neardup._cell_links(cell, idf, least)])):
+            for a, b in pairs:
+                lo, hi = sorted((classes[a], classes[b]))
+                classes[:] = [lo if x == hi else x for x in classes]
+        assert got == want and 1 < len(set(want)) < 60
+
+
 def test_components(spark):
     pairs = [(f"{i:03}", f"{i + 1:03}") for i in range(40) if i not in (10, 25)] + [("100", "000")] + [("200", f"{i}") for i in range(201, 260)]
     got = {r.a: r.b for r in components(spark.createDataFrame(pairs, "a string, b string")).collect()}
