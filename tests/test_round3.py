@@ -398,6 +398,29 @@ def test_pairs_summed_at_the_items_equal_the_self_join(spark, degree, entries):
         assert rows(rating_pair_stats(df, truncate=truncate, hot_user_degree=degree, entries=entries), *cols) == want
 
 
+@pytest.mark.parametrize("kind,ids,stars,coded", [
+    ("double", [-3, 0, 5, 9], [None, 0.0, 0.5, 126.5], True), ("float", [1, 2, 3, 4], [1.5, 4.5], True), ("double", [1, 2, 3, 4], [0.25, 1.0], False),
+    ("double", [1, 2, 3, 4], [-0.5, 1.0], False), ("double", [1, 2, 1 << 40, 4], [1.0, 2.0], False), ("double", [1, 2, 3, 4], [127.0, 1.0], False),
+    ("double", [1, 2, 3, 4], [float("nan"), 1.0], False), ("double", [(1 << 62) + i for i in range(4)], [1.0, 2.5], True)])
+def test_half_stars_meet_as_one_int(spark, capsys, kind, ids, stars, coded):
+    r = random.Random(len(stars))
+    df = spark.createDataFrame([(u, i, r.choice(stars)) for u in range(20) for i in ids], f"user_id long, item_id long, rating {kind}")
+    for degree in (2000, 2):
+        got = rating_pair_stats(df, truncate=False, hot_user_degree=degree)
+        cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+        want = pair_stats(co_ratings(df, hot_user_degree=None), False)
+        assert got.schema == want.schema and repr(rows(got, *cols)) == repr(rows(want, *cols))
+        got.explain()
+        assert ("_ratings" not in capsys.readouterr().out) == coded
+
+
+def test_similarity_of_a_log_sorts_it_out_once(spark, capsys):
+    log = spark.createDataFrame([(u, i, 0.5 * (i + 1), n) for u in range(25) for i in range(4) for n in range(2)], "user_id long, item_id long, rating double, ts long")
+    sim = item_similarity(log, min_support=20)
+    sim.explain()
+    assert "max_by" not in capsys.readouterr().out and sim.count() == 6
+
+
 def test_pairs_are_summed_without_an_exchange_of_pairs(spark, capsys):
     df = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(5)], RATING)
     rating_pair_stats(df).explain()
