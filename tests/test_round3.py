@@ -10,6 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corate.bridge import ratings
 from corate.cli import main
 from corate.operators import (
     add_stats,
@@ -33,6 +34,7 @@ from corate.operators import (
     user_scores_packed,
 )
 from corate.operators.matrix import blocked_scores, packed_bytes, packed_scores
+from corate.operators.similarity import _figures
 from corate.plans.jobs import load_job
 from corate.plans.skew import SCORING_ROWS_PER_TASK
 from corate.session import materialize
@@ -49,7 +51,7 @@ from corate.sinks import (
 from corate.sources import read_packed, read_packed_entries, read_split, split_log
 from corate.sources.readers import classified, rating_fields
 
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 RATING = "user_id long, item_id long, rating double"
 
@@ -414,6 +416,34 @@ def test_half_stars_meet_as_one_int(spark, capsys, kind, ids, stars, coded):
         assert ("_ratings" not in capsys.readouterr().out) == coded
 
 
+@pytest.mark.parametrize("ids,upper", [([0, 1, 4095, 4096, (1 << 20) - 1], True), ([5, 6, 5 + (1 << 20)], False)])
+def test_codes_below_three_bytes_travel_as_shorts(spark, capsys, ids, upper):
+    r = random.Random(len(ids))
+    stars = [0.5, 3.5, 5.0, 6.5]   # 4 bits
+    df = spark.createDataFrame([(u, i, r.choice(stars)) for u in range(30) for i in ids if r.random() < 0.8], RATING)
+    cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+    want = rows(pair_stats(co_ratings(df, hot_user_degree=None)), *cols)
+    for degree, entries in ((2000, 1 << 20), (2, 1 << 20), (2000, 8)):
+        got = rating_pair_stats(df, hot_user_degree=degree, entries=entries)
+        assert rows(got, *cols) == want
+        got.explain()
+        assert ("_upper" in capsys.readouterr().out) == upper
+
+
+def test_users_are_counted_in_rows_of_a_count_only(spark):
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(5)], RATING)
+    known, most, codes = _figures(df, 4)
+    assert known == (9 * 25, 9) and most == 5 and codes.split and (codes.low, codes.bits) == (0, 2)
+    empty = _figures(df.filter("user_id < 0"), 4)
+    assert empty == ((0, 0), 0, None)
+
+
+def test_the_rating_is_not_shuffled_beside_its_event(spark, capsys):
+    ratings(spark, SF_SMALL).explain()
+    plan = capsys.readouterr().out
+    assert "max_by" not in plan and plan.count("Exchange hashpartitioning(user_id") == 1
+
+
 def test_similarity_of_a_log_sorts_it_out_once(spark, capsys):
     log = spark.createDataFrame([(u, i, 0.5 * (i + 1), n) for u in range(25) for i in range(4) for n in range(2)], "user_id long, item_id long, rating double, ts long")
     sim = item_similarity(log, min_support=20)
