@@ -31,6 +31,7 @@ from corate.operators.matrix import blocked_scores, pack_matrix, packed_bytes, p
 from corate.operators.topk import top_k_per_user
 from corate.operators.vectors import scaled_ratings, scaled_similarity, unpack_arrays
 from corate.plans.skew import (
+    BLOCK_ROWS_PER_TASK,
     DEFAULT_MAX_BROADCAST_BYTES,
     DEFAULT_MAX_HOT_KEYS,
     SCORING_ROWS_PER_TASK,
@@ -77,11 +78,12 @@ def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
               hot_user_degree: int | None, max_hot_keys: int, partitions: int | None,
               user_partitioned: bool = False, how: str = "inner", skip_zero_weights: bool = True,
-              seen: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK, packed: DataFrame | None = None) -> list[DataFrame]:
+              seen: bool = False, rows_per_task: int | None = None, packed: DataFrame | None = None) -> list[DataFrame]:
     """Scores ``(user_id, item_id, score[, _seen])`` per branch (ordinary users; hot users).
     ``skip_zero_weights`` drops ratings of weight 0 before the join (they add nothing, but would
     create zero-score rows); ranking keeps them so that they still mark their item as seen and keep
-    their user present. ``packed`` gives the matrix ``v`` as packed arrays where the caller has them."""
+    their user present. ``packed`` gives the matrix ``v`` as packed arrays where the caller has them. ``rows_per_task``
+    by default is ``SCORING_ROWS_PER_TASK``, and ``BLOCK_ROWS_PER_TASK`` in cells."""
     spark = weights.sparkSession
     nonzero = F.col("w") != 0 if skip_zero_weights else F.lit(True)
     lengths = (v.groupBy("item_1").agg(F.count("*").alias("_len")) if packed is None
@@ -89,11 +91,11 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     size, products, degrees = _figures(weights.filter(nonzero), lengths, hot_user_degree)
     if size > max_broadcast_bytes:
         w = weights.filter(nonzero)
-        return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
+        return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task or BLOCK_ROWS_PER_TASK, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
     # `size` bytes, computed from the row lengths. Written first: the scoring stage then reads it as it stands.
     rows = F.broadcast(materialize(pack_matrix(v), "packed_matrix") if packed is None else packed)
     # Sized by the exact number of partial products, not by the weight rows shuffled.
-    parts = partitions or partitions_for(spark, products, rows_per_task)
+    parts = partitions or partitions_for(spark, products, rows_per_task or SCORING_ROWS_PER_TASK)
     split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys, known=degrees)
              if hot_user_degree is not None else HotSplit(weights, None, 0))
     # Explicit partition count: the exchange carries only weight rows but the work after it is
@@ -138,7 +140,7 @@ def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool =
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                 hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
-                user_partitioned: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
+                user_partitioned: bool = False, rows_per_task: int | None = None) -> DataFrame:
     """``(user_id, item_id, score)`` for every item reached through at least one similarity row
     (zero scores included). ``weights``: ``(user_id, item_id, w)``; ``sim_scaled``:
     ``(item_1, item_2, val)``, upper triangle unless ``symmetric`` mirrors it."""
@@ -155,7 +157,7 @@ def user_scores(weights: DataFrame, sim_scaled: DataFrame, *, symmetric: bool =
 
 def user_scores_packed(weights: DataFrame, packed_rows: DataFrame, *, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                        hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                       partitions: int | None = None, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
+                       partitions: int | None = None, rows_per_task: int | None = None) -> DataFrame:
     """``user_scores`` from a stored packed matrix ``(item_1, packed)`` (``similarity_rows``, packed text): each rating
     meets the packed row of its item, which is parsed to two arrays and expanded behind the join only."""
     arrays = unpack_arrays(packed_rows, "item_1")
@@ -171,7 +173,7 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
               hot_user_degree: int | None = DEFAULT_HOT_USER_DEGREE,
               max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, partitions: int | None = None,
-              user_partitioned: bool = False, rows_per_task: int = SCORING_ROWS_PER_TASK) -> DataFrame:
+              user_partitioned: bool = False, rows_per_task: int | None = None) -> DataFrame:
     """Top-``k`` items per user: ``(user_id, item_id, score, rank)``.
 
     ``ratings``: ``(user_id, item_id, rating)``; ``sim``: ``(item_1, item_2, similarity)``, best

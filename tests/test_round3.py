@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,16 @@ def test_blocked_products_are_not_shuffled(spark):
     assert len(re.findall(r"\bExchange\b", tree)) == 2, tree   # one for each input, none behind the join
 
 
+def test_blocked_scores_copy_both_sides_a_few_times(spark, monkeypatch):
+    """3 million products, which cells of 512 K half filled would cut into 12."""
+    w = spark.range(300_000).select((F.col("id") % 3000).alias("user_id"), (F.col("id") % 100).alias("item_id"), F.lit(1).alias("w"))
+    v = spark.range(1000).select((F.col("id") % 100).alias("item_1"), (F.col("id") + 100).alias("item_2"), F.lit(1).alias("val"))
+    seen = []
+    monkeypatch.setattr(sys.modules["corate.operators.recommend"], "plan_blocks", lambda *a, **k: seen.append(plan_blocks(*a, **k)) or seen[-1])
+    assert user_scores(w, v, max_broadcast_bytes=0).agg(F.sum("score")).first()[0] == 3_000_000
+    assert seen[0].products == 3_000_000 and seen[0].cells <= 9
+
+
 @pytest.mark.parametrize("option", [{}, {"symmetric": True}, {"exclude_seen": True}, {"pad_zeros": True}])
 def test_blocked_recommendations_equal_the_broadcast_ones(spark, option):
     r = random.Random(5)
