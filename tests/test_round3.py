@@ -3,6 +3,7 @@ statistics, one-line packed rows, one-pass logs, text order."""
 
 from __future__ import annotations
 
+import datetime
 import os
 import random
 import re
@@ -455,6 +456,18 @@ def test_the_rating_is_not_shuffled_beside_its_event(spark, capsys):
     assert "max_by" not in plan and plan.count("Exchange hashpartitioning(user_id") == 1
 
 
+def test_what_cannot_change_a_rating_is_not_shuffled(spark, tmp_path):
+    """Events alike up to the quantity have one rating, so the price after it stays out of the plan."""
+    day = datetime.datetime(2020, 1, 1)
+    lines = [(1, 5, 7, 1, 9.0, 2.0, day), (1, 5, 7, 1, 41.0, 1.0, day), (1, 5, 7, 1, 41.0, 3.0, day), (1, 6, 8, 1, None, 9.0, day), (1, 6, 9, 1, 3.0, None, day)]
+    cols = "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"
+    spark.createDataFrame(lines, cols).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 4)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    df = ratings(spark, str(tmp_path))
+    assert rows(df) == [(4, 5, 4.5), (4, 6, 0.5)]
+    assert "l_extendedprice" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_similarity_of_a_log_sorts_it_out_once(spark, capsys):
     log = spark.createDataFrame([(u, i, 0.5 * (i + 1), n) for u in range(25) for i in range(4) for n in range(2)], "user_id long, item_id long, rating double, ts long")
     sim = item_similarity(log, min_support=20)
