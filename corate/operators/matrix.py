@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortType
 
 from corate.plans.skew import DEFAULT_MAX_HOT_KEYS, SCORING_ROWS_PER_TASK, default_partitions
 
@@ -31,11 +32,52 @@ CELL_FILL = 0.5
 USER_FILL = 0.125
 
 
-def packed_bytes(entries: Column) -> Column:
-    """Bytes of a packed row of that many entries in a broadcast table: a bigint and an int each with their null
-    bits, two array heads, the row itself with its item and the slot of the hash table."""
+INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
+
+
+@dataclass
+class Narrow:
+    """Columns of a matrix as ints from ``low`` (``None``: as they are), and values as bytes if ``small``: 5 bytes an
+    entry instead of 12 where all of them fit."""
+
+    low: int | None = None
+    small: bool = False
+    item_type: DataType | None = None
+
+    @property
+    def widths(self) -> tuple[int, int]:
+        return (8 if self.low is None else 4), (1 if self.small else 4)
+
+    def column(self, item: Column) -> Column:
+        return item if self.low is None else (item - F.lit(self.low).cast("long")).cast("int")
+
+    def item(self, column: Column) -> Column:
+        return column if self.low is None else (column.cast("long") + F.lit(self.low).cast("long")).cast(self.item_type)
+
+    def value(self, val: Column) -> Column:
+        return val.cast("byte") if self.small else val
+
+    def entries(self, v: DataFrame) -> DataFrame:
+        return v.select("item_1", self.column(F.col("item_2")).alias("item_2"), self.value(F.col("val")).alias("val"))
+
+    def arrays(self, packed: DataFrame) -> DataFrame:
+        """``entries`` of rows that are packed already."""
+        return packed.select("item_1", F.transform("cols", self.column).alias("cols"), F.transform("vals", self.value).alias("vals"))
+
+
+def narrow(item_type: DataType, low: int | None, high: int | None, least: int | None, most: int | None) -> Narrow:
+    """The narrowest form that holds all items of ``low`` to ``high`` and values of ``least`` to ``most``."""
+    fits = isinstance(item_type, INTEGRAL) and low is not None and high - low < 1 << 31
+    small = least is not None and least >= -128 and most <= 127
+    return Narrow(low if fits else None, small, item_type)
+
+
+def packed_bytes(entries: Column, widths: tuple[int, int] = (8, 4)) -> Column:
+    """Bytes of a packed row of that many entries in a broadcast table: a column and a value (by default a bigint and
+    an int) each with their null bits, two array heads, the row itself with its item and the slot of the hash table."""
     bits = F.ceil(entries / 64) * 8
-    return (16 + 2 * bits + 8 * entries + F.ceil(entries / 2) * 8 + 8 + 3 * 8 + 8 + 32).cast("long")
+    data = [F.ceil(entries * width / 8) * 8 for width in widths]
+    return (16 + 2 * bits + data[0] + data[1] + 8 + 3 * 8 + 8 + 32).cast("long")
 
 
 def pack_matrix(v: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
@@ -48,7 +90,7 @@ def pack_matrix(v: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
     return rows.select("item_1", F.col("_e.item_2").alias("cols"), F.col("_e.val").alias("vals"))
 
 
-def packed_scores(w: DataFrame, packed: DataFrame, *, how: str = "inner", seen: bool = False) -> DataFrame:
+def packed_scores(w: DataFrame, packed: DataFrame, *, how: str = "inner", seen: bool = False, form: Narrow = Narrow()) -> DataFrame:
     """``(user_id, item_id, score[, _seen])``: products of ratings and packed rows summed per user and column.
 
     ``seen`` marks the columns that the user rated (the matrix then holds its diagonal). With ``how='left'`` a
@@ -56,10 +98,16 @@ def packed_scores(w: DataFrame, packed: DataFrame, *, how: str = "inner", seen:
     j = w.join(packed, F.col("item_id") == F.col("item_1"), how)
     explode = F.posexplode_outer if how == "left" else F.posexplode
     e = j.select("user_id", "item_id", "w", "vals", explode("cols").alias("_at", "_col"))
+    return _sums(e, [], form, seen)
+
+
+def _sums(e: DataFrame, keys: list[str], form: Narrow, seen: bool) -> DataFrame:
+    """Scores of the products ``(*keys, user_id, item_id, w, vals, _at, _col)``."""
     aggs = [F.sum(F.col("w").cast("long") * F.get("vals", F.col("_at")).cast("long")).alias("score")]
     if seen:
-        aggs.append(F.coalesce(F.max(F.col("_col") == F.col("item_id")), F.lit(False)).alias("_seen"))
-    return e.groupBy("user_id", F.col("_col").alias("item_id")).agg(*aggs)
+        aggs.append(F.coalesce(F.max(form.item(F.col("_col")) == F.col("item_id")), F.lit(False)).alias("_seen"))
+    s = e.groupBy(*keys, "user_id", "_col").agg(*aggs)
+    return s.select("user_id", form.item(F.col("_col")).alias("item_id"), "score", *(["_seen"] if seen else []))
 
 
 @dataclass

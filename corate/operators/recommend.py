@@ -4,7 +4,7 @@
 the integer half-star weight and ``val`` the integer similarity. Scores are bigint.
 
 Plan when the packed similarity rows pass the broadcast size check (the usual case: two arrays per
-item, 12 bytes per frequent item pair):
+item, 5 bytes per frequent item pair where ids and values allow it, else up to 12):
 
     weights --repartition(user)--> broadcast join packed rows --> expand --> aggregate (user, item)
             --> top-k window per user [--> pad]
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.scalars import pack_entries
-from corate.operators.matrix import blocked_scores, pack_matrix, packed_bytes, packed_scores, plan_blocks
+from corate.operators.matrix import INTEGRAL, Narrow, blocked_scores, narrow, pack_matrix, packed_bytes, packed_scores, plan_blocks
 from corate.operators.topk import top_k_per_user
 from corate.operators.vectors import scaled_ratings, scaled_similarity, unpack_arrays
 from corate.plans.skew import (
@@ -62,17 +62,25 @@ def _matrix(sim_scaled: DataFrame, symmetric: bool, markers: bool = False) -> Da
     return v
 
 
-def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None) -> tuple[int, int, tuple[int, int]]:
-    """Bytes of the packed matrix with rows ``(item_1, _len)``, number of partial products, and ``(sum of squared
-    degrees, hot users)``: all that the plan depends on, in one action over one row per item and one per user."""
+def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None) -> tuple[int, Narrow, int, tuple[int, int]]:
+    """Bytes of the packed matrix with rows ``(item_1, _len, _low, _high, _least, _most)`` in its narrowest form, that
+    form, number of partial products, and ``(sum of squared degrees, hot users)``: all that the plan depends on, in one
+    action over one row per item and one per user."""
     raters = weights.groupBy("item_id").agg(F.count("*").alias("_raters"))
     rows = lengths.join(raters, F.col("item_1") == F.col("item_id"), "left")
-    by_item = rows.agg(F.sum(packed_bytes(F.col("_len"))).alias("a"), F.sum(F.col("_len") * F.col("_raters")).alias("b"))
+    sizes = {(c, v): f"size_{c}_{v}" for c in (8, 4) for v in (4, 1)}
+    kind = lengths.schema["_low"].dataType
+    numbers = isinstance(kind, INTEGRAL)   # other items have no range
+    low, high = (F.col(c) if numbers else F.lit(None) for c in ("_low", "_high"))
+    by_item = rows.agg(F.sum(F.col("_len") * F.col("_raters")).alias("b"), *[F.sum(packed_bytes(F.col("_len"), k)).alias(n) for k, n in sizes.items()],
+                       F.min(low).cast("long").alias("low"), F.max(high).cast("long").alias("high"),
+                       F.min("_least").cast("long").alias("least"), F.max("_most").cast("long").alias("most"))
     degree = weights.groupBy("user_id").agg(F.count("*").alias("_deg"))
     hot = F.col("_deg") > F.lit(hot_user_degree) if hot_user_degree is not None else F.lit(False)
     by_user = degree.agg(F.sum(F.col("_deg") * F.col("_deg")).alias("a"), F.count(F.when(hot, True)).alias("b"))
-    item, user = by_item.unionByName(by_user).take(2)
-    return int(item["a"] or 0), int(item["b"] or 0), (int(user["a"] or 0), int(user["b"] or 0))
+    item, user = by_item.unionByName(by_user, allowMissingColumns=True).take(2)
+    form = narrow(kind, item["low"], item["high"], item["least"], item["most"])
+    return int(item[sizes[form.widths]] or 0), form, int(item["b"] or 0), (int(user["a"] or 0), int(user["b"] or 0))
 
 
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
@@ -86,14 +94,16 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     by default is ``SCORING_ROWS_PER_TASK``, and ``BLOCK_ROWS_PER_TASK`` in cells."""
     spark = weights.sparkSession
     nonzero = F.col("w") != 0 if skip_zero_weights else F.lit(True)
-    lengths = (v.groupBy("item_1").agg(F.count("*").alias("_len")) if packed is None
-               else packed.select("item_1", F.size("cols").alias("_len")))
-    size, products, degrees = _figures(weights.filter(nonzero), lengths, hot_user_degree)
+    lengths = (v.groupBy("item_1").agg(F.count("*").alias("_len"), F.min("item_2").alias("_low"), F.max("item_2").alias("_high"),
+                                       F.min("val").alias("_least"), F.max("val").alias("_most")) if packed is None
+               else packed.select("item_1", F.size("cols").alias("_len"), F.array_min("cols").alias("_low"), F.array_max("cols").alias("_high"),
+                                  F.array_min("vals").alias("_least"), F.array_max("vals").alias("_most")))
+    size, form, products, degrees = _figures(weights.filter(nonzero), lengths, hot_user_degree)
     if size > max_broadcast_bytes:
         w = weights.filter(nonzero)
         return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task or BLOCK_ROWS_PER_TASK, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
     # `size` bytes, computed from the row lengths. Written first: the scoring stage then reads it as it stands.
-    rows = F.broadcast(materialize(pack_matrix(v), "packed_matrix") if packed is None else packed)
+    rows = F.broadcast(materialize(pack_matrix(form.entries(v)), "packed_matrix") if packed is None else form.arrays(packed))
     # Sized by the exact number of partial products, not by the weight rows shuffled.
     parts = partitions or partitions_for(spark, products, rows_per_task or SCORING_ROWS_PER_TASK)
     split = (split_hot_keys(weights, "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_keys, known=degrees)
@@ -102,11 +112,11 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     # the product, so AQE must not coalesce this stage by its small shuffle size. Input that is
     # already bucketed by user keeps its partitioning and needs no exchange at all.
     wn = split.normal if user_partitioned else split.normal.repartition(parts, "user_id")
-    out = [packed_scores(wn.filter(nonzero), rows, how=how, seen=seen)]
+    out = [packed_scores(wn.filter(nonzero), rows, how=how, seen=seen, form=form)]
     if split.hot is not None:
         wh = (split.hot.withColumn("_chunk", chunk_of("item_id"))
               .repartition(parts, "user_id", "_chunk").drop("n_chunks"))
-        out.append(packed_scores(wh.filter(nonzero), rows, how=how, seen=seen))
+        out.append(packed_scores(wh.filter(nonzero), rows, how=how, seen=seen, form=form))
     return out
 
 

@@ -122,6 +122,28 @@ def test_packed_size_is_that_of_the_broadcast(spark):
     assert len(sizes) == 1 and 200 * 12 <= told <= sizes[0] + 64 * 3 + 2048  # a page of its own besides the rows
 
 
+@pytest.mark.parametrize("base,top,limit", [(0, 100, 6), (10**12, 100, 6), (-(10**18), 100, 6), (0, (1 << 31) - 1, 9), (0, -129, 9)])
+def test_a_matrix_is_broadcast_in_its_narrowest_form(spark, monkeypatch, base, top, limit):
+    """5 bytes an entry, or 8 where a value needs an int: a limit between them and 12 still gives a broadcast."""
+    spread = lambda c: F.col(c) + F.lit(base)
+    w, v, lw, lv = _matrix(spark)
+    v = v.unionByName(spark.createDataFrame([(0, 70, top)], v.schema))
+    n = v.count()
+    module = sys.modules["corate.operators.recommend"]
+    monkeypatch.setattr(module, "plan_blocks", lambda *a, **k: pytest.fail("not broadcast"))
+    want = sorted((u, j + base, s) for u, j, s in _brute(lw, [*lv, (0, 70, top)]))
+    heads = 40 * 140                       # of the rows
+    w, v = w.withColumn("item_id", spread("item_id")), v.select(spread("item_1").alias("item_1"), spread("item_2").alias("item_2"), "val")
+    assert rows(user_scores(w, v, max_broadcast_bytes=n * limit + heads)) == want
+
+
+def test_a_matrix_of_far_apart_items_stays_wide(spark):
+    w = spark.createDataFrame([(1, 1, 2), (1, 2, 3)], "user_id long, item_id long, w int")
+    v = spark.createDataFrame([(1, 2, 5), (1, 1 << 40, 7), (2, 1 << 40, 1)], "item_1 long, item_2 long, val int")
+    for limit in (1 << 20, 0):
+        assert rows(user_scores(w, v, max_broadcast_bytes=limit)) == [(1, 2, 10), (1, 1 << 40, 17)]
+
+
 def _partition_rows(df):
     return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
 
