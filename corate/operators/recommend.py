@@ -86,12 +86,13 @@ def _figures(weights: DataFrame, lengths: DataFrame, hot_user_degree: int | None
 def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
               hot_user_degree: int | None, max_hot_keys: int, partitions: int | None,
               user_partitioned: bool = False, how: str = "inner", skip_zero_weights: bool = True,
-              seen: bool = False, rows_per_task: int | None = None, packed: DataFrame | None = None) -> list[DataFrame]:
+              seen: bool = False, rows_per_task: int | None = None, packed: DataFrame | None = None, kept: int = 0) -> list[DataFrame]:
     """Scores ``(user_id, item_id, score[, _seen])`` per branch (ordinary users; hot users).
     ``skip_zero_weights`` drops ratings of weight 0 before the join (they add nothing, but would
     create zero-score rows); ranking keeps them so that they still mark their item as seen and keep
     their user present. ``packed`` gives the matrix ``v`` as packed arrays where the caller has them. ``rows_per_task``
-    by default is ``SCORING_ROWS_PER_TASK``, and ``BLOCK_ROWS_PER_TASK`` in cells."""
+    by default is ``SCORING_ROWS_PER_TASK``, and ``BLOCK_ROWS_PER_TASK`` in cells; of a cell's scores a user's ``kept``
+    best ones are sent on (0: none)."""
     spark = weights.sparkSession
     nonzero = F.col("w") != 0 if skip_zero_weights else F.lit(True)
     lengths = (v.groupBy("item_1").agg(F.count("*").alias("_len"), F.min("item_2").alias("_low"), F.max("item_2").alias("_high"),
@@ -101,7 +102,7 @@ def _branches(weights: DataFrame, v: DataFrame, *, max_broadcast_bytes: int,
     size, form, products, degrees = _figures(weights.filter(nonzero), lengths, hot_user_degree)
     if size > max_broadcast_bytes:
         w = weights.filter(nonzero)
-        return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task or BLOCK_ROWS_PER_TASK, cells=partitions, max_hot_keys=max_hot_keys), how=how, seen=seen)
+        return blocked_scores(w, v, plan_blocks(w, v, rows_per_task=rows_per_task or BLOCK_ROWS_PER_TASK, cells=partitions, max_hot_keys=max_hot_keys, kept=kept), how=how, seen=seen)
     # `size` bytes, computed from the row lengths. Written first: the scoring stage then reads it as it stands.
     rows = F.broadcast(materialize(pack_matrix(form.entries(v)), "packed_matrix") if packed is None else form.arrays(packed))
     # Sized by the exact number of partial products, not by the weight rows shuffled.
@@ -205,7 +206,7 @@ def recommend(ratings: DataFrame, sim: DataFrame, k: int = 100, *, symmetric: bo
     branches = _branches(weights, v, max_broadcast_bytes=max_broadcast_bytes,
                          hot_user_degree=hot_user_degree, max_hot_keys=max_hot_keys, partitions=partitions,
                          user_partitioned=user_partitioned, rows_per_task=rows_per_task, seen=exclude_seen,
-                         how="left" if pad_zeros else "inner",
+                         how="left" if pad_zeros else "inner", kept=k,
                          skip_zero_weights=not (exclude_seen or pad_zeros))
     result = None
     for scores in branches:

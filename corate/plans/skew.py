@@ -27,7 +27,7 @@ DEFAULT_ROWS_PER_TASK = 1_000_000
 # Partial products per scoring task: their distinct (user, item) keys (at most this many) then
 # mostly fit Spark's first-level aggregate hash map.
 SCORING_ROWS_PER_TASK = 512 * 1024
-# Products per cell where both sides are sent by shuffle: they are copied with the square root of the number of cells,
+# Scores per cell where both sides are sent by shuffle: they are copied with the square root of the number of cells,
 # so cells are as large as an aggregate of that many keys allows.
 BLOCK_ROWS_PER_TASK = 16 * 1024 * 1024
 MAX_PARTITIONS = 100_000

@@ -189,6 +189,16 @@ def test_blocked_scores_copy_both_sides_a_few_times(spark, monkeypatch):
     assert seen[0].products == 3_000_000 and seen[0].cells <= 9
 
 
+def test_cells_are_sized_by_scores(spark):
+    """2.5 million products that are summed to 50 thousand scores: cells of 10 thousand products would be 250."""
+    w = spark.range(50_000).select(F.floor(F.col("id") / 50).alias("user_id"), (F.col("id") % 50).alias("item_id"), F.lit(1).alias("w"))
+    v = spark.range(2500).select((F.col("id") % 50).alias("item_1"), F.floor(F.col("id") / 50).alias("item_2"), F.lit(2).alias("val"))
+    b = plan_blocks(w, v, rows_per_task=20_000)
+    assert b.products == 2_500_000 and b.cut is None and b.cells <= 16
+    (scores,) = blocked_scores(w, v, b)
+    assert rows(scores) == [(u, j, 100) for u in range(1000) for j in range(50)]
+
+
 @pytest.mark.parametrize("option", [{}, {"symmetric": True}, {"exclude_seen": True}, {"pad_zeros": True}])
 def test_blocked_recommendations_equal_the_broadcast_ones(spark, option):
     r = random.Random(5)
