@@ -36,7 +36,7 @@ from corate.operators import (
     user_scores_packed,
 )
 from corate.operators.matrix import blocked_scores, packed_bytes, packed_scores
-from corate.operators.similarity import _figures
+from corate.operators.similarity import _figures, _stripes_by_user
 from corate.plans.jobs import load_job
 from corate.plans.skew import SCORING_ROWS_PER_TASK
 from corate.session import materialize
@@ -332,6 +332,50 @@ def test_incremental_statistics_equal_a_full_run(spark, seed, degree):
     assert pair_stats_delta(existing, changes.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("degree", [2000, 3])
+@pytest.mark.parametrize("wide", [1, 10 ** 12])
+def test_incremental_statistics_with_missing_ratings_and_wide_ids(spark, degree, wide):
+    """Also an added rating without a value counts; ids beyond the codes go as two lists."""
+    r = random.Random(degree)
+    stars = [None, 0.5, 2.0, 5.0]
+    old = {(u, i * wide): r.choice(stars) for u in range(12) for i in range(12) if r.random() < 0.6}
+    batch = {(u, i * wide): r.choice(stars) for u in range(0, 15, 2) for i in range(14) if r.random() < 0.4} | {(1, 13 * wide): None}
+    frame = lambda d: spark.createDataFrame([(*k, x) for k, x in d.items()], RATING)
+    changes = rating_changes(frame(old), frame(batch))
+    assert rows(changes, "user_id", "item_id") == sorted(k for k, x in batch.items() if k not in old or old[k] != x)
+    stats = add_stats(pair_stats(co_ratings(frame(old))), pair_stats_delta(frame(old), changes, hot_user_degree=degree), max_broadcast_bytes=0)
+    cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+    got, want = [{x[:2]: x[2:] for x in rows(s.fillna(0), *cols)} for s in (stats, pair_stats(co_ratings(frame(old | batch))))]
+    assert got == want
+
+
+def test_a_batch_meets_the_stored_ratings_in_one_exchange_each(spark, capsys, monkeypatch):
+    monkeypatch.setattr("corate.operators.incremental.USER_SET_ROW_BYTES", 1 << 40)   # too many users to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        existing = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(5)], RATING)
+        batch = spark.createDataFrame([(u, i, 2.0) for u in range(9) for i in range(3, 7)], RATING)
+        changes = rating_changes(existing, batch)
+        changes.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange") == 2 and plan.count("Join") == 1
+        delta = pair_stats_delta(existing, changes.localCheckpoint())
+        capsys.readouterr()
+        delta.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange hashpartitioning(user_id") == 1 and "Join" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_stripes_with_a_changed_rating_are_sent(spark):
+    rated = [(u, i, 1.0) for u in range(4) for i in range(6)]
+    marked = spark.createDataFrame([(*x, x[0] == 0 and x[1] == 2) for x in rated], RATING + ", _changed boolean")
+    for codes in (_figures(marked, 9)[2], None):
+        s = _stripes_by_user(codes.encoded(marked) if codes else marked, codes=codes)
+        assert rows(s.select("item_1", F.size("_items"))) == [(0, 1), (1, 1), (2, 3)]
+
+
 # -- logs, uniqueness, guards ---------------------------------------------------------------------
 
 def test_a_rating_logged_twice_counts_once(spark):
