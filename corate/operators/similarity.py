@@ -132,8 +132,11 @@ def pair_stats(co: DataFrame, truncate: bool = True) -> DataFrame:
     )
 
 
-# Entries of stripes that one task pairs up (32 MB as codes); an item with more of them is paired in rows instead.
+# Entries of stripes that one task of users makes (32 MB as codes); an item with more of them is paired in rows instead.
 STRIPE_ENTRIES = 8_000_000
+# Entries of stripes that one task pairs up: each may be a pair of its own, held twice at some 130 bytes (by Spark's
+# partial and its final aggregate).
+SUM_ENTRIES = 2_000_000
 
 
 # Greatest number of half stars that a code holds.
@@ -291,7 +294,7 @@ def pairs_by_item(r: DataFrame, signed: Sequence[str] = (), *, hot_user_degree:
     known, ratings, codes = _figures(r, hot_user_degree)
     coded = codes.encoded if codes else lambda x: x
     split = split_hot_keys(r if arranged else coded(r), "user_id", min_degree=hot_user_degree, max_hot_keys=max_hot_users, known=known)
-    parts = partitions_for(r.sparkSession, split.square_sum // 2, entries)
+    parts, sums = [partitions_for(r.sparkSession, split.square_sum // 2, n) for n in (entries, min(entries, SUM_ENTRIES))]
     normal, heavy = split.normal, split.hot
     if not user_partitioned:
         normal = normal.repartition(parts, "user_id")
@@ -311,7 +314,7 @@ def pairs_by_item(r: DataFrame, signed: Sequence[str] = (), *, hot_user_degree:
         hot = F.broadcast(hot)   # at most one item per `entries` co-ratings
         dealt = stripes.join(hot, "item_1", "left_anti")
     # In item order, so that the sums of an item's pairs are near each other in the hash table.
-    found = [dealt.repartition(parts, "item_1").sortWithinPartitions("item_1")]
+    found = [dealt.repartition(sums, "item_1").sortWithinPartitions("item_1")]
     if n_hot:
         found = [*found, stripes.join(hot, "item_1", "left_semi")]
 

@@ -376,6 +376,19 @@ def test_only_stripes_with_a_changed_rating_are_sent(spark):
         assert rows(s.select("item_1", F.size("_items"))) == [(0, 1), (1, 1), (2, 3)]
 
 
+def test_sums_of_many_pairs_are_dealt_over_more_tasks_than_users(spark, capsys, monkeypatch):
+    """Co-ratings that are all pairs of their own: a task's sums are bounded by them, not by the bytes of its lists."""
+    monkeypatch.setattr("corate.operators.similarity.SUM_ENTRIES", 100, raising=False)
+    df = spark.createDataFrame([(u, u * 10 + i, 3.0) for u in range(60) for i in range(10)], RATING)
+    got = rating_pair_stats(df)
+    assert rows(got, "item_1", "item_2", "n", "num", "d1", "d2") == sorted(
+        (u * 10 + i, u * 10 + j, 1, 9, 9, 9) for u in range(60) for i in range(10) for j in range(i + 1, 10))
+    got.explain()
+    plan = capsys.readouterr().out
+    tasks = {c: int(re.search(rf"Exchange hashpartitioning\({c}#\d+L?, (\d+)\)", plan).group(1)) for c in ("user_id", "item_1")}
+    assert tasks["item_1"] == 30 and tasks["user_id"] < 30
+
+
 # -- logs, uniqueness, guards ---------------------------------------------------------------------
 
 def test_a_rating_logged_twice_counts_once(spark):
