@@ -37,6 +37,7 @@ from corate.operators import (
 )
 from corate.operators.matrix import blocked_scores, packed_bytes, packed_scores
 from corate.operators.similarity import _figures, _stripes_by_user
+from corate.plans.catalogue import q_pair_stats_incremental
 from corate.plans.jobs import load_job
 from corate.plans.skew import SCORING_ROWS_PER_TASK
 from corate.session import materialize
@@ -376,6 +377,22 @@ def test_only_stripes_with_a_changed_rating_are_sent(spark):
         assert rows(s.select("item_1", F.size("_items"))) == [(0, 1), (1, 1), (2, 3)]
 
 
+def test_stored_sums_and_changes_meet_without_an_exchange(spark, capsys, monkeypatch):
+    df = q_pair_stats_incremental(spark, SF_SMALL)
+    monkeypatch.setitem(add_stats.__kwdefaults__, "max_broadcast_bytes", 0)   # more changes than can be broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = q_pair_stats_incremental(spark, SF_SMALL)
+        cols = ["item_1", "item_2", "n", "num", "d1", "d2"]
+        assert rows(joined, *cols) == rows(df, *cols)
+        capsys.readouterr()
+        joined.explain()
+        plan = capsys.readouterr().out
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_sums_of_many_pairs_are_dealt_over_more_tasks_than_users(spark, capsys, monkeypatch):
     """Co-ratings that are all pairs of their own: a task's sums are bounded by them, not by the bytes of its lists."""
     monkeypatch.setattr("corate.operators.similarity.SUM_ENTRIES", 100, raising=False)
